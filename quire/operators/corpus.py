@@ -1 +1,108 @@
-"""Corpus operators."""
+"""Corpus operators.
+
+A corpus is a DataFrame ``(doc_id, text, <docvars…>)``; docvars are ordinary
+columns. Nothing here collects to the driver.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import tokens as T
+
+
+def corpus(df: DataFrame, text_field: str = "text", docid_field: str | None = None) -> DataFrame:
+    """B1: name the text column ``text`` and the id column ``doc_id``; the
+    other columns stay as docvars. Without an id a unique one is attached."""
+    out = df.withColumnRenamed(text_field, "text") if text_field != "text" else df
+    if docid_field is None:
+        if "doc_id" not in out.columns:
+            out = out.withColumn("doc_id", F.monotonically_increasing_id())
+    elif docid_field != "doc_id":
+        out = out.withColumnRenamed(docid_field, "doc_id")
+    rest = [c for c in out.columns if c not in ("doc_id", "text")]
+    return out.select("doc_id", "text", *rest)
+
+
+def duplicate_ids(c: DataFrame) -> DataFrame:
+    """B1: ids used more than once (empty when names are unique)."""
+    return c.groupBy("doc_id").count().filter(F.col("count") > 1)
+
+
+def corpus_summary(c: DataFrame, docvars: list[str] | None = None) -> DataFrame:
+    """B2: types, tokens and sentences per document with docvars.
+
+    Tokens keep punctuation (as the corpus summary counts them); types are
+    distinct lower-case tokens. All per-row array functions: no shuffle.
+    """
+    docvars = docvars if docvars is not None else [x for x in c.columns if x not in ("doc_id", "text")]
+    toks = F.regexp_extract_all(F.col("text"), F.lit(T.WORD), 0)
+    sents = F.regexp_extract_all(F.col("text"), F.lit(T.SENTENCE), 0)
+    return c.select("doc_id", *docvars,
+                    F.size(F.array_distinct(F.transform(toks, lambda x: F.lower(x)))).alias("types"),
+                    F.size(toks).alias("tokens"),
+                    F.size(sents).alias("sentences"))
+
+
+def ndoc(c: DataFrame) -> int:
+    """B3 (an action)."""
+    return c.count()
+
+
+def add_length(c: DataFrame, name: str = "text_length") -> DataFrame:
+    """Docvar with the number of characters."""
+    return c.withColumn(name, F.char_length("text"))
+
+
+def corpus_meta(c: DataFrame, **fields) -> DataFrame:
+    """One-row corpus metadata: given fields plus document count."""
+    extra = [F.lit(v).alias(k) for k, v in fields.items()]
+    return c.agg(F.count(F.lit(1)).alias("ndoc"), *extra)
+
+
+def corpus_subset(c: DataFrame, predicate) -> DataFrame:
+    """B6."""
+    return c.filter(predicate)
+
+
+def texts(c: DataFrame) -> DataFrame:
+    """B7."""
+    return c.select("doc_id", "text")
+
+
+def group_texts(c: DataFrame, by: str, sep: str = "\n\n", order: str = "doc_id") -> DataFrame:
+    """Concatenate texts per group, in ``order``.
+
+    The group's texts are gathered into one row (the result *is* one text per
+    group); Spark spills the sort, and the partial ``collect_list`` keeps the
+    shuffle to the texts themselves.
+    """
+    g = c.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("text").alias("t")))).alias("_p"),
+                          F.count(F.lit(1)).alias("n_docs"))
+    return g.select(by, "n_docs", F.array_join(F.transform("_p", lambda s: s["t"]), sep).alias("text"))
+
+
+def tokens_over_time(c: DataFrame, date_col: str, unit: str = "year") -> DataFrame:
+    """Tokens per document averaged by calendar unit."""
+    per = c.select(F.date_trunc(unit, F.col(date_col)).alias("period"),
+                   F.size(F.regexp_extract_all(F.col("text"), F.lit(T.WORD), 0)).alias("tokens"))
+    return per.groupBy("period").agg(F.count(F.lit(1)).alias("n_docs"),
+                                     F.sum("tokens").alias("tokens"),
+                                     F.avg("tokens").alias("mean_tokens"))
+
+
+def reshape_units(c: DataFrame, to: str = "sentences") -> DataFrame:
+    """Re-cut the unit of analysis; docvars are carried along.
+
+    ``sentences`` and ``paragraphs`` give ``(doc_id, unit, text, …)``.
+    """
+    rest = [x for x in c.columns if x not in ("doc_id", "text")]
+    if to == "sentences":
+        parts = F.transform(F.regexp_extract_all(F.col("text"), F.lit(T.SENTENCE), 0), lambda x: F.trim(x))
+    elif to == "paragraphs":
+        parts = F.filter(F.transform(F.split(F.col("text"), r"\n\s*\n|\n"), lambda x: F.trim(x)), lambda x: x != "")
+    else:
+        raise ValueError("to must be 'sentences' or 'paragraphs' (use group_texts for groups)")
+    ex = c.select("doc_id", *rest, F.posexplode(parts).alias("unit", "text"))
+    return ex.withColumn("unit", (F.col("unit") + 1).cast("int"))
