@@ -83,13 +83,13 @@ def group_texts(c: DataFrame, by: str, sep: str = "\n\n", order: str = "doc_id")
     return g.select(by, "n_docs", F.array_join(F.transform("_p", lambda s: s["t"]), sep).alias("text"))
 
 
-def tokens_over_time(c: DataFrame, date_col: str, unit: str = "year") -> DataFrame:
-    """Tokens per document averaged by calendar unit."""
-    per = c.select(F.date_trunc(unit, F.col(date_col)).alias("period"),
+def tokens_over_time(c: DataFrame, date_col: str) -> DataFrame:
+    """Documents, tokens and mean tokens per document by calendar year."""
+    per = c.select(F.year(F.col(date_col)).alias("year"),
                    F.size(F.regexp_extract_all(F.col("text"), F.lit(T.WORD), 0)).alias("tokens"))
-    return per.groupBy("period").agg(F.count(F.lit(1)).alias("n_docs"),
-                                     F.sum("tokens").alias("tokens"),
-                                     F.avg("tokens").alias("mean_tokens"))
+    return per.groupBy("year").agg(F.count(F.lit(1)).alias("n_docs"),
+                                   F.sum("tokens").alias("tokens"),
+                                   F.avg("tokens").alias("mean_tokens"))
 
 
 def reshape_units(c: DataFrame, to: str = "sentences") -> DataFrame:

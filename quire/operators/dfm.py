@@ -124,7 +124,8 @@ def dfm_tfidf(d: DataFrame, n_docs, keys: Iterable[str] = ("doc_id",), term: str
     """
     keys = list(keys)
     stats = d.groupBy(term).agg(F.count(F.lit(1)).alias("_df"))
-    idf = F.log(float(base), _scalar(n_docs) / F.col("_df"))
+    ratio = _scalar(n_docs) / F.col("_df")
+    idf = F.log10(ratio) if base == 10 else (F.ln(ratio) if base == "e" else F.log(float(base), ratio))
     tf = (F.col("n") / F.sum("n").over(Window.partitionBy(*keys))) if scheme_tf == "prop" else F.col("n")
     return (d.join(stats.select(term, idf.alias("_idf")), term)
             .withColumn("w", tf * F.col("_idf")).drop("_idf"))

@@ -135,12 +135,19 @@ def unnest_sentences(df: DataFrame, text: str = "text", keys: Iterable[str] = ("
 
 
 def ngram_array(toks, n: int, sep: str = " ") -> Column:
-    """n-grams of an array column; arrays shorter than ``n`` give an empty array."""
+    """n-grams of an array column; arrays shorter than ``n`` give an empty array.
+
+    Built from ``n`` shifted slices merged by ``zip_with``, so the input array
+    is evaluated a fixed number of times (never once per element).
+    """
     toks = _c(toks)
-    k = F.size(toks) - F.lit(n - 1)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(k, F.lit(1))),
-                        lambda i: F.array_join(F.slice(toks, i, n), sep))
-    return F.when(k >= 1, grams).otherwise(F.array().cast("array<string>"))
+    if n == 1:
+        return toks
+    k = F.greatest(F.size(toks) - F.lit(n - 1), F.lit(0))
+    acc = F.slice(toks, F.lit(1), k)
+    for j in range(1, n):
+        acc = F.zip_with(acc, F.slice(toks, F.lit(j + 1), k), lambda x, y: F.concat(x, F.lit(sep), y))
+    return acc
 
 
 def unnest_ngrams(df: DataFrame, n: int = 2, text: str = "text", keys: Iterable[str] = ("doc_id",),
@@ -269,3 +276,32 @@ def lemmatize(toks: DataFrame, lemmas: DataFrame, term: str = "term") -> DataFra
 
 def positions_window(toks: DataFrame, keys: Iterable[str] = ("doc_id",)) -> Window:
     return Window.partitionBy(*keys).orderBy("pos")
+
+
+def collocations(arrays: DataFrame, col: str = "toks", min_count: int = 2,
+                 smoothing: float = 0.5) -> DataFrame:
+    """Adjacent word pairs scored by λ (log odds ratio of the 2×2
+    table of first/second word, each cell + ``smoothing``), its z statistic and
+    PMI.
+
+    Pairs are formed inside each document's array (no shuffle); pair counts
+    and the two marginals are aggregates, the total is a scalar subquery.
+    """
+    pairs = arrays.select(F.explode(ngram_array(col, 2, "\u001f")).alias("_g"))
+    pairs = pairs.select(F.split("_g", "\u001f").alias("_p"))
+    pairs = pairs.select(F.col("_p")[0].alias("w1"), F.col("_p")[1].alias("w2"))
+    counts = pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n11"))
+    n_all = counts.select(F.sum("n11")).scalar()
+    first = counts.groupBy("w1").agg(F.sum("n11").alias("n1_"))
+    second = counts.groupBy("w2").agg(F.sum("n11").alias("n_1"))
+    t = counts.filter(F.col("n11") >= min_count).join(first, "w1").join(second, "w2")
+    s = F.lit(float(smoothing))
+    a = F.col("n11") + s
+    b = F.col("n1_") - F.col("n11") + s
+    c = F.col("n_1") - F.col("n11") + s
+    d = n_all - F.col("n1_") - F.col("n_1") + F.col("n11") + s
+    lam = F.ln(a) + F.ln(d) - F.ln(b) - F.ln(c)
+    se = F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    pmi = F.ln(F.col("n11") * n_all / (F.col("n1_") * F.col("n_1")))
+    return t.select(F.concat_ws(" ", "w1", "w2").alias("collocation"), F.col("n11").alias("count"),
+                    lam.alias("lambda"), (lam / se).alias("z"), pmi.alias("pmi"))
