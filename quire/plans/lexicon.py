@@ -1 +1,177 @@
-"""(filled in below)"""
+"""Dictionary analyses (M1–M11) over ``conversations``, ``documents`` and ``labels``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import dfm as D
+from ..operators import lexicon as L
+from ..operators import relational as R
+from ..operators import tokens as T
+from ..sources.tables import table
+from .registry import register
+from .sqlparts import tokens_cte
+
+# An invented two-category dictionary (patterns ending in * are prefixes).
+SENTIMENT = {"negative": ["bad", "poor", "not", "er*", "nd*", "ly"],
+             "positive": ["good", "great", "fine", "ble*", "ing*", "tion"]}
+CATEGORIES = ["negative", "positive"]
+
+# Weights for the weighted tone (per pattern).
+TONE_WEIGHTS = {"bad": -2.0, "poor": -1.5, "not": -0.5, "er*": -0.8, "nd*": -0.4, "ly": -0.2,
+                "good": 2.0, "great": 2.5, "fine": 1.0, "ble*": 0.6, "ing*": 0.3, "tion": 0.9}
+
+# Sub-category "strong" rolls up into "positive".
+STRONG = {"strong": ["great", "best", "ble*"]}
+PARENTS = [("strong", "positive")]
+
+# A small valence lexicon, boosters and negations for the VADER-style scorer.
+VALENCE = {"good": 1.9, "great": 3.1, "fine": 0.8, "tion": 1.2, "ble": 1.5, "bad": -2.5, "poor": -2.1,
+           "er": -1.1, "nd": -0.9, "ly": -0.5}
+BOOSTERS = {"very": 1.0, "really": 1.0, "extremely": 1.0}
+NEGATIONS = ["not", "no", "never", "nicht", "pas"]
+
+
+def _dict_sql(entries, weights=None):
+    rows = []
+    for cat, pats in entries.items():
+        for p in pats:
+            w = (weights or {}).get(p, 1.0)
+            rows.append(f"('{cat}', '{p.rstrip('*')}', {float(w)}, {str(p.endswith('*')).upper()})")
+    return "(VALUES " + ", ".join(rows) + ") AS dict(category, pattern, weight, is_prefix)"
+
+
+def _resolve_sql(vocab: str, entries, weights=None) -> str:
+    return (f"SELECT v.term, d.category, max(d.weight) AS weight FROM {vocab} v JOIN {_dict_sql(entries, weights)} "
+            f"ON (d.is_prefix AND starts_with(v.term, d.pattern)) OR (NOT d.is_prefix AND v.term = d.pattern) "
+            f"GROUP BY v.term, d.category").replace("JOIN (VALUES", "JOIN (VALUES").replace(" AS dict(", " AS d(")
+
+
+_CONV_COUNTS_SQL = f"""
+{tokens_cte('conversations', keys='conv_id, turn')},
+dfm AS (SELECT conv_id, turn, term, count(*) AS n FROM tok GROUP BY 1, 2, 3),
+vocab AS (SELECT DISTINCT term FROM dfm),
+m AS ({_resolve_sql('vocab', SENTIMENT)}),
+c AS (SELECT conv_id, turn, category, sum(n) AS n FROM dfm JOIN m USING (term) GROUP BY 1, 2, 3),
+wide AS (SELECT k.conv_id, k.turn, k.role,
+           CAST(coalesce(sum(n) FILTER (WHERE category = 'negative'), 0) AS BIGINT) AS negative,
+           CAST(coalesce(sum(n) FILTER (WHERE category = 'positive'), 0) AS BIGINT) AS positive
+         FROM conversations k LEFT JOIN c USING (conv_id, turn) GROUP BY 1, 2, 3)"""
+
+
+def _conv_counts(spark, sf):
+    conv = table(spark, sf, "conversations")
+    keys = ["conv_id", "turn"]
+    d = D.dfm_from_arrays(T.token_arrays(conv, keys=keys), keys=keys)
+    dic = L.dictionary_table(spark, SENTIMENT)
+    w = L.lookup_wide(conv, d, dic, CATEGORIES, keys=keys)
+    return w.join(conv.select(*keys, "role"), keys)
+
+
+@register("conversation_dictionary_counts", f"WITH {_CONV_COUNTS_SQL}\nSELECT conv_id, turn, negative, positive FROM wide")
+def conversation_dictionary_counts(spark, sf):
+    return _conv_counts(spark, sf).select("conv_id", "turn", *CATEGORIES)
+
+
+@register("conversation_polarity", f"""WITH {_CONV_COUNTS_SQL}
+SELECT conv_id, turn, role, negative, positive, positive - negative AS score,
+       round(ln((positive + 0.5) / (negative + 0.5)), 6) AS polarity FROM wide""")
+def conversation_polarity(spark, sf):
+    w = _conv_counts(spark, sf)
+    return w.select("conv_id", "turn", "role", "negative", "positive",
+                    (F.col("positive") - F.col("negative")).alias("score"),
+                    F.round(L.polarity("positive", "negative"), 6).alias("polarity"))
+
+
+@register("polarity_by_role", f"""WITH {_CONV_COUNTS_SQL}
+SELECT role, count(*) AS n, round(avg(positive - negative), 6) AS mean_score,
+       round(avg(ln((positive + 0.5) / (negative + 0.5))), 6) AS mean_polarity FROM wide GROUP BY role""")
+def polarity_by_role(spark, sf):
+    w = _conv_counts(spark, sf)
+    return w.groupBy("role").agg(F.count(F.lit(1)).alias("n"),
+                                 F.round(F.avg(F.col("positive") - F.col("negative")), 6).alias("mean_score"),
+                                 F.round(F.avg(L.polarity("positive", "negative")), 6).alias("mean_polarity"))
+
+
+@register("polarity_label_shares", f"""WITH {_CONV_COUNTS_SQL}
+SELECT label, count(*) AS n, round(count(*) / (SELECT count(*) FROM wide), 6) AS share FROM (
+  SELECT CASE WHEN positive - negative > 0 THEN 'Positive' WHEN positive - negative < 0 THEN 'Negative' END AS label
+  FROM wide) GROUP BY label""")
+def polarity_label_shares(spark, sf):
+    w = _conv_counts(spark, sf)
+    lab = w.select(L.label_by_sign(F.col("positive") - F.col("negative")).alias("label"))
+    c = R.count_by(lab, "label")
+    return R.share(c, "n").withColumn("share", F.round("share", 6))
+
+
+@register("extreme_turns", f"""WITH {_CONV_COUNTS_SQL}
+(SELECT 'most positive' AS direction, conv_id, turn, positive - negative AS score FROM wide
+ ORDER BY score DESC, conv_id, turn LIMIT 5)
+UNION ALL
+(SELECT 'most negative' AS direction, conv_id, turn, positive - negative AS score FROM wide
+ ORDER BY score ASC, conv_id, turn LIMIT 5)""")
+def extreme_turns(spark, sf):
+    w = _conv_counts(spark, sf).withColumn("score", F.col("positive") - F.col("negative"))
+    top = w.orderBy(F.desc("score"), "conv_id", "turn").limit(5).select(
+        F.lit("most positive").alias("direction"), "conv_id", "turn", "score")
+    bot = w.orderBy(F.asc("score"), "conv_id", "turn").limit(5).select(
+        F.lit("most negative").alias("direction"), "conv_id", "turn", "score")
+    return top.unionByName(bot)
+
+
+@register("document_tone", f"""
+WITH {tokens_cte('documents')},
+dfm AS (SELECT doc_id, term, count(*) AS n FROM tok GROUP BY 1, 2),
+vocab AS (SELECT DISTINCT term FROM dfm),
+m0 AS ({_resolve_sql('vocab', SENTIMENT, TONE_WEIGHTS)}),
+m AS (SELECT term, avg(weight) AS weight FROM m0 GROUP BY term)
+SELECT doc_id, sum(n) AS n_dict, round(sum(n * weight) / sum(n), 6) AS tone
+FROM dfm JOIN m USING (term) GROUP BY doc_id""")
+def document_tone(spark, sf):
+    docs = table(spark, sf, "documents")
+    d = D.dfm_from_arrays(T.token_arrays(docs))
+    dic = L.dictionary_table(spark, SENTIMENT, TONE_WEIGHTS)
+    t = L.tone(d, dic)
+    return t.select("doc_id", "n_dict", F.round("tone", 6).alias("tone"))
+
+
+@register("hierarchical_counts", f"""
+WITH {tokens_cte('documents')},
+dfm AS (SELECT doc_id, term, count(*) AS n FROM tok GROUP BY 1, 2),
+vocab AS (SELECT DISTINCT term FROM dfm),
+m AS ({_resolve_sql('vocab', {**SENTIMENT, 'positive': SENTIMENT['positive'] + STRONG['strong'], **STRONG})})
+SELECT category, sum(n) AS n, count(DISTINCT doc_id) AS n_docs FROM dfm JOIN m USING (term) GROUP BY category""")
+def hierarchical_counts(spark, sf):
+    docs = table(spark, sf, "documents")
+    d = D.dfm_from_arrays(T.token_arrays(docs))
+    dic = L.dictionary_table(spark, {**SENTIMENT, **STRONG})
+    parents = spark.createDataFrame(PARENTS, "category string, parent string")
+    closed = L.dictionary_closure(dic, parents)
+    long = L.lookup(d, closed)
+    return long.groupBy("category").agg(F.sum("n").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+
+
+@register("label_attribute_means", """
+WITH l AS (SELECT doc_id, CAST(quality AS DOUBLE) AS quality, CAST(toxic AS DOUBLE) AS toxic FROM labels),
+long AS (UNPIVOT l ON quality, toxic INTO NAME attribute VALUE value)
+SELECT d.lang, attribute, count(*) AS n, round(avg(value), 6) AS mean FROM long JOIN documents d USING (doc_id)
+GROUP BY d.lang, attribute""")
+def label_attribute_means(spark, sf):
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"),
+                                            F.col("toxic").cast("double").alias("toxic"))
+    long = R.pivot_longer(lab, ["doc_id"], ["quality", "toxic"], "attribute", "value")
+    j = long.join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
+    return j.groupBy("lang", "attribute").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"))
+
+
+@register("vader_quality_accuracy")
+def vader_quality_accuracy(spark, sf):
+    """M9 + M10: VADER-style compound per labelled document, class = compound > 0,
+    accuracy against ``labels.quality`` per language."""
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    v = L.vader(docs, VALENCE, BOOSTERS, NEGATIONS)
+    j = v.join(docs.select("doc_id", "lang", "quality"), "doc_id")
+    j = j.withColumn("pred", L.threshold("compound"))
+    return j.groupBy("lang").agg(F.count(F.lit(1)).alias("n"),
+                                 F.round(F.avg((F.col("pred") == F.col("quality")).cast("double")), 6).alias("accuracy"),
+                                 F.round(F.avg("compound"), 6).alias("mean_compound"))
