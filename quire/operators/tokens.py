@@ -78,6 +78,17 @@ def token_arrays(df: DataFrame, text: str = "text", keys: Iterable[str] = ("doc_
     return df.select(*keys, F.regexp_extract_all(t, F.lit(pattern), 0).alias(out))
 
 
+def pin(df: DataFrame, col: str) -> DataFrame:
+    """Compute ``col`` once per row before several expressions read it.
+
+    Expressions that slice one array many times (n-grams, windows, look-backs)
+    would otherwise re-run the tokenizer for each slice once the optimizer
+    inlines the projection; a one-element generator keeps it materialised.
+    """
+    rest = [c for c in df.columns if c != col]
+    return df.select(*rest, F.explode(F.array(F.col(col))).alias(col))
+
+
 def explode_tokens(arrays: DataFrame, keys: Iterable[str] = ("doc_id",), col: str = "toks",
                    out: str = "term") -> DataFrame:
     """Token arrays → long tokens ``(keys…, pos, term)`` with 1-based ``pos``."""
@@ -154,7 +165,7 @@ def unnest_ngrams(df: DataFrame, n: int = 2, text: str = "text", keys: Iterable[
                   sep: str = " ", out: str = "ngram") -> DataFrame:
     """I4: word n-grams as rows ``(keys…, pos, ngram)``; ``pos`` is the start."""
     keys = list(keys)
-    arr = token_arrays(df, text, keys, True, WORD)
+    arr = pin(token_arrays(df, text, keys, True, WORD), "toks")
     g = arr.select(*keys, ngram_array("toks", n, sep).alias("grams"))
     return explode_tokens(g, keys, col="grams", out=out)
 
@@ -165,6 +176,7 @@ def tokens_ngrams(arrays: DataFrame, n: int | Iterable[int] = 2, keys: Iterable[
     several sizes at once give one array holding all of them (sizes in order)."""
     keys = list(keys)
     ns = [n] if isinstance(n, int) else list(n)
+    arrays = pin(arrays, col)
     parts = [ngram_array(col, k, sep) for k in ns]
     allg = parts[0] if len(parts) == 1 else F.flatten(F.array(*parts))
     return arrays.select(*keys, allg.alias(col))
@@ -287,7 +299,7 @@ def collocations(arrays: DataFrame, col: str = "toks", min_count: int = 2,
     Pairs are formed inside each document's array (no shuffle); pair counts
     and the two marginals are aggregates, the total is a scalar subquery.
     """
-    pairs = arrays.select(F.explode(ngram_array(col, 2, "\u001f")).alias("_g"))
+    pairs = pin(arrays, col).select(F.explode(ngram_array(col, 2, "\u001f")).alias("_g"))
     pairs = pairs.select(F.split("_g", "\u001f").alias("_p"))
     pairs = pairs.select(F.col("_p")[0].alias("w1"), F.col("_p")[1].alias("w2"))
     counts = pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n11"))

@@ -1 +1,191 @@
-"""(filled in below)"""
+"""Embedding and clustering analyses: ``embeddings`` vectors and
+``documents`` word statistics (K1–K21, P1–P18)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import math as M
+from ..operators import dfm as D
+from ..operators import embeddings as E
+from ..operators import tokens as T
+from ..operators import topics as P
+from ..sources.tables import table
+from .registry import register
+from .sqlparts import STOP_EN_SQL, tokens_cte
+
+DIM = 64
+
+
+def _vecs(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec"), "label")
+
+
+def _en_arrays(spark, sf):
+    docs = table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+    return T.token_arrays(docs)
+
+
+_DVEC = "CAST(embedding AS DOUBLE[])"
+
+
+# --- K7 nearest by dot product -------------------------------------------------------------------
+@register("nearest_vectors", f"""
+SELECT vec_id, round(list_dot_product({_DVEC}, (SELECT {_DVEC} FROM embeddings WHERE vec_id = 0)), 6) AS score
+FROM embeddings ORDER BY list_dot_product({_DVEC}, (SELECT {_DVEC} FROM embeddings WHERE vec_id = 0)) DESC, vec_id
+LIMIT 10""")
+def nearest_vectors(spark, sf):
+    V = _vecs(spark, sf)
+    q = E.vector_of(V, 0, key="vec_id")
+    r = E.nearest_to_vector(V, q, 10, key="vec_id")
+    return r.select("vec_id", F.round("score", 6).alias("score"))
+
+
+# --- K12 analogy ------------------------------------------------------------------------------------
+@register("analogy_vectors", f"""
+WITH q AS (SELECT list_transform(generate_series(1, {DIM}), lambda i: a[i] - b[i] + c[i]) AS q FROM
+  (SELECT (SELECT {_DVEC} FROM embeddings WHERE vec_id = 1) AS a, (SELECT {_DVEC} FROM embeddings WHERE vec_id = 2) AS b,
+          (SELECT {_DVEC} FROM embeddings WHERE vec_id = 3) AS c))
+SELECT vec_id, round(list_cosine_similarity({_DVEC}, q), 6) AS score FROM embeddings, q
+WHERE vec_id NOT IN (1, 2, 3) ORDER BY list_cosine_similarity({_DVEC}, q) DESC, vec_id LIMIT 10""")
+def analogy_vectors(spark, sf):
+    r = E.analogy(_vecs(spark, sf), 1, 2, 3, 10, key="vec_id")
+    return r.select("vec_id", F.round("score", 6).alias("score"))
+
+
+# --- K14 / C12 centroids per label ------------------------------------------------------------------------
+_CENTROIDS_SQL = f"""
+cl AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v FROM embeddings, generate_series(1, {DIM}) g(i)
+       GROUP BY label, i),
+cen AS (SELECT label, list(v ORDER BY i) AS c FROM cl GROUP BY label)"""
+
+
+@register("label_centroids", f"""WITH {_CENTROIDS_SQL}
+SELECT label, CAST(i - 1 AS INTEGER) AS dim, round(v, 6) AS value FROM cl""")
+def label_centroids(spark, sf):
+    c = E.mean_vectors(_vecs(spark, sf), "label")
+    return c.select("label", F.posexplode("vec").alias("dim", "value")).select(
+        "label", "dim", F.round("value", 6).alias("value"))
+
+
+# --- K16 similarity to centroids ---------------------------------------------------------------------------
+@register("centroid_similarity", f"""WITH {_CENTROIDS_SQL},
+s AS (SELECT e.vec_id, e.label, cen.label AS cl, list_cosine_similarity({_DVEC}, cen.c) AS cs FROM embeddings e, cen)
+SELECT vec_id, label, round(max(cs) FILTER (WHERE cl = label), 6) AS cos_own,
+       arg_max(cl, cs) AS best_label FROM s GROUP BY vec_id, label""")
+def centroid_similarity(spark, sf):
+    V = _vecs(spark, sf)
+    cen = E.mean_vectors(V, "label").withColumnRenamed("label", "category")
+    s = E.dict_similarity(V.select("vec_id", "vec"), cen, keys=["vec_id"])
+    j = s.join(V.select("vec_id", "label"), "vec_id")
+    return j.groupBy("vec_id", "label").agg(
+        F.round(F.max(F.when(F.col("category") == F.col("label"), F.col("cosine"))), 6).alias("cos_own"),
+        F.max_by("category", "cosine").alias("best_label"))
+
+
+# --- P1 one k-means step from the label centroids -----------------------------------------------------------
+@register("kmeans_one_step", f"""WITH {_CENTROIDS_SQL},
+d AS (SELECT e.vec_id, cen.label AS cluster, list_distance({_DVEC}, cen.c) AS dist FROM embeddings e, cen),
+a AS (SELECT vec_id, arg_min(cluster, (dist, cluster)) AS cluster, min(dist) AS dist FROM d GROUP BY vec_id)
+SELECT cluster, count(*) AS n, round(avg(dist), 6) AS mean_dist FROM a GROUP BY cluster""")
+def kmeans_one_step(spark, sf):
+    V = _vecs(spark, sf)
+    cen = E.mean_vectors(V, "label").withColumnRenamed("label", "cluster")
+    a = P.kmeans_assign(V, cen, key="vec_id")
+    return a.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("dist"), 6).alias("mean_dist"))
+
+
+# --- K8 top vectors per dimension by |value| ------------------------------------------------------------------
+@register("dimension_top_vectors", f"""
+SELECT dim, vec_id, value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT CAST(i - 1 AS INTEGER) AS dim, vec_id, round(CAST(embedding[i] AS DOUBLE), 6) AS value,
+         rank() OVER (PARTITION BY i ORDER BY abs(embedding[i]) DESC) AS rank
+  FROM embeddings, generate_series(1, {DIM}) g(i)) WHERE rank <= 3""")
+def dimension_top_vectors(spark, sf):
+    V = _vecs(spark, sf).withColumnRenamed("vec_id", "term")
+    r = E.dimension_words(V, range(DIM), 3)
+    return r.select("dim", F.col("term").alias("vec_id"), F.round(F.col("value").cast("double"), 6).alias("value"), "rank")
+
+
+# --- K1 unigram probabilities -----------------------------------------------------------------------------------
+@register("unigram_probs_en", f"""
+WITH {tokens_cte("(SELECT * FROM documents WHERE lang = 'en')")}
+SELECT term, count(*) AS n, round(count(*) / (SELECT count(*) FROM tok), 9) AS p FROM tok GROUP BY term""")
+def unigram_probs_en(spark, sf):
+    d = D.dfm_from_arrays(_en_arrays(spark, sf))
+    u = E.unigram_probs(d)
+    return u.select("term", "n", F.round("p", 9).alias("p"))
+
+
+# --- K2–K4 skip-gram PMI -------------------------------------------------------------------------------------------
+@register("skipgram_pmi_en", f"""
+WITH {tokens_cte("(SELECT * FROM documents WHERE lang = 'en')")},
+nt AS (SELECT doc_id, max(pos) AS nn FROM tok GROUP BY doc_id),
+w AS (SELECT DISTINCT t.doc_id, s.s, t.term FROM tok t JOIN nt USING (doc_id),
+        generate_series(greatest(1, t.pos - 5), least(t.pos, nt.nn - 5)) AS s(s) WHERE nt.nn >= 6),
+pairs AS (SELECT a.term AS term1, b.term AS term2, count(*) AS n FROM w a JOIN w b USING (doc_id, s) GROUP BY 1, 2),
+tot AS (SELECT sum(n) AS tn FROM pairs),
+uni AS (SELECT term, count(*) / (SELECT count(*) FROM tok) AS p FROM tok GROUP BY term)
+SELECT term1, term2, n, round(log10((n / tn) / u1.p / u2.p), 6) AS pmi
+FROM pairs, tot, uni u1, uni u2 WHERE n > 20 AND u1.term = term1 AND u2.term = term2""")
+def skipgram_pmi_en(spark, sf):
+    arr = _en_arrays(spark, sf)
+    pairs = E.skipgram_pairs(arr, 6)
+    uni = E.unigram_probs(D.dfm_from_arrays(arr))
+    p = E.pmi_table(pairs, uni, 20)
+    return p.select("term1", "term2", "n", F.round("pmi", 6).alias("pmi"))
+
+
+# --- K9 co-occurrence within ±6 tokens, stop words as pads ------------------------------------------------------------
+@register("fcm_top_en", f"""
+WITH {tokens_cte("(SELECT * FROM documents WHERE lang = 'en')")},
+k AS (SELECT * FROM tok WHERE term NOT IN ({STOP_EN_SQL}))
+SELECT a.term AS term1, b.term AS term2, count(*) AS n FROM k a JOIN k b
+  ON a.doc_id = b.doc_id AND abs(a.pos - b.pos) BETWEEN 1 AND 6
+GROUP BY 1, 2 ORDER BY n DESC, term1, term2 LIMIT 100""")
+def fcm_top_en(spark, sf):
+    arr = E.pad_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
+    f = E.fcm(arr, 6)
+    return f.orderBy(F.desc("n"), "term1", "term2").limit(100)
+
+
+# --- K11 word2vec neighbours (model-based: row check only) ---------------------------------------------------------------
+@register("word2vec_neighbours")
+def word2vec_neighbours(spark, sf):
+    arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
+    _, V = E.word2vec(arr, size=50, window=6, min_count=10, epochs=1)
+    top = D.topfeatures(D.dfm_from_arrays(arr), 1).select("term")
+    q = V.join(top, "term").select(F.col("vec").alias("_q"))
+    return E.nearest_to_vector(V, q, 10, measure="cosine")
+
+
+# --- K6 SVD of the PMI matrix (row check only) ------------------------------------------------------------------------------
+@register("svd_word_vectors")
+def svd_word_vectors(spark, sf):
+    arr = _en_arrays(spark, sf)
+    pairs = E.skipgram_pairs(arr, 6)
+    uni = E.unigram_probs(D.dfm_from_arrays(arr))
+    p = E.pmi_table(pairs, uni, 20)
+    V, _s = E.svd_vectors(p, 16)
+    return V.select("term", F.size("vec").alias("dims"), F.round(M.norm("vec"), 6).alias("norm"))
+
+
+# --- P2 ML k-means cluster sizes (row check only) ---------------------------------------------------------------------------
+@register("kmeans_embeddings")
+def kmeans_embeddings(spark, sf):
+    _, a = P.kmeans_ml(_vecs(spark, sf), 10, seed=1)
+    return a.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- P5–P9 LDA topics on English documents (row check only) --------------------------------------------------------------------
+@register("lda_topics_en")
+def lda_topics_en(spark, sf):
+    from pyspark.ml.feature import CountVectorizer
+    arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0).fit(arr)
+    counts = cv.transform(arr)
+    model = P.lda(counts, 5, seed=42, max_iter=10)
+    beta = P.tidy_beta(model, cv.vocabulary, spark)
+    gamma = P.tidy_gamma(model, counts)
+    labels = P.top_terms(beta, 10)
+    return P.topic_prevalence(gamma, labels).select("topic", "label", F.round("prevalence", 6).alias("prevalence"))
