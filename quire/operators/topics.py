@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import math as M
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 
 
 def kmeans_assign(X: DataFrame, centroids: DataFrame, key: str = "id", vec: str = "vec",
@@ -42,18 +42,18 @@ def kmeans_update(X: DataFrame, assign: DataFrame, key: str = "id", vec: str = "
 
 def kmeans_by_hand(X: DataFrame, init: DataFrame, key: str = "id", vec: str = "vec", max_iter: int = 10):
     """Alternate assignment and update until assignments stop changing or
-    ``max_iter`` rounds. Centroids are checkpointed each round (lineage cut
-    in the cluster's checkpoint folder)."""
+    ``max_iter`` rounds. Assignments and centroids are written to the
+    cluster's checkpoint folder each round (constant plan size)."""
     ensure_checkpoint_dir(X.sparkSession)
     cen = init
     prev = None
     for _ in range(max_iter):
-        a = kmeans_assign(X, cen, key, vec).checkpoint()
+        a = cut_lineage(kmeans_assign(X, cen, key, vec), "km-assign")
         if prev is not None:
             changed = a.join(prev.withColumnRenamed("cluster", "_p"), key).filter(F.col("cluster") != F.col("_p")).count()
             if changed == 0:
                 break
-        cen = kmeans_update(X, a, key, vec).checkpoint()
+        cen = cut_lineage(kmeans_update(X, a, key, vec), "km-centroids")
         prev = a
     return cen, a
 

@@ -50,3 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def cut_lineage(df, label: str = "t"):
+    """Write ``df`` as parquet under the cluster's checkpoint folder and read
+    it back: the returned DataFrame is a plain scan, so iterative jobs keep a
+    constant-size plan (a checkpointed DataFrame still carries its origin plan).
+    Written files survive executor loss."""
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/quire-tables/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
