@@ -41,12 +41,18 @@ def skipgram_pairs(arrays: DataFrame, size: int = 6, col: str = "toks") -> DataF
     """K2 + K3: ordered word pairs sharing a window of ``size`` tokens,
     diagonal included; a word repeated inside one window counts once there.
     Returns ``(term1, term2, n)`` (both orders) and the window count is
-    ``n(a, a)`` on the diagonal."""
+    ``n(a, a)`` on the diagonal.
+
+    One row per window (its distinct words), then two generators emit the
+    ≤ size² pairs — codegen'd explodes, no self-join on a window id.
+    """
     arrays = TK.pin(arrays.select(col), col)
-    wins = F.transform(window_arrays(col, size), lambda w: F.array_distinct(w))
-    pairs = F.flatten(F.transform(wins, lambda w: F.flatten(
-        F.transform(w, lambda x: F.transform(w, lambda y: F.struct(x.alias("term1"), y.alias("term2")))))))
-    ex = arrays.select(F.inline(pairs))
+    k = F.greatest(F.size(col) - F.lit(size - 1), F.lit(0))
+    wins = F.transform(F.sequence(F.lit(1), F.greatest(k, F.lit(1))),
+                       lambda i: F.array_distinct(F.slice(col, i, size)))
+    wins = F.when(k > 0, wins).otherwise(F.array().cast("array<array<string>>"))
+    ex = arrays.select(F.explode(wins).alias("_w"))
+    ex = ex.select(F.explode("_w").alias("term1"), "_w").select("term1", F.explode("_w").alias("term2"))
     return ex.groupBy("term1", "term2").agg(F.count(F.lit(1)).alias("n"))
 
 
