@@ -131,8 +131,9 @@ def vader(c: DataFrame, lexicon: Mapping[str, float], boosters: Mapping[str, flo
     """M9: valence scores per text → ``compound, pos, neu, neg``.
 
     Rules: word valence from ``lexicon``; a negation among the three previous
-    tokens multiplies by −0.74; boosters in the three previous tokens add
-    ±0.293 (scaled 1, 0.95, 0.9) in the valence's direction; an all-caps word in
+    tokens multiplies by −0.74; boosters (value +1 increases, −1 dampens) in
+    the three previous tokens add ±0.293 (scaled 1, 0.95, 0.9) in the
+    valence's direction; an all-caps word in
     a text that is not all caps adds ±0.733; ``!`` (at most 4) add 0.292 each
     in the direction of the sum; compound = x / √(x² + 15).
 
@@ -161,7 +162,7 @@ def vader(c: DataFrame, lexicon: Mapping[str, float], boosters: Mapping[str, flo
         boost = F.lit(0.0)
         if bst is not None:
             for p, scale in (("p1", 1.0), ("p2", 0.95), ("p3", 0.9)):
-                boost = boost + F.coalesce(F.try_element_at(bst, e[p]), F.lit(0.0)) * scale * sign
+                boost = boost + F.coalesce(F.try_element_at(bst, e[p]), F.lit(0.0)) * B_INCR * scale * sign
         neg = F.lit(False)
         for p in ("p1", "p2", "p3"):
             neg = neg | F.coalesce(e[p].isin(negs), F.lit(False)) if negs else neg
