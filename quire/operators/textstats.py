@@ -231,3 +231,36 @@ def group_word_shares(toks: DataFrame, by: str, a: str, b: str, term: str = "ter
     prop = cnt.join(F.broadcast(tot), by).withColumn("prop", F.col("n") / F.col("total"))
     wide = prop.groupBy(term).pivot(by, [a, b]).agg(F.first("prop")).na.drop(subset=[a, b])
     return wide.withColumn("more", F.when(F.col(a) > F.col(b), F.lit(f"more {a}")).otherwise(F.lit(f"more {b}")))
+
+
+# ---- text reuse ----------------------------------------------------------------------------
+
+def shingles(arrays: DataFrame, n: int = 5, keys: Iterable[str] = ("doc_id",), col: str = "toks") -> DataFrame:
+    """Distinct word n-gram shingles per text ``(keys…, shingle)``."""
+    keys = list(keys)
+    g = TK.pin(arrays, col).select(*keys, F.explode(F.array_distinct(TK.ngram_array(col, n, " "))).alias("shingle"))
+    return g
+
+
+def text_reuse_candidates(items: DataFrame, docs: DataFrame, n: int = 5, min_shared: int = 2,
+                          item_key: str = "item_id", doc_key: str = "doc_id",
+                          max_item_shingles: int = 20_000_000) -> DataFrame:
+    """L6 (candidate stage): documents sharing word n-grams with reference
+    passages, with shared-shingle count and containment (shared / shingles of
+    the passage).
+
+    The passage shingles are broadcast after their row count is checked; each
+    document shingle then probes a hash table, so a very common shingle costs
+    one lookup per occurrence instead of a skewed shuffle partition, and every
+    candidate is kept (no cap).
+    """
+    ia = TK.pin(TK.token_arrays(items, keys=[item_key]), "toks")
+    da = TK.pin(TK.token_arrays(docs, keys=[doc_key]), "toks")
+    ish = shingles(ia, n, [item_key])
+    tot = ish.groupBy(item_key).agg(F.count(F.lit(1)).alias("item_shingles"))
+    n_rows = ish.count()
+    side = F.broadcast(ish) if n_rows <= max_item_shingles else ish
+    dsh = shingles(da, n, [doc_key])
+    shared = dsh.join(side, "shingle").groupBy(item_key, doc_key).agg(F.count(F.lit(1)).alias("shared"))
+    out = shared.filter(F.col("shared") >= min_shared).join(F.broadcast(tot), item_key)
+    return out.withColumn("containment", F.col("shared") / F.col("item_shingles"))

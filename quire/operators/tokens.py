@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -317,3 +318,23 @@ def collocations(arrays: DataFrame, col: str = "toks", min_count: int = 2,
     pmi = F.ln(F.col("n11") * n_all / (F.col("n1_") * F.col("n_1")))
     return t.select(F.concat_ws(" ", "w1", "w2").alias("collocation"), F.col("n11").alias("count"),
                     lam.alias("lambda"), (lam / se).alias("z"), pmi.alias("pmi"))
+
+
+def _stem_series(s: pd.Series) -> pd.Series:
+    from ..functions.stemmer import porter
+    return s.map(porter)
+
+
+def stem_map(terms: DataFrame, term: str = "term") -> DataFrame:
+    """``(term, stem)`` for the distinct terms of ``terms`` (Porter,
+    English), computed once per vocabulary entry in Arrow batches."""
+    stem = F.pandas_udf(_stem_series, "string")
+    v = terms.select(term).distinct()
+    return v.select(term, stem(F.col(term)).alias("stem"))
+
+
+def tokens_wordstem(toks: DataFrame, term: str = "term") -> DataFrame:
+    """Replace each token by its stem (positions kept). The stem map is
+    built on the vocabulary and joined back (AQE broadcasts it when small)."""
+    m = stem_map(toks, term)
+    return toks.join(m, term).withColumn(term, F.col("stem")).drop("stem")

@@ -331,3 +331,40 @@ FROM pages""")
 def page_text(spark, sf):
     p = T.strip_html_table(table(spark, sf, "pages"), "html", "text")
     return p.select("page_id", F.char_length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+# --- I10 / J6 stemmed features (Porter on the vocabulary) -------------------------------------
+@register("stemmed_top_features")
+def stemmed_top_features(spark, sf):
+    """Top 20 stems of English documents after stop-word removal; stemming
+    happens once per distinct term and is joined back (row check only: the
+    SQL engine's stemmer needs an extension download)."""
+    docs = _docs(spark, sf, "doc_id", "lang", "text").filter(F.col("lang") == "en")
+    t = T.remove_stopwords(T.unnest_tokens(docs))
+    d = D.dfm(T.tokens_wordstem(t))
+    return D.topfeatures(d, 20)
+
+
+# --- L6 text reuse: benchmark passages inside documents ---------------------------------------
+_SHINGLE_N = 5
+
+
+def _shingle_sql(src: str, key: str) -> str:
+    return (f"SELECT DISTINCT {key}, array_to_string(a[i:i + {_SHINGLE_N - 1}], ' ') AS shingle FROM "
+            f"(SELECT {key}, a, unnest(generate_series(1, len(a) - {_SHINGLE_N - 1})) AS i FROM "
+            f"(SELECT {key}, regexp_extract_all(lower(text), '{WORD_SQL}') AS a FROM {src}))")
+
+
+@register("text_reuse_benchmark", f"""
+WITH ish AS ({_shingle_sql('benchmark', 'item_id')}),
+dsh AS ({_shingle_sql('documents', 'doc_id')}),
+tot AS (SELECT item_id, count(*) AS item_shingles FROM ish GROUP BY item_id),
+sh AS (SELECT item_id, doc_id, count(*) AS shared FROM dsh JOIN ish USING (shingle) GROUP BY 1, 2)
+SELECT item_id, doc_id, shared, item_shingles, round(shared / item_shingles, 6) AS containment
+FROM sh JOIN tot USING (item_id) WHERE shared >= 2""")
+def text_reuse_benchmark(spark, sf):
+    from ..operators.textstats import text_reuse_candidates
+    items = table(spark, sf, "benchmark")
+    docs = _docs(spark, sf, "doc_id", "text")
+    c = text_reuse_candidates(items, docs, n=_SHINGLE_N, min_shared=2)
+    return c.select("item_id", "doc_id", "shared", "item_shingles", F.round("containment", 6).alias("containment"))
