@@ -91,6 +91,21 @@ def dfm_trim(d: DataFrame, n_docs=None, min_docfreq=None, max_docfreq=None,
     return d.join(keep, term, "left_semi")
 
 
+def dfm_trim_stats(d: DataFrame, n_docs, min_docfreq=None, max_docfreq=None, docfreq_type: str = "count",
+                   term: str = "term") -> tuple[DataFrame, DataFrame]:
+    """J4 returning ``(trimmed dfm, kept stats (term, df, tf))`` so later steps
+    (tf-idf) reuse the document frequencies instead of recounting."""
+    stats = docfreq(d, term)
+    df_val = F.col("df") / _scalar(n_docs) if docfreq_type == "prop" else F.col("df")
+    cond = F.lit(True)
+    if min_docfreq is not None:
+        cond = cond & (df_val >= F.lit(min_docfreq))
+    if max_docfreq is not None:
+        cond = cond & (df_val <= F.lit(max_docfreq))
+    keep = stats.filter(cond)
+    return d.join(keep.select(term), term, "left_semi"), keep
+
+
 def dfm_remove(d: DataFrame, words, term: str = "term") -> DataFrame:
     """Remove features (fixed list or table)."""
     return remove_stopwords(d, words, term)
@@ -117,13 +132,16 @@ def dfm_weight_prop(d: DataFrame, keys: Iterable[str] = ("doc_id",), value: str
 
 
 def dfm_tfidf(d: DataFrame, n_docs, keys: Iterable[str] = ("doc_id",), term: str = "term",
-              base: float = 10.0, scheme_tf: str = "prop") -> DataFrame:
+              base: float = 10.0, scheme_tf: str = "prop", stats: DataFrame | None = None) -> DataFrame:
     """Tf × idf with idf = log_base(N / df) (no smoothing; Spark ML's IDF differs).
 
     ``scheme_tf='prop'`` uses shares of the document total, ``'count'`` raw counts.
+    ``stats`` (``term, df``) may be passed when already computed (e.g. by a
+    trim: trimming removes terms, never documents, so df is unchanged).
     """
     keys = list(keys)
-    stats = d.groupBy(term).agg(F.count(F.lit(1)).alias("_df"))
+    stats = (stats.select(term, F.col("df").alias("_df")) if stats is not None
+             else d.groupBy(term).agg(F.count(F.lit(1)).alias("_df")))
     ratio = _scalar(n_docs) / F.col("_df")
     idf = F.log10(ratio) if base == 10 else (F.ln(ratio) if base == "e" else F.log(float(base), ratio))
     tf = (F.col("n") / F.sum("n").over(Window.partitionBy(*keys))) if scheme_tf == "prop" else F.col("n")

@@ -98,13 +98,19 @@ def label_by_sign(score: Column | str, positive: str = "Positive", negative: str
     return F.when(s > 0, positive).when(s < 0, negative)
 
 
-def tone(d: DataFrame, dictionary: DataFrame, keys: Iterable[str] = ("doc_id",), term: str = "term") -> DataFrame:
-    """M6: weighted tone Σ n·w / Σ n over dictionary words, per document."""
+def tone(d: DataFrame, dictionary: DataFrame, keys: Iterable[str] = ("doc_id",), term: str = "term",
+         decimals: int = 4) -> DataFrame:
+    """M6: weighted tone Σ n·w / Σ n over dictionary words, per document.
+
+    Weights are taken to ``decimals`` places and summed as integers, so the
+    sums are exact in any order and the result does not depend on partitioning.
+    """
     keys = list(keys)
+    scale = 10 ** decimals
     m = resolve(d.select(term), dictionary, term).groupBy(term).agg(F.avg("weight").alias("weight"))
-    j = d.join(m, term)
-    g = j.groupBy(*keys).agg(F.sum(F.col("n") * F.col("weight")).alias("_s"), F.sum("n").alias("n_dict"))
-    return g.select(*keys, "n_dict", (F.col("_s") / F.col("n_dict")).alias("tone"))
+    j = d.join(m, term).withColumn("_wi", F.round(F.col("weight") * scale).cast("long"))
+    g = j.groupBy(*keys).agg(F.sum(F.col("n") * F.col("_wi")).alias("_s"), F.sum("n").alias("n_dict"))
+    return g.select(*keys, "n_dict", (F.col("_s") / (F.col("n_dict") * F.lit(float(scale)))).alias("tone"))
 
 
 # ---- VADER-style valence scoring ---------------------------------------------------------

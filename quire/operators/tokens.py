@@ -73,10 +73,11 @@ def token_pattern(keep_punct: bool = False, keep_url: bool = True) -> str:
 
 def token_arrays(df: DataFrame, text: str = "text", keys: Iterable[str] = ("doc_id",),
                  lower: bool = True, pattern: str = WORD, out: str = "toks") -> DataFrame:
-    """Token array per document (narrow: no shuffle)."""
+    """Token array per document (narrow: no shuffle), computed once per row
+    (see :func:`pin`)."""
     t = _c(text)
     t = F.lower(t) if lower else t
-    return df.select(*keys, F.regexp_extract_all(t, F.lit(pattern), 0).alias(out))
+    return pin(df.select(*keys, F.regexp_extract_all(t, F.lit(pattern), 0).alias(out)), out)
 
 
 def pin(df: DataFrame, col: str) -> DataFrame:

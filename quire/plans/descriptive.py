@@ -8,6 +8,7 @@ from ..operators import dfm as D
 from ..operators import relational as R
 from ..operators import textstats as S
 from ..operators import tokens as T
+from ..session import cut_lineage
 from ..sources.tables import table
 from .registry import register
 from .sqlparts import STOP_EN_SQL, WORD_SQL, SENT_SQL, tokens_cte
@@ -135,10 +136,11 @@ sim AS (SELECT n.doc_id, coalesce(dots.dot, 0) / (n.nrm * (SELECT nrm FROM norms
 def _en_tfidf(spark, sf):
     docs = _docs(spark, sf, "doc_id", "lang", "source", "text").filter(F.col("lang") == "en")
     arr = T.filter_array(T.token_arrays(docs), drop=T.STOPWORDS_EN)
-    d = D.dfm_from_arrays(arr)
+    d = cut_lineage(D.dfm_from_arrays(arr), "dfm-en")
     n_docs = docs.select(F.count(F.lit(1)))
-    d = D.dfm_trim(d, n_docs=n_docs, min_docfreq=0.05, max_docfreq=0.95, docfreq_type="prop")
-    return docs, D.dfm_tfidf(d, n_docs=n_docs)
+    d, kept = D.dfm_trim_stats(d, n_docs, min_docfreq=0.05, max_docfreq=0.95, docfreq_type="prop")
+    # the weighted table feeds norms, query vectors and dot products
+    return docs, cut_lineage(D.dfm_tfidf(d, n_docs=n_docs, stats=kept), "tfidf-en")
 
 
 def _first_en(docs):

@@ -8,6 +8,7 @@ from ..operators import dfm as D
 from ..operators import lexicon as L
 from ..operators import relational as R
 from ..operators import tokens as T
+from ..session import cut_lineage
 from ..sources.tables import table
 from .registry import register
 from .sqlparts import tokens_cte
@@ -62,7 +63,7 @@ wide AS (SELECT k.conv_id, k.turn, k.role,
 def _conv_counts(spark, sf):
     conv = table(spark, sf, "conversations")
     keys = ["conv_id", "turn"]
-    d = D.dfm_from_arrays(T.token_arrays(conv, keys=keys), keys=keys)
+    d = cut_lineage(D.dfm_from_arrays(T.token_arrays(conv, keys=keys), keys=keys), "dfm-turns")
     dic = L.dictionary_table(spark, SENTIMENT)
     w = L.lookup_wide(conv, d, dic, CATEGORIES, keys=keys)
     return w.join(conv.select(*keys, "role"), keys)
@@ -125,14 +126,14 @@ dfm AS (SELECT doc_id, term, count(*) AS n FROM tok GROUP BY 1, 2),
 vocab AS (SELECT DISTINCT term FROM dfm),
 m0 AS ({_resolve_sql('vocab', SENTIMENT, TONE_WEIGHTS)}),
 m AS (SELECT term, avg(weight) AS weight FROM m0 GROUP BY term)
-SELECT doc_id, sum(n) AS n_dict, round(sum(n * weight) / sum(n), 6) AS tone
+SELECT doc_id, sum(n) AS n_dict, CAST(sum(n * CAST(round(weight * 10000) AS BIGINT)) AS DOUBLE) / (sum(n) * 10000.0) AS tone
 FROM dfm JOIN m USING (term) GROUP BY doc_id""")
 def document_tone(spark, sf):
     docs = table(spark, sf, "documents")
     d = D.dfm_from_arrays(T.token_arrays(docs))
     dic = L.dictionary_table(spark, SENTIMENT, TONE_WEIGHTS)
     t = L.tone(d, dic)
-    return t.select("doc_id", "n_dict", F.round("tone", 6).alias("tone"))
+    return t.select("doc_id", "n_dict", "tone")
 
 
 @register("hierarchical_counts", f"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import corpus as C
 from ..operators import dfm as D
 from ..operators import tokens as T
+from ..session import cut_lineage
 from ..sources.tables import table
 from .registry import register
 from .sqlparts import STOP_EN_SQL, WORD_SQL, SENT_SQL, tokens_cte
@@ -40,10 +41,11 @@ def top_terms_by_source(spark, sf_dir, k: int = 10):
     docs = table(spark, sf_dir, "documents").filter(F.col("lang") == "en").select("doc_id", "source", "text")
     arrays = T.token_arrays(docs, keys=["doc_id"])
     arrays = T.filter_array(arrays, drop=T.STOPWORDS_EN)
-    d = D.dfm_from_arrays(arrays)
+    # the dfm is read three times (trim stats, weights, grouping): tokenise once
+    d = cut_lineage(D.dfm_from_arrays(arrays), "dfm-en")
     n_docs = docs.select(F.count(F.lit(1)))
-    d = D.dfm_trim(d, n_docs=n_docs, min_docfreq=0.05, max_docfreq=0.95, docfreq_type="prop")
-    w = D.dfm_tfidf(d, n_docs=n_docs)
+    d, kept = D.dfm_trim_stats(d, n_docs, min_docfreq=0.05, max_docfreq=0.95, docfreq_type="prop")
+    w = D.dfm_tfidf(d, n_docs=n_docs, stats=kept)
     g = D.dfm_group(w, docs, "source", value="w")
     ranked = g.withColumn("rank", F.rank().over(
         Window.partitionBy("source").orderBy(F.round("w", 9).desc())))
@@ -227,7 +229,7 @@ WHERE rank <= 3""")
 def doc_top_tfidf(spark, sf):
     from ..operators import relational as R
     docs = _docs(spark, sf, "doc_id", "text")
-    d = D.dfm_from_arrays(T.token_arrays(docs))
+    d = cut_lineage(D.dfm_from_arrays(T.token_arrays(docs)), "dfm-all")
     w = D.dfm_tfidf(d, n_docs=docs.select(F.count(F.lit(1))))
     top = R.top_n(w, "doc_id", F.round("w", 9), 3)
     return top.select("doc_id", "term", F.round("w", 6).alias("tfidf"), "rank")
