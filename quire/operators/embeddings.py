@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -298,3 +299,80 @@ def procrustes_align(base: DataFrame, other: DataFrame, term: str = "term", vec:
         F.sequence(F.lit(0), F.lit(dim - 1)), F.lit(0.0),
         lambda acc, i: acc + F.col(vec)[i].cast("double") * rot[i * dim + k])).alias(vec))
     return out
+
+
+# ---- GloVe ------------------------------------------------------------------------------------
+
+_GLOVE_OUT = "term string, vec array<double>, bias double, loss double"
+
+
+def _glove_side(bv, rank: int, x_max: float, alpha: float, reg: float):
+    """Per word: weighted ridge for (vector, bias) against the fixed other side
+    (read from the broadcast ``bv`` on the executor):
+    minimise Σ_j f(X_ij) (w·c_j + b + b̃_j − log X_ij)² + reg‖w‖²."""
+    import numpy as np
+
+    def solve(pdf):
+        other_vecs, other_bias = bv.value
+        C = np.stack([other_vecs[j] for j in pdf["j"]])
+        bt = np.array([other_bias[j] for j in pdf["j"]])
+        x = pdf["n"].to_numpy(dtype=float)
+        f = np.minimum((x / x_max) ** alpha, 1.0)
+        y = np.log(x) - bt
+        A = np.hstack([C, np.ones((len(C), 1))])
+        AtW = A.T * f
+        M = AtW @ A + reg * np.eye(rank + 1)
+        M[rank, rank] -= reg  # bias not penalised
+        sol = np.linalg.solve(M + 1e-9 * np.eye(rank + 1), AtW @ y)
+        resid = A @ sol - y
+        return pd.DataFrame({"term": [pdf["term"].iloc[0]], "vec": [sol[:rank].tolist()], "bias": [float(sol[rank])],
+                             "loss": [float((f * resid ** 2).sum())]})
+    return solve
+
+
+def glove(cooc: DataFrame, rank: int = 50, x_max: float = 10.0, alpha: float = 0.75, iters: int = 10,
+          reg: float = 0.01, seed: int = 42, max_vocab: int = 500_000):
+    """GloVe's weighted least-squares objective on co-occurrence counts
+    ``(term1, term2, n)``, fitted by alternating weighted ridge regressions
+    (main vectors given context vectors, then the reverse) — not AdaGrad, so
+    compare by loss and neighbours, not by values.
+
+    Each word's rows form one ``applyInPandas`` group (at most the vocabulary
+    size, whatever the corpus size); the fixed side (V × rank) is collected and
+    broadcast after checking V against ``max_vocab``. Returns
+    ``(vectors (term, vec) = main + context, losses per iteration)``.
+    """
+    import numpy as np
+
+    spark = cooc.sparkSession
+    from ..session import cut_lineage
+    co = cut_lineage(cooc.filter(F.col("n") > 0).select("term1", "term2", F.col("n").cast("double").alias("n")), "glove-cooc")
+    vocab = [r[0] for r in co.select("term1").union(co.select("term2")).distinct().collect()] \
+        if co.select("term1").union(co.select("term2")).distinct().count() <= max_vocab else None
+    if vocab is None:
+        raise ValueError(f"vocabulary exceeds max_vocab={max_vocab}")
+    rng = np.random.default_rng(seed)
+    ctx = {t: (rng.random(rank) - 0.5) / rank for t in vocab}
+    ctx_b = {t: 0.0 for t in vocab}
+    main, main_b = dict(ctx), dict(ctx_b)
+    losses = []
+    for _ in range(iters):
+        for side in ("main", "context"):
+            other, other_b = (ctx, ctx_b) if side == "main" else (main, main_b)
+            bv = spark.sparkContext.broadcast((other, other_b))
+            key, j = ("term1", "term2") if side == "main" else ("term2", "term1")
+            rows = co.select(F.col(key).alias("term"), F.col(j).alias("j"), "n")
+            solver = _glove_side(bv, rank, x_max, alpha, reg)
+            out = rows.groupBy("term").applyInPandas(solver, _GLOVE_OUT).collect()  # V rows: the fitted side
+            bv.unpersist()
+            upd = {r["term"]: np.array(r["vec"]) for r in out}
+            upd_b = {r["term"]: r["bias"] for r in out}
+            if side == "main":
+                main.update(upd); main_b.update(upd_b)
+            else:
+                ctx.update(upd); ctx_b.update(upd_b)
+            loss = float(sum(r["loss"] for r in out))
+        losses.append(loss)
+    vec = [(t, (main[t] + ctx[t]).tolist()) for t in vocab]
+    V = spark.createDataFrame(vec, "term string, vec array<double>")
+    return V, losses

@@ -189,3 +189,23 @@ def lda_topics_en(spark, sf):
     gamma = P.tidy_gamma(model, counts)
     labels = P.top_terms(beta, 10)
     return P.topic_prevalence(gamma, labels).select("topic", "label", F.round("prevalence", 6).alias("prevalence"))
+
+
+# --- K9 + K10 GloVe on English co-occurrences (iterative: row check only) ----------------------------
+@register("glove_neighbours")
+def glove_neighbours(spark, sf):
+    """GloVe vectors (rank 25) from ±6 co-occurrences of English documents with
+    stop words as pads and terms seen ≥ 10 times; the 10 nearest words (cosine)
+    to the most frequent kept term."""
+    arr = _en_arrays(spark, sf)
+    counts = D.dfm_from_arrays(arr).groupBy("term").agg(F.sum("n").alias("n"))
+    keep = counts.filter(F.col("n") >= 10).select("term")
+    keep_terms = keep.join(spark.createDataFrame([(w,) for w in T.STOPWORDS_EN], "term string"), "term", "left_anti")
+    padded = E.pad_array(arr, drop=T.STOPWORDS_EN)
+    f = E.fcm(padded, 6).join(keep_terms.withColumnRenamed("term", "term1"), "term1", "left_semi") \
+        .join(keep_terms.withColumnRenamed("term", "term2"), "term2", "left_semi")
+    V, _losses = E.glove(f, rank=25, iters=5)
+    top = counts.join(keep_terms, "term").orderBy(F.desc("n"), "term").limit(1).select("term")
+    q = V.join(top, "term").select(F.col("vec").alias("_q"))
+    r = E.nearest_to_vector(V, q, 10, measure="cosine")
+    return r.select("term", F.round("score", 6).alias("score"))

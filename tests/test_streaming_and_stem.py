@@ -40,3 +40,15 @@ def test_streaming_counts_match_batch(spark):
     sc = {r.doc_id: (r.positive, r.negative) for r in spark.table("quire_scores").collect()}
     s2.stop()
     assert sc == {1: (1, 0), 2: (1, 1), 3: (0, 0)}
+
+
+def test_glove_loss_decreases(spark):
+    import numpy as np
+    from quire.operators import embeddings as E
+    rng = np.random.default_rng(0)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(a, b, float(rng.integers(1, 30))) for a in words for b in words if a != b and rng.random() < 0.6]
+    co = spark.createDataFrame(rows, "term1 string, term2 string, n double")
+    V, losses = E.glove(co, rank=4, iters=4)
+    assert V.count() == 12 and len(V.first().vec) == 4
+    assert losses[-1] <= losses[0]
