@@ -370,3 +370,29 @@ def text_reuse_benchmark(spark, sf):
     docs = _docs(spark, sf, "doc_id", "text")
     c = text_reuse_candidates(items, docs, n=_SHINGLE_N, min_shared=2)
     return c.select("item_id", "doc_id", "shared", "item_shingles", F.round("containment", 6).alias("containment"))
+
+
+# --- I17–I19 factorial preprocessing and preText (document sample by design) ------------------
+def _pretext(spark, sf):
+    from ..operators import pretext as PT
+    from ..operators import relational as R
+    docs = _docs(spark, sf, "doc_id", "lang", "text").filter(F.col("lang") == "en").select("doc_id", "text")
+    sample = R.sample_n(docs, 50, "doc_id", seed=2)
+    f = cut_lineage(PT.factorial_dfm(sample, threshold=0.2), "factorial-dfm")
+    return PT, cut_lineage(PT.pretext_scores(f, k=20), "pretext")
+
+
+@register("pretext_scores")
+def pretext_scores(spark, sf):
+    """preText score of each of the 64 preprocessing combinations on a seeded
+    sample of 50 English documents (the diagnostic compares all document
+    pairs, so it is defined on a sample)."""
+    PT, s = _pretext(spark, sf)
+    return s.join(PT.combinations(spark), "combo").withColumn("pretext_score", F.round("pretext_score", 6))
+
+
+@register("pretext_regression")
+def pretext_regression(spark, sf):
+    """Regression of the preText scores on the six step flags."""
+    PT, s = _pretext(spark, sf)
+    return PT.pretext_regression(s).withColumn("coef", F.round("coef", 6))
