@@ -57,10 +57,40 @@ def skipgram_pairs(arrays: DataFrame, size: int = 6, col: str = "toks") -> DataF
     return ex.groupBy("term1", "term2").agg(F.count(F.lit(1)).alias("n"))
 
 
-def pmi_table(pairs: DataFrame, uni: DataFrame, min_n: int = 20) -> DataFrame:
+def skipgram_pairs_half(arrays: DataFrame, size: int = 6, col: str = "toks") -> DataFrame:
+    """K3 in half: counts for ``term1 <= term2`` only (the table is symmetric),
+    so the aggregation sees half the rows; :func:`mirror_pairs` restores both
+    orders where needed (after filtering)."""
+    arrays = TK.pin(arrays.select(col), col)
+    k = F.greatest(F.size(col) - F.lit(size - 1), F.lit(0))
+    wins = F.transform(F.sequence(F.lit(1), F.greatest(k, F.lit(1))),
+                       lambda i: F.array_sort(F.array_distinct(F.slice(col, i, size))))
+    wins = F.when(k > 0, wins).otherwise(F.array().cast("array<array<string>>"))
+    ex = arrays.select(F.explode(wins).alias("_w"))
+    # in a sorted window, position i pairs with positions j >= i
+    ex = ex.select(F.posexplode("_w").alias("_i", "term1"), "_w")
+    ex = ex.select("term1", F.explode(F.slice("_w", F.col("_i") + 1, F.size("_w"))).alias("term2"))
+    return ex.groupBy("term1", "term2").agg(F.count(F.lit(1)).alias("n"))
+
+
+def mirror_pairs(half: DataFrame) -> DataFrame:
+    """Both orders from a ``term1 <= term2`` table (diagonal once)."""
+    off = half.filter(F.col("term1") != F.col("term2"))
+    return half.unionByName(off.select(F.col("term2").alias("term1"), F.col("term1").alias("term2"), "n"))
+
+
+def pmi_table(pairs: DataFrame, uni: DataFrame, min_n: int = 20, half: bool = False) -> DataFrame:
     """K4: PMI = log10(p12 / p1 / p2); p12 is the pair's share of all pair
-    counts (computed **before** the filter ``n > min_n``)."""
-    total = pairs.select(F.sum("n")).scalar()
+    counts (computed **before** the filter ``n > min_n``). The pair table is
+    written once to the checkpoint folder (it is read for the total and for
+    the filter). ``half=True`` takes a :func:`skipgram_pairs_half` table."""
+    from ..session import cut_lineage
+    pairs = cut_lineage(pairs, "pairs")  # read twice (total, filter): aggregate once
+    if half:  # total over both orders; mirror only the (few) kept pairs
+        total = pairs.select(F.sum(F.when(F.col("term1") == F.col("term2"), F.col("n")).otherwise(2 * F.col("n")))).scalar()
+        pairs = mirror_pairs(pairs.filter(F.col("n") > min_n))
+    else:
+        total = pairs.select(F.sum("n")).scalar()
     p = pairs.withColumn("p12", F.col("n") / total).filter(F.col("n") > min_n)
     u1 = uni.select(F.col("term").alias("term1"), F.col("p").alias("p1"))
     u2 = uni.select(F.col("term").alias("term2"), F.col("p").alias("p2"))

@@ -193,6 +193,8 @@ def group_distances(d: DataFrame, group: str, term: str = "term", value: str = "
     Canberra use ``Σ|a−b| = Σa + Σb − 2Σmin`` (weights ≥ 0) and "one-sided
     terms count 1".
     """
+    from ..session import cut_lineage
+    d = cut_lineage(d.select(group, term, value), "group-dfm")  # read three times below
     groups = d.select(group).distinct()
     n = groups.count()
     if n > max_groups:

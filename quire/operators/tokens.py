@@ -304,7 +304,8 @@ def collocations(arrays: DataFrame, col: str = "toks", min_count: int = 2,
     pairs = pin(arrays, col).select(F.explode(ngram_array(col, 2, "\u001f")).alias("_g"))
     pairs = pairs.select(F.split("_g", "\u001f").alias("_p"))
     pairs = pairs.select(F.col("_p")[0].alias("w1"), F.col("_p")[1].alias("w2"))
-    counts = pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n11"))
+    from ..session import cut_lineage
+    counts = cut_lineage(pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n11")), "bigram-counts")
     n_all = counts.select(F.sum("n11")).scalar()
     first = counts.groupBy("w1").agg(F.sum("n11").alias("n1_"))
     second = counts.groupBy("w2").agg(F.sum("n11").alias("n_1"))

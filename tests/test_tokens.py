@@ -89,3 +89,12 @@ def test_lemmatize(spark):
     t = T.unnest_tokens(_docs(spark, "cats ran"))
     lm = spark.createDataFrame([("cats", "cat")], "term string, lemma string")
     assert sorted(r.term for r in T.lemmatize(t, lm).collect()) == ["cat", "ran"]
+
+
+def test_skipgram_half_matches_full(spark):
+    from quire.operators import embeddings as E
+    arr = T.token_arrays(_docs(spark, "a b a c d e f a b", "x y z x y z x"))
+    full = {(r.term1, r.term2): r.n for r in E.skipgram_pairs(arr, 3).collect()}
+    both = {(r.term1, r.term2): r.n for r in E.mirror_pairs(E.skipgram_pairs_half(arr, 3)).collect()}
+    assert full == both
+    assert full[("a", "a")] == 5  # windows holding "a" (5 of the 7)
