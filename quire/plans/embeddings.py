@@ -209,3 +209,66 @@ def glove_neighbours(spark, sf):
     q = V.join(top, "term").select(F.col("vec").alias("_q"))
     r = E.nearest_to_vector(V, q, 10, measure="cosine")
     return r.select("term", F.round("score", 6).alias("score"))
+
+
+# --- K15 / K17 / K19 on the embedding table (row checks) -------------------------------------------
+def _vterms(spark, sf):
+    return _vecs(spark, sf).select(F.col("vec_id").cast("string").alias("term"), "vec", "label")
+
+
+@register("expanded_seeds")
+def expanded_seeds(spark, sf):
+    """The 5 nearest vectors (dot product) of each seed, per category."""
+    V = _vterms(spark, sf)
+    seeds = spark.createDataFrame([("alpha", "0"), ("alpha", "1"), ("beta", "2")], "category string, pattern string")
+    return E.expand_dict(seeds, V.select("term", "vec"), n=5).select("category", "seed", "term", F.round("score", 6).alias("score"), "rank")
+
+
+@register("axis_projection_vectors")
+def axis_projection_vectors(spark, sf):
+    """Projection of every vector on the axis of two antonym pairs."""
+    V = _vterms(spark, sf).select("term", "vec")
+    p = E.axis_projection(V, [("0", "1"), ("2", "3")])
+    return p.select("term", F.round("projection", 6).alias("projection"))
+
+
+@register("relative_norm_labels")
+def relative_norm_labels(spark, sf):
+    """Distance to the centroid of label 0 minus distance to label 1's."""
+    V = _vterms(spark, sf)
+    cen = E.mean_vectors(V, "label")
+    c0 = cen.filter(F.col("label") == 0).select("vec")
+    c1 = cen.filter(F.col("label") == 1).select("vec")
+    return E.relative_norm(V.select("term", "vec"), c0, c1).select("term", F.round("relative_norm", 6).alias("relative_norm"))
+
+
+# --- P2–P4 k-means on proportion dfm, top words per cluster (row check) ---------------------------------
+@register("kmeans_cluster_terms")
+def kmeans_cluster_terms(spark, sf):
+    """k-means (k=10) on English documents' proportion vectors (CountVectorizer
+    vocabulary, min 5 documents); 10 top words per cluster and cluster sizes."""
+    from pyspark.ml.feature import CountVectorizer, Normalizer
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import vector_to_array
+    arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
+    cv = CountVectorizer(inputCol="toks", outputCol="counts", minDF=5.0).fit(arr)
+    x = Normalizer(inputCol="counts", outputCol="features", p=1.0).transform(cv.transform(arr))
+    m = KMeans(k=10, seed=1, featuresCol="features", predictionCol="cluster").fit(x)
+    centers = spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(m.clusterCenters())],
+                                    "cluster int, vec array<double>")  # k × vocabulary, bounded by the model
+    vocab = spark.createDataFrame(list(enumerate(cv.vocabulary)), "idx int, term string")
+    terms = P.cluster_terms(centers, vocab, 10)
+    sizes = m.transform(x).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    del vector_to_array
+    return terms.join(sizes, "cluster", "left")
+
+
+# --- P12 topic correlations (row check) -----------------------------------------------------------------------
+@register("lda_topic_correlation")
+def lda_topic_correlation(spark, sf):
+    from pyspark.ml.feature import CountVectorizer
+    arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0).fit(arr)
+    counts = cv.transform(arr)
+    model = P.lda(counts, 5, seed=42, max_iter=10)
+    return P.topic_corr(P.tidy_gamma(model, counts)).withColumn("corr", F.round("corr", 6))

@@ -312,3 +312,18 @@ SELECT p_size, p_brand, row_number() OVER (PARTITION BY p_size ORDER BY n DESC,
 def brand_order_within_size(spark, sf):
     g = R.count_by(_t(spark, sf, "part"), "p_size", "p_brand")
     return R.order_within(g, "p_size", "n", tie="p_brand")
+
+
+# Q7 stand-in: Poisson regression of event counts (row check)
+@register("event_count_model")
+def event_count_model(spark, sf):
+    """Q7: Poisson GLM of per-user, per-type event counts on the user's mean
+    value and a purchase indicator (penalised); coefficients out."""
+    from ..operators.scaling import sharing_model
+    e = _t(spark, sf, "events")
+    c = e.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).cast("double").alias("n"),
+                                               F.avg("value").alias("mean_value"))
+    c = c.withColumn("is_purchase", (F.col("event_type") == "purchase").cast("double"))
+    m = sharing_model(c, "n", ["mean_value", "is_purchase"], reg=0.01)
+    rows = [("intercept", float(m.intercept))] + [(k, float(v)) for k, v in zip(["mean_value", "is_purchase"], m.coefficients)]
+    return spark.createDataFrame(rows, "term string, coef double").withColumn("coef", F.round("coef", 6))

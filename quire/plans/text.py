@@ -396,3 +396,23 @@ def pretext_regression(spark, sf):
     """Regression of the preText scores on the six step flags."""
     PT, s = _pretext(spark, sf)
     return PT.pretext_regression(s).withColumn("coef", F.round("coef", 6))
+
+
+# --- E9 coverage ratio: dictionary-word tokens per function-word token, by source -------------
+@register("coverage_ratio_by_source", f"""
+WITH {tokens_cte('documents', keys='doc_id, source')},
+cls AS (SELECT term, CASE WHEN term IN ({STOP_EN_SQL}) THEN 'function'
+                          WHEN term IN ('good', 'great', 'fine', 'bad', 'poor', 'not') THEN 'sentiment' END AS class
+        FROM (SELECT DISTINCT term FROM tok))
+SELECT source, CAST(count(*) FILTER (WHERE class = 'sentiment') AS BIGINT) AS n_num,
+       CAST(count(*) FILTER (WHERE class = 'function') AS BIGINT) AS n_den,
+       CAST(count(*) FILTER (WHERE class = 'sentiment') AS DOUBLE) / count(*) FILTER (WHERE class = 'function') AS ratio
+FROM tok JOIN cls USING (term) WHERE class IS NOT NULL GROUP BY source""")
+def coverage_ratio_by_source(spark, sf):
+    from ..operators.relational import coverage_ratio
+    t = T.unnest_tokens(_docs(spark, sf, "doc_id", "source", "text"), keys=["doc_id", "source"])
+    rows = [(w, "function") for w in T.STOPWORDS_EN] + \
+        [(w, "sentiment") for w in ("good", "great", "fine", "bad", "poor", "not") if w not in T.STOPWORDS_EN]
+    classes = spark.createDataFrame(rows, "term string, class string")
+    r = coverage_ratio(t, F.broadcast(classes), ["source"], "sentiment", "function")
+    return r.select("source", F.col("n_num").cast("long"), F.col("n_den").cast("long"), F.col("ratio").cast("double"))
