@@ -6,7 +6,7 @@ columns. Nothing here collects to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens as T
@@ -71,16 +71,37 @@ def texts(c: DataFrame) -> DataFrame:
     return c.select("doc_id", "text")
 
 
-def group_texts(c: DataFrame, by: str, sep: str = "\n\n", order: str = "doc_id") -> DataFrame:
-    """Concatenate texts per group, in ``order``.
+def group_texts(c: DataFrame, by: str, order: str = "doc_id") -> DataFrame:
+    """The texts of each group as one ordered document in long form
+    ``(by, part, text)`` — ``part`` is the ``order`` value, so the parts sort in
+    document order without any per-group window.
 
-    The group's texts are gathered into one row (the result *is* one text per
-    group); Spark spills the sort, and the partial ``collect_list`` keeps the
-    shuffle to the texts themselves.
+    Downstream operators treat ``by`` as the document key (tokens and dfms of
+    the grouped document are the union of its parts), so a group holding a
+    third of the corpus is never gathered into a single row or task.
     """
-    g = c.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("text").alias("t")))).alias("_p"),
-                          F.count(F.lit(1)).alias("n_docs"))
-    return g.select(by, "n_docs", F.array_join(F.transform("_p", lambda s: s["t"]), sep).alias("text"))
+    return c.select(by, F.col(order).alias("part"), "text")
+
+
+def group_texts_summary(c: DataFrame, by: str, sep: str = "\n\n") -> DataFrame:
+    """B8 measures of the concatenated text per group without building it:
+    documents, characters of the joined text (separators included) and an
+    order-insensitive content fingerprint (sum of 32-bit md5 prefixes)."""
+    fp = F.conv(F.substring(F.md5("text"), 1, 8), 16, 10).cast("long")
+    g = c.groupBy(by).agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.char_length("text")).alias("_c"),
+                          F.sum(fp).alias("fingerprint"))
+    return g.select(by, "n_docs", (F.col("_c") + (F.col("n_docs") - 1) * len(sep)).alias("n_chars"), "fingerprint")
+
+
+def concat_group_texts(c: DataFrame, by: str, sep: str = "\n\n", order: str = "doc_id",
+                       max_docs: int = 10_000) -> DataFrame:
+    """B8 as one string per group, for groups known to be small: the largest
+    group is checked against ``max_docs`` first."""
+    biggest = c.groupBy(by).count().agg(F.max("count")).first()[0] or 0
+    if biggest > max_docs:
+        raise ValueError(f"a group holds {biggest} documents (> {max_docs}); use group_texts (long form)")
+    g = c.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("text").alias("t")))).alias("_p"))
+    return g.select(by, F.array_join(F.transform("_p", lambda s: s["t"]), sep).alias("text"))
 
 
 def tokens_over_time(c: DataFrame, date_col: str) -> DataFrame:

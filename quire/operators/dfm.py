@@ -127,8 +127,8 @@ def ntoken_ntype(d: DataFrame, keys: Iterable[str] = ("doc_id",)) -> DataFrame:
 def dfm_weight_prop(d: DataFrame, keys: Iterable[str] = ("doc_id",), value: str = "n") -> DataFrame:
     """Each count as a share of its document's total."""
     keys = list(keys)
-    tot = F.sum(value).over(Window.partitionBy(*keys))
-    return d.withColumn("w", F.col(value) / tot)
+    tot = d.groupBy(*keys).agg(F.sum(value).alias("_tot"))
+    return d.join(tot, keys).withColumn("w", F.col(value) / F.col("_tot")).drop("_tot")
 
 
 def dfm_tfidf(d: DataFrame, n_docs, keys: Iterable[str] = ("doc_id",), term: str = "term",
@@ -144,9 +144,13 @@ def dfm_tfidf(d: DataFrame, n_docs, keys: Iterable[str] = ("doc_id",), term: str
              else d.groupBy(term).agg(F.count(F.lit(1)).alias("_df")))
     ratio = _scalar(n_docs) / F.col("_df")
     idf = F.log10(ratio) if base == 10 else (F.ln(ratio) if base == "e" else F.log(float(base), ratio))
-    tf = (F.col("n") / F.sum("n").over(Window.partitionBy(*keys))) if scheme_tf == "prop" else F.col("n")
+    if scheme_tf == "prop":  # document totals by aggregate + join (AQE splits a skewed document)
+        d = d.join(d.groupBy(*keys).agg(F.sum("n").alias("_tot")), keys)
+        tf = F.col("n") / F.col("_tot")
+    else:
+        tf = F.col("n")
     return (d.join(stats.select(term, idf.alias("_idf")), term)
-            .withColumn("w", tf * F.col("_idf")).drop("_idf"))
+            .withColumn("w", tf * F.col("_idf")).drop("_idf", "_tot"))
 
 
 def dfm_match(d: DataFrame, vocab: DataFrame, term: str = "term") -> DataFrame:

@@ -276,7 +276,8 @@ def svd_vectors(pmi: DataFrame, k: int, term1: str = "term1", term2: str = "term
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
     terms = pmi.select(F.col(term1).alias("t")).union(pmi.select(F.col(term2).alias("t"))).distinct()
-    idx = terms.withColumn("i", F.dense_rank().over(Window.orderBy("t")) - 1)
+    from ..sources.files import with_row_id
+    idx = with_row_id(terms, [F.col("t")], "i").withColumn("i", F.col("i") - 1)
     n_terms = idx.count()
     j = (pmi.join(idx.withColumnRenamed("t", term1).withColumnRenamed("i", "r"), term1)
          .join(idx.withColumnRenamed("t", term2).withColumnRenamed("i", "c"), term2))

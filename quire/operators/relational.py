@@ -76,7 +76,9 @@ def unnest(df: DataFrame, col: str, outer: bool = False) -> DataFrame:
 
 def collapse(df: DataFrame, by: list[str] | str, col: str, order: str | None = None,
              sep: str = ", ", desc: bool = False, out: str | None = None) -> DataFrame:
-    """C11: a group's values, ordered, joined into one string."""
+    """C11: a group's values, ordered, joined into one string. Meant for
+    bounded groups (top-n lists, labels); for open-ended groups keep the long
+    form."""
     by = [by] if isinstance(by, str) else list(by)
     order = order or col
     key = F.col(order)
@@ -135,9 +137,21 @@ def share(df: DataFrame, n: str = "n", name: str = "share") -> DataFrame:
 
 
 def share_within(df: DataFrame, by: list[str] | str, n: str = "n", name: str = "share") -> DataFrame:
-    """E4 per group."""
+    """E4 per group: totals by a partial aggregate joined back (a skewed group
+    is split by AQE's skew join; a window would put it in one task)."""
     by = [by] if isinstance(by, str) else list(by)
-    return df.withColumn(name, F.col(n) / F.sum(n).over(Window.partitionBy(*by)))
+    tot = df.groupBy(*by).agg(F.sum(n).alias("_tot"))
+    return df.join(tot, by).withColumn(name, F.col(n) / F.col("_tot")).drop("_tot")
+
+
+def group_value_on_rows(df: DataFrame, by: list[str] | str, value: str, fn=F.avg, name: str | None = None) -> DataFrame:
+    """a group aggregate kept on every row, by aggregate + join (the group
+    table is small and AQE broadcasts it; a window would send each group to
+    one task)."""
+    by = [by] if isinstance(by, str) else list(by)
+    name = name or f"{value}_group"
+    g = df.groupBy(*by).agg(fn(value).alias(name))
+    return df.join(g, by)
 
 
 def count_by(df: DataFrame, *by: str, name: str = "n") -> DataFrame:

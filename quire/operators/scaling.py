@@ -158,7 +158,8 @@ def wordfish(d: DataFrame, dir: tuple, max_iter: int = 30, tol: float = 1e-4, si
     V = vocab.count()
     if V > max_vocab:
         raise ValueError(f"vocabulary of {V} exceeds max_vocab={max_vocab}")
-    vocab = cut_lineage(vocab.withColumn("j", (F.dense_rank().over(Window.orderBy(term)) - 1).cast("int")), "wf-vocab")
+    from ..sources.files import with_row_id
+    vocab = cut_lineage(with_row_id(vocab, [F.col(term)], "j").withColumn("j", (F.col("j") - 1).cast("int")), "wf-vocab")
     dj = cut_lineage(d.join(F.broadcast(vocab), term).select("doc_id", "j", F.col("n").cast("double").alias("n")), "wf-dfm")
     # starting values: α from document length, ψ from mean counts, ω from the anchor contrast
     rows = dj.groupBy("doc_id").agg(F.sum("n").alias("len"))

@@ -246,7 +246,7 @@ def shingles(arrays: DataFrame, n: int = 5, keys: Iterable[str] = ("doc_id",), c
 
 def text_reuse_candidates(items: DataFrame, docs: DataFrame, n: int = 5, min_shared: int = 2,
                           item_key: str = "item_id", doc_key: str = "doc_id",
-                          max_item_shingles: int = 20_000_000) -> DataFrame:
+                          max_item_shingles: int = 2_000_000) -> DataFrame:
     """L6 (candidate stage): documents sharing word n-grams with reference
     passages, with shared-shingle count and containment (shared / shingles of
     the passage).

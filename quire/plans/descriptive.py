@@ -92,8 +92,8 @@ def ttr_by_year(spark, sf):
     from pyspark.sql import Window
     d = D.dfm_from_arrays(T.token_arrays(_docs(spark, sf, "doc_id", "text")))
     L = S.lexdiv(d).withColumn("year", F.year(F.date_add(F.lit("2000-01-01").cast("date"), F.col("doc_id").cast("int"))))
-    on_rows = L.withColumn("mean_ttr", F.round(F.avg("ttr").over(Window.partitionBy("year")), 6))
-    return on_rows.select("year", "mean_ttr").distinct()
+    on_rows = R.group_value_on_rows(L, "year", "ttr", F.avg, "mean_ttr")
+    return on_rows.select("year", F.round("mean_ttr", 6).alias("mean_ttr")).distinct()
 
 
 # --- L12: mean readability per year, long form ---------------------------------------------------------------

@@ -116,9 +116,9 @@ SELECT o_orderkey, o_orderpriority,
        round(o_totalprice - avg(o_totalprice) OVER (PARTITION BY o_orderpriority), 4) AS diff_from_mean
 FROM orders""")
 def order_price_vs_priority_mean(spark, sf):
-    o = _t(spark, sf, "orders")
-    m = F.avg("o_totalprice").over(Window.partitionBy("o_orderpriority"))
-    return o.select("o_orderkey", "o_orderpriority", F.round(F.col("o_totalprice") - m, 4).alias("diff_from_mean"))
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    j = R.group_value_on_rows(o, "o_orderpriority", "o_totalprice", F.avg, "_m")
+    return j.select("o_orderkey", "o_orderpriority", F.round(F.col("o_totalprice") - F.col("_m"), 4).alias("diff_from_mean"))
 
 
 # C15 + C7: events per day and type, wide
@@ -233,12 +233,19 @@ def shared_nations(spark, sf):
 
 # C11 + E7: each customer's order keys, ordered, as one string
 @register("customer_order_lists", """
+WITH t AS (SELECT o_custkey, o_orderkey, o_totalprice,
+                  row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders)
 SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ', ' ORDER BY o_orderkey) AS orders,
-       count(*) AS n FROM orders GROUP BY o_custkey""")
+       count(*) AS n FROM t WHERE r <= 5 GROUP BY o_custkey""")
 def customer_order_lists(spark, sf):
-    o = _t(spark, sf, "orders")
-    lists = R.collapse(o, "o_custkey", "o_orderkey", out="orders")
-    return lists.join(R.count_by(o, "o_custkey"), "o_custkey")
+    """C11 + F3: each customer's five largest orders, keys collapsed in order
+    (the list is bounded by the top-n, so no group is gathered whole)."""
+    from pyspark.sql import Window
+    o = _t(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    w = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    top = o.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 5)
+    lists = R.collapse(top, "o_custkey", "o_orderkey", out="orders")
+    return lists.join(R.count_by(top, "o_custkey"), "o_custkey")
 
 
 # Right join; C4: case_when with unmatched → NULL; C6: drop_na

@@ -87,12 +87,11 @@ def tokens_by_year(spark, sf):
 # --- B8 texts concatenated per source ----------------------------------------------------
 @register("texts_by_source", """
 SELECT source, count(*) AS n_docs,
-       CAST(length(string_agg(text, chr(10) || chr(10) ORDER BY doc_id)) AS INTEGER) AS n_chars,
-       md5(string_agg(text, chr(10) || chr(10) ORDER BY doc_id)) AS text_md5
+       CAST(length(string_agg(text, chr(10) || chr(10) ORDER BY doc_id)) AS BIGINT) AS n_chars,
+       CAST(sum(('0x' || substr(md5(text), 1, 8))::BIGINT) AS BIGINT) AS fingerprint
 FROM documents GROUP BY source""")
 def texts_by_source(spark, sf):
-    g = C.group_texts(_docs(spark, sf, "doc_id", "source", "text"), "source", sep="\n\n")
-    return g.select("source", "n_docs", F.char_length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+    return C.group_texts_summary(_docs(spark, sf, "doc_id", "source", "text"), "source", sep="\n\n")
 
 
 # --- I3 / B10 sentences -----------------------------------------------------------------
