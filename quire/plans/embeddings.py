@@ -216,7 +216,16 @@ def _vterms(spark, sf):
     return _vecs(spark, sf).select(F.col("vec_id").cast("string").alias("term"), "vec", "label")
 
 
-@register("expanded_seeds")
+_VSQL = "v AS (SELECT CAST(vec_id AS VARCHAR) AS term, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings)"
+
+
+@register("expanded_seeds", f"""
+WITH {_VSQL},
+s AS (SELECT * FROM (VALUES ('alpha', '0'), ('alpha', '1'), ('beta', '2')) t(category, seed)),
+sv AS (SELECT s.category, s.seed, v.vec AS svec FROM s JOIN v ON v.term = s.seed),
+sc AS (SELECT sv.category, sv.seed, v.term, list_dot_product(v.vec, sv.svec) AS score FROM sv, v WHERE v.term <> sv.seed),
+r AS (SELECT *, row_number() OVER (PARTITION BY category, seed ORDER BY score DESC, term) AS rank FROM sc)
+SELECT category, seed, term, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
 def expanded_seeds(spark, sf):
     """The 5 nearest vectors (dot product) of each seed, per category."""
     V = _vterms(spark, sf)
@@ -224,7 +233,12 @@ def expanded_seeds(spark, sf):
     return E.expand_dict(seeds, V.select("term", "vec"), n=5).select("category", "seed", "term", F.round("score", 6).alias("score"), "rank")
 
 
-@register("axis_projection_vectors")
+@register("axis_projection_vectors", f"""
+WITH {_VSQL},
+x AS (SELECT (SELECT vec FROM v WHERE term = '0') AS a, (SELECT vec FROM v WHERE term = '1') AS b,
+             (SELECT vec FROM v WHERE term = '2') AS c, (SELECT vec FROM v WHERE term = '3') AS d),
+ax AS (SELECT list_transform(generate_series(1, {DIM}), lambda i: (a[i] + c[i]) / 2 - (b[i] + d[i]) / 2) AS axis FROM x)
+SELECT term, round(list_cosine_similarity(vec, axis), 6) AS projection FROM v, ax""")
 def axis_projection_vectors(spark, sf):
     """Projection of every vector on the axis of two antonym pairs."""
     V = _vterms(spark, sf).select("term", "vec")
@@ -232,7 +246,9 @@ def axis_projection_vectors(spark, sf):
     return p.select("term", F.round("projection", 6).alias("projection"))
 
 
-@register("relative_norm_labels")
+@register("relative_norm_labels", f"""WITH {_CENTROIDS_SQL}, {_VSQL}
+SELECT term, round(list_distance(vec, (SELECT c FROM cen WHERE label = 0))
+                   - list_distance(vec, (SELECT c FROM cen WHERE label = 1)), 6) AS relative_norm FROM v""")
 def relative_norm_labels(spark, sf):
     """Distance to the centroid of label 0 minus distance to label 1's."""
     V = _vterms(spark, sf)
