@@ -165,7 +165,42 @@ def label_attribute_means(spark, sf):
     return j.groupBy("lang", "attribute").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"))
 
 
-@register("vader_quality_accuracy")
+def _vader_sql() -> str:
+    from .sqlparts import WORD_SQL
+    lex = ", ".join(f"('{k}', {float(v)})" for k, v in VALENCE.items())
+    bst = ", ".join(f"('{k}', {float(v)})" for k, v in BOOSTERS.items())
+    negs = ", ".join(f"'{n}'" for n in NEGATIONS)
+    return f"""
+WITH d AS (SELECT d.doc_id, d.lang, d.text, l.quality, upper(d.text) = d.text AS allcaps,
+                  least(len(regexp_extract_all(d.text, '!')), {L.EXCL_MAX}) AS excl
+           FROM documents d JOIN labels l USING (doc_id)),
+raw AS (SELECT doc_id, unnest(generate_series(1, len(a))) AS pos, unnest(a) AS w
+        FROM (SELECT doc_id, regexp_extract_all(text, '{WORD_SQL}') AS a FROM d)),
+t AS (SELECT doc_id, pos, w, lower(w) AS t,
+             lag(lower(w), 1) OVER (PARTITION BY doc_id ORDER BY pos) AS p1,
+             lag(lower(w), 2) OVER (PARTITION BY doc_id ORDER BY pos) AS p2,
+             lag(lower(w), 3) OVER (PARTITION BY doc_id ORDER BY pos) AS p3 FROM raw),
+lex AS (SELECT * FROM (VALUES {lex}) x(term, v)),
+bst AS (SELECT * FROM (VALUES {bst}) x(term, b)),
+s AS (SELECT t.doc_id, coalesce(lex.v, 0.0) AS v,
+             CASE WHEN t.w = upper(t.w) AND t.w <> lower(t.w) AND NOT d.allcaps
+                  THEN {L.CAPS_INCR} * sign(coalesce(lex.v, 0.0)) ELSE 0.0 END AS caps,
+             (coalesce(b1.b, 0.0) * {L.B_INCR} * 1.0 + coalesce(b2.b, 0.0) * {L.B_INCR} * 0.95
+              + coalesce(b3.b, 0.0) * {L.B_INCR} * 0.9) * sign(coalesce(lex.v, 0.0)) AS boost,
+             coalesce(t.p1 IN ({negs}), false) OR coalesce(t.p2 IN ({negs}), false)
+               OR coalesce(t.p3 IN ({negs}), false) AS neg
+      FROM t JOIN d USING (doc_id) LEFT JOIN lex ON lex.term = t.t
+           LEFT JOIN bst b1 ON b1.term = t.p1 LEFT JOIN bst b2 ON b2.term = t.p2 LEFT JOIN bst b3 ON b3.term = t.p3),
+sc AS (SELECT doc_id, sum(CASE WHEN v = 0 THEN 0.0 WHEN neg THEN (v + caps + boost) * ({L.N_SCALAR})
+                               ELSE v + caps + boost END) AS total FROM s GROUP BY doc_id),
+c AS (SELECT d.doc_id, d.lang, d.quality,
+             coalesce(sc.total, 0.0) + sign(coalesce(sc.total, 0.0)) * d.excl * {L.EXCL_INCR} AS tt FROM d LEFT JOIN sc USING (doc_id)),
+p AS (SELECT lang, quality, tt / sqrt(tt * tt + {L.ALPHA}) AS compound FROM c)
+SELECT lang, count(*) AS n, round(avg(CASE WHEN (CASE WHEN compound > 0 THEN 1 ELSE 0 END) = quality THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       round(avg(compound), 6) AS mean_compound FROM p GROUP BY lang"""
+
+
+@register("vader_quality_accuracy", _vader_sql())
 def vader_quality_accuracy(spark, sf):
     """M9 + M10: VADER-style compound per labelled document, class = compound > 0,
     accuracy against ``labels.quality`` per language."""
