@@ -407,3 +407,39 @@ def glove(cooc: DataFrame, rank: int = 50, x_max: float = 10.0, alpha: float = 0
     vec = [(t, (main[t] + ctx[t]).tolist()) for t in vocab]
     V = spark.createDataFrame(vec, "term string, vec array<double>")
     return V, losses
+
+
+def covariate_embeddings(arrays: DataFrame, covariate: str, size: int = 6, min_n: int = 20, k: int = 16,
+                         col: str = "toks", max_values: int = 10_000):
+    """Covariate values learned with the words. Each document's
+    covariate becomes a pseudo-word ``<cov>`` that co-occurs with every word of
+    the document (its count = the word's count there); these pairs join the
+    skip-gram pairs, the PMI matrix is factorised (K6), and the covariate
+    vectors are placed on their first principal component (the number of
+    covariate values is checked against ``max_values``).
+
+    Returns ``(positions (value, position), vectors (term, vec))``.
+    """
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    n_vals = arrays.select(covariate).distinct().count()
+    if n_vals > max_values:
+        raise ValueError(f"{n_vals} covariate values exceed {max_values}")
+    tag = F.concat(F.lit("<"), F.col(covariate).cast("string"), F.lit(">"))
+    words = arrays.select(covariate, F.explode(col).alias("term"))
+    wc = words.groupBy(covariate, "term").agg(F.count(F.lit(1)).alias("n"))
+    cov_pairs = wc.select(F.col("term").alias("term1"), tag.alias("term2"), "n")
+    cov_pairs = cov_pairs.unionByName(cov_pairs.select(F.col("term2").alias("term1"), F.col("term1").alias("term2"), "n"))
+    pairs = skipgram_pairs(arrays.select(col), size).unionByName(cov_pairs)
+    tot_w = wc.select(F.sum("n")).scalar()
+    uni_w = wc.groupBy("term").agg(F.sum("n").alias("n"))
+    uni_c = wc.groupBy(tag.alias("term")).agg(F.sum("n").alias("n"))
+    uni = uni_w.unionByName(uni_c).withColumn("p", F.col("n") / (2 * tot_w))
+    pmi = pmi_table(pairs, uni, min_n)
+    V, _s = svd_vectors(pmi, k)
+    cv = V.filter(F.col("term").startswith("<"))
+    pca = PCA(k=1, inputCol="_v", outputCol="_p").fit(cv.select(array_to_vector("vec").alias("_v")))
+    pos = pca.transform(cv.withColumn("_v", array_to_vector("vec")))
+    pos = pos.select(F.regexp_replace("term", "^<|>$", "").alias(covariate),
+                     vector_to_array("_p")[0].alias("position"))
+    return pos, V

@@ -288,3 +288,14 @@ def lda_topic_correlation(spark, sf):
     counts = cv.transform(arr)
     model = P.lda(counts, 5, seed=42, max_iter=10)
     return P.topic_corr(P.tidy_gamma(model, counts)).withColumn("corr", F.round("corr", 6))
+
+
+# --- K20 covariate (source) positions learned with the words (row check) --------------------------------
+@register("source_embedding_positions")
+def source_embedding_positions(spark, sf):
+    """Sources as pseudo-words in the English skip-gram PMI matrix, factorised
+    (rank 16) and placed on their first principal component."""
+    docs = table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "source", "text")
+    arr = T.token_arrays(docs, keys=["doc_id", "source"])
+    pos, _V = E.covariate_embeddings(arr, "source", size=6, min_n=20, k=16)
+    return pos.select("source", F.round("position", 6).alias("position"))
