@@ -16,7 +16,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ensure_checkpoint_dir
@@ -253,3 +253,63 @@ def sharing_model(counts: DataFrame, label: str, features: list[str], offset: st
     if offset:
         glr = glr.setOffsetCol(offset)
     return glr.fit(x)
+
+
+def following_scale(edges: DataFrame, user: str = "user", elite: str = "elite", iters: int = 30,
+                    lr: float = 0.05, max_elites: int = 20_000):
+    """Q6: spatial following model P(y_ij = 1) = logit⁻¹(α_j + β_i − (θ_i − φ_j)²)
+    for users i and elites j, fitted by alternating gradient steps on the
+    Bernoulli log-likelihood with N(0, 1) priors on β, θ, φ.
+
+    ``edges`` holds the observed follows ``(user, elite)``; non-follows are
+    every other (user, elite) pair — elites are a bounded, checked list, so the
+    pairs are users × elites (linear in users). User parameters stay a
+    DataFrame written to the checkpoint folder each round; elite parameters
+    (bounded) live on the driver. θ is standardised each round (mean 0, sd 1).
+    Returns ``(users (user, beta, theta), elites (elite, alpha, phi))``.
+    """
+    spark = edges.sparkSession
+    elites = [r[0] for r in edges.select(elite).distinct().orderBy(elite).collect()] \
+        if edges.select(elite).distinct().count() <= max_elites else None
+    if elites is None:
+        raise ValueError(f"more than {max_elites} elites")
+    J = len(elites)
+    pos = {e: i for i, e in enumerate(elites)}
+    deg = edges.groupBy(elite).count().collect()
+    n_users = edges.select(user).distinct().count()
+    alpha = np.zeros(J)
+    for r in deg:
+        p = min(max(r["count"] / n_users, 1e-3), 1 - 1e-3)
+        alpha[pos[r[elite]]] = np.log(p / (1 - p))
+    phi = np.linspace(-1, 1, J) if J > 1 else np.zeros(1)
+    y = edges.select(user, elite).distinct().withColumn("y", F.lit(1.0))
+    # start: β = 0, θ = mean starting position φ of the elites the user follows
+    phi_df = spark.createDataFrame([(e, float(phi[pos[e]])) for e in elites], f"{elite} string, _phi0 double")
+    users = cut_lineage(edges.select(user, elite).distinct().join(F.broadcast(phi_df), elite)
+                        .groupBy(user).agg(F.avg("_phi0").alias("theta"))
+                        .select(user, F.lit(0.0).alias("beta"), "theta"), "fs-users")
+    elite_list = F.array(*[F.lit(e) for e in elites])
+    for _ in range(iters):
+        ep = spark.createDataFrame([(e, float(alpha[pos[e]]), float(phi[pos[e]])) for e in elites],
+                                   f"{elite} string, alpha double, phi double")
+        grid = users.withColumn(elite, F.explode(elite_list)).join(F.broadcast(ep), elite)
+        grid = grid.join(y, [user, elite], "left").na.fill(0.0, ["y"])
+        d = F.col("theta") - F.col("phi")
+        p = 1 / (1 + F.exp(-(F.col("alpha") + F.col("beta") - d * d)))
+        g = grid.withColumn("_r", F.col("y") - p).withColumn("_d", d)
+        eg = g.groupBy(elite).agg(F.sum("_r").alias("ga"), F.sum(F.col("_r") * 2 * F.col("_d")).alias("gp")).collect()
+        ug = g.groupBy(user).agg(F.sum("_r").alias("gb"), F.sum(F.col("_r") * -2 * F.col("_d")).alias("gt"))
+        users = users.join(ug, user).select(user, (F.col("beta") + lr * (F.col("gb") - F.col("beta"))).alias("beta"),
+                                            (F.col("theta") + lr * (F.col("gt") - F.col("theta"))).alias("theta"))
+        st = users.agg(F.avg("theta").alias("m"), F.stddev_pop("theta").alias("s")).first()
+        m, s = st["m"] or 0.0, (st["s"] or 1.0)
+        users = cut_lineage(users.withColumn("theta", (F.col("theta") - m) / s), "fs-users")
+        scale = J / max(n_users, 1)  # elite sums run over users, user sums over elites
+        for r in eg:
+            i = pos[r[elite]]
+            alpha[i] += lr * r["ga"] * scale
+            phi[i] += lr * (r["gp"] * scale - phi[i])
+        phi = (phi - m) / s
+    el = spark.createDataFrame([(e, float(alpha[pos[e]]), float(phi[pos[e]])) for e in elites],
+                               f"{elite} string, alpha double, phi double")
+    return users, el

@@ -90,3 +90,15 @@ def wordfish_en(spark, sf):
     p = Q.wordfish_predict(pos)
     return p.join(docs.select("doc_id", "source"), "doc_id").select(
         "doc_id", "source", *[F.round(c, 6).alias(c) for c in ("fit", "se", "lwr", "upr")])
+
+
+@register("user_event_positions")
+def user_event_positions(spark, sf):
+    """Q6 stand-in: users "follow" the event types they produced; user ideal
+    points θ and type positions φ from the spatial following model (row check)."""
+    e = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("user"),
+                                          F.col("event_type").alias("elite")).distinct()
+    users, elites = Q.following_scale(e, iters=15)
+    u = users.select(F.lit("user").alias("kind"), F.col("user").alias("id"), F.round("theta", 6).alias("position"))
+    el = elites.select(F.lit("elite").alias("kind"), F.col("elite").alias("id"), F.round("phi", 6).alias("position"))
+    return u.unionByName(el)

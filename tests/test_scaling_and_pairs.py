@@ -81,3 +81,20 @@ def test_bradley_terry_order(spark):
     wins = spark.createDataFrame(rows, "item1 string, item2 string, win1 double, win2 double, defective boolean")
     bt = {r.item: r.strength for r in N.bradley_terry(wins, max_iter=60).collect()}
     assert sorted(bt, key=lambda k: -bt[k]) == order
+
+
+def test_following_scale_recovers_order(spark):
+    rng = np.random.default_rng(5)
+    theta = rng.uniform(-1.5, 1.5, 150)
+    phi = np.linspace(-1.5, 1.5, 8)
+    rows = []
+    for i, t in enumerate(theta):
+        for j, f in enumerate(phi):
+            if rng.random() < 1 / (1 + np.exp(-(1.0 - 2.0 * (t - f) ** 2))):
+                rows.append((f"u{i}", f"e{j}"))
+    edges = spark.createDataFrame(rows, "user string, elite string")
+    users, elites = Q.following_scale(edges, iters=25, lr=0.1)
+    est = {r.user: r.theta for r in users.collect()}
+    common = [i for i in range(len(theta)) if f"u{i}" in est]
+    c = np.corrcoef([est[f"u{i}"] for i in common], theta[common])[0, 1]
+    assert abs(c) > 0.7
