@@ -118,8 +118,6 @@ def tokens(df: DataFrame, text: str = "text", keys: Iterable[str] = ("doc_id",),
         drop = drop | term.rlike(NUMBER)
     if remove_url:
         drop = drop | term.rlike("^" + URL + "$")
-    if not keep_punct and not (remove_punct or remove_symbols):
-        pass
     return long.filter(~drop) if (remove_punct or remove_symbols or remove_numbers or remove_url) else long
 
 
