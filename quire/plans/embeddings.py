@@ -299,3 +299,55 @@ def source_embedding_positions(spark, sf):
     arr = T.token_arrays(docs, keys=["doc_id", "source"])
     pos, _V = E.covariate_embeddings(arr, "source", size=6, min_n=20, k=16)
     return pos.select("source", F.round("position", 6).alias("position"))
+
+
+# --- P8, P10, P11, P17, P18 on one LDA fit (row checks) ------------------------------------------------
+def _lda_fit(spark, sf, k=5):
+    from pyspark.ml.feature import CountVectorizer
+    arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0).fit(arr)
+    counts = cv.transform(arr)
+    model = P.lda(counts, k, seed=42, max_iter=10)
+    return arr, cv, counts, model
+
+
+@register("lda_main_topics")
+def lda_main_topics(spark, sf):
+    """P8 + P11: main topic per document (counts per topic) and each topic's
+    most typical document."""
+    _, _, counts, model = _lda_fit(spark, sf)
+    gamma = P.tidy_gamma(model, counts)
+    main = P.main_topic(gamma).groupBy("topic").agg(F.count(F.lit(1)).alias("n_docs"))
+    best = P.top_docs(gamma, 1).groupBy("topic").agg(F.min("doc_id").alias("top_doc"))
+    return main.join(best, "topic", "full")
+
+
+@register("lda_topic_labels")
+def lda_topic_labels(spark, sf):
+    """P10: topic labels by probability, lift and FREX."""
+    arr, cv, _, model = _lda_fit(spark, sf)
+    beta = P.tidy_beta(model, cv.vocabulary, spark)
+    totals = D.dfm_from_arrays(arr).groupBy("term").agg(F.sum("n").alias("n"))
+    return P.label_topics(beta, totals, n=7)
+
+
+@register("lda_intrusion_tasks")
+def lda_intrusion_tasks(spark, sf):
+    """Word-intrusion items per topic."""
+    _, cv, _, model = _lda_fit(spark, sf)
+    beta = P.tidy_beta(model, cv.vocabulary, spark)
+    return P.intrusion_tasks(beta, n=5, seed=42).select("topic", F.array_join("words", ", ").alias("words"), "intruder")
+
+
+@register("lda_search_k")
+def lda_search_k(spark, sf):
+    """Log-likelihood and perplexity for K = 3, 5, 8 (held-out: documents
+    outside an 80 % hash split)."""
+    from pyspark.ml.feature import CountVectorizer
+    from ..operators import relational as R
+    arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0).fit(arr)
+    counts = R.folds(cv.transform(arr), 5, "doc_id", seed=9)
+    fit, held = counts.filter(F.col("fold") != 0), counts.filter(F.col("fold") == 0)
+    return P.search_k(fit, [3, 5, 8], max_iter=5, held_out=held).select(
+        "k", F.round("log_likelihood", 3).alias("log_likelihood"), F.round("log_perplexity", 6).alias("log_perplexity"))
