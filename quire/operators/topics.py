@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -199,3 +200,117 @@ def search_k(counts: DataFrame, ks: Iterable[int], seed: int = 42, max_iter: int
         m = lda(counts, k, seed=seed, max_iter=max_iter)
         rows.append((int(k), float(m.logLikelihood(ev)), float(m.logPerplexity(ev))))
     return spark.createDataFrame(rows, "k int, log_likelihood double, log_perplexity double")
+
+
+# ---- keyword-assisted (seeded) topics by variational EM --------------------------------------------
+
+def _digamma(x):
+    """ψ(x) for x > 0 (recurrence to x ≥ 6, then the asymptotic series)."""
+    import numpy as np
+    x = np.asarray(x, dtype=float).copy()
+    acc = np.zeros_like(x)
+    while np.any(x < 6):
+        small = x < 6
+        acc[small] -= 1.0 / x[small]
+        x[small] += 1.0
+    f = 1.0 / (x * x)
+    return acc + np.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132))))
+
+
+_SS = "k int, j int, s double"
+
+
+def _estep(bv, alpha: float, K: int, V: int, inner: int):
+    import numpy as np
+
+    def run(it):
+        beta = bv.value  # K × V topic-term probabilities
+        acc = np.zeros((K, V))
+        for pdf in it:
+            for js, cs in zip(pdf["js"], pdf["cs"]):
+                js = np.asarray(js, dtype=np.int64)
+                cs = np.asarray(cs, dtype=float)
+                if len(js) == 0:
+                    continue
+                b = beta[:, js]  # K × n
+                gamma = np.full(K, alpha + cs.sum() / K)
+                for _ in range(inner):
+                    phi = b * np.exp(_digamma(gamma))[:, None]
+                    phi /= phi.sum(0, keepdims=True)
+                    gamma = alpha + phi @ cs
+                acc[:, js] += phi * cs[None, :]
+        kk, jj = np.nonzero(acc)
+        yield pd.DataFrame({"k": kk.astype("int32"), "j": jj.astype("int32"), "s": acc[kk, jj]})
+    return run
+
+
+def seeded_lda(d: DataFrame, seeds: dict, k: int | None = None, alpha: float = 0.1, eta: float = 0.01,
+               seed_weight: float = 50.0, iters: int = 15, inner: int = 20, keys: Iterable[str] = ("doc_id",),
+               term: str = "term", max_cells: int = 20_000_000, seed: int = 42):
+    """Topics steered by keyword lists (``{topic label: [words]}``);
+    topics beyond the seeded ones are free. Variational EM for LDA where the
+    M-step adds ``seed_weight`` pseudo-counts to each topic's seed words.
+
+    E-step per document (numpy, Arrow batches) against a broadcast K × V
+    topic-term matrix (size checked against ``max_cells``); each partition
+    folds its expected counts into one K × V block; the M-step is a
+    ``groupBy(k, j).sum``. Returns ``(beta (topic, label, term, beta), doc
+    topics (doc_id, topic, gamma))``.
+    """
+    import numpy as np
+    from ..sources.files import with_row_id
+    spark = d.sparkSession
+    keys = list(keys)
+    labels = list(seeds) + [f"topic_{i}" for i in range(len(seeds), k or len(seeds))]
+    K = len(labels)
+    vocab = cut_lineage(with_row_id(d.select(term).distinct(), [F.col(term)], "j")
+                        .withColumn("j", (F.col("j") - 1).cast("int")), "slda-vocab")
+    V = vocab.count()
+    if K * V > max_cells:
+        raise ValueError(f"K×V = {K * V} exceeds max_cells={max_cells}")
+    docs = cut_lineage(d.join(F.broadcast(vocab) if V <= 1_000_000 else vocab, term)
+                       .groupBy(*keys).agg(F.collect_list("j").alias("js"), F.collect_list(F.col("n").cast("double")).alias("cs")),
+                       "slda-docs")
+    prior = np.full((K, V), eta)
+    idx = {r[term]: r["j"] for r in vocab.join(spark.createDataFrame(
+        [(w,) for ws in seeds.values() for w in ws], f"{term} string"), term).collect()}  # seed words only
+    for t, (lab, words) in enumerate(seeds.items()):
+        for w in words:
+            if w in idx:
+                prior[t, idx[w]] += seed_weight
+    rng = np.random.default_rng(seed)
+    beta = prior + rng.random((K, V))
+    beta /= beta.sum(1, keepdims=True)
+    for _ in range(iters):
+        bv = spark.sparkContext.broadcast(beta)
+        ss = docs.mapInPandas(_estep(bv, alpha, K, V, inner), _SS).groupBy("k", "j").agg(F.sum("s").alias("s"))
+        S = np.zeros((K, V))
+        for r in ss.collect():  # ≤ K × V cells (checked)
+            S[r["k"], r["j"]] = r["s"]
+        bv.unpersist()
+        beta = S + prior
+        beta /= beta.sum(1, keepdims=True)
+    bt = spark.createDataFrame([(int(t), labels[t], int(j), float(beta[t, j])) for t in range(K) for j in range(V)],
+                               "topic int, label string, j int, beta double")
+    beta_df = bt.join(vocab, "j").select("topic", "label", term, "beta")
+    bv = spark.sparkContext.broadcast(beta)
+
+    def gammas(it):
+        b_all = bv.value
+        for pdf in it:
+            out = []
+            for key, js, cs in zip(pdf[keys[0]], pdf["js"], pdf["cs"]):
+                js = np.asarray(js, dtype=np.int64)
+                cs = np.asarray(cs, dtype=float)
+                gamma = np.full(K, alpha + cs.sum() / K)
+                b = b_all[:, js]
+                for _ in range(inner):
+                    phi = b * np.exp(_digamma(gamma))[:, None]
+                    phi /= phi.sum(0, keepdims=True)
+                    gamma = alpha + phi @ cs
+                g = gamma / gamma.sum()
+                out += [(key, t, float(g[t])) for t in range(K)]
+            yield pd.DataFrame(out, columns=[keys[0], "topic", "gamma"])
+    kt = d.schema[keys[0]].dataType.simpleString()
+    theta = docs.mapInPandas(gammas, f"{keys[0]} {kt}, topic int, gamma double")
+    return beta_df, theta

@@ -351,3 +351,19 @@ def lda_search_k(spark, sf):
     fit, held = counts.filter(F.col("fold") != 0), counts.filter(F.col("fold") == 0)
     return P.search_k(fit, [3, 5, 8], max_iter=5, held_out=held).select(
         "k", F.round("log_likelihood", 3).alias("log_likelihood"), F.round("log_perplexity", 6).alias("log_perplexity"))
+
+
+# Keyword lists for the seeded topics (frequent invented words of the corpus).
+SEED_TOPICS = {"connective": ["and", "the", "of"], "verbal": ["is", "was", "are"]}
+
+
+@register("seeded_topics_en")
+def seeded_topics_en(spark, sf):
+    """Two keyword-assisted topics plus two free ones on English
+    documents (terms in ≥ 5 % of documents); top 5 terms per topic."""
+    docs = table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+    d = D.dfm_from_arrays(T.token_arrays(docs))
+    d = D.dfm_trim(d, n_docs=docs.select(F.count(F.lit(1))), min_docfreq=0.05, docfreq_type="prop")
+    beta, _theta = P.seeded_lda(d, SEED_TOPICS, k=4, iters=8)
+    top = P.top_terms(beta.select("topic", "term", "beta"), 5)
+    return top.join(beta.select("topic", "label").distinct(), "topic")
