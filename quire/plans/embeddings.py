@@ -367,3 +367,27 @@ def seeded_topics_en(spark, sf):
     beta, _theta = P.seeded_lda(d, SEED_TOPICS, k=4, iters=8)
     top = P.top_terms(beta.select("topic", "term", "beta"), 5)
     return top.join(beta.select("topic", "label").distinct(), "topic")
+
+
+@register("stm_lang_prevalence")
+def stm_lang_prevalence(spark, sf):
+    """Structural topic model (K=4) over all documents with language
+    indicators as prevalence covariates (terms in ≥ 5 % of documents); the
+    prevalence coefficients Γ per covariate and topic."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    d = D.dfm_from_arrays(T.token_arrays(docs))
+    d = D.dfm_trim(d, n_docs=docs.select(F.count(F.lit(1))), min_docfreq=0.05, docfreq_type="prop")
+    cov = docs.select("doc_id", *[(F.col("lang") == l).cast("double").alias(f"lang_{l}") for l in ("de", "es", "fr")])
+    _b, _t, _c, gam = P.stm(d, 4, cov, iters=6)
+    return gam.withColumn("coef", F.round("coef", 6))
+
+
+@register("ctm_topic_correlation")
+def ctm_topic_correlation(spark, sf):
+    """Correlated topic model (no covariates, K=4) on English documents;
+    the learned topic correlation matrix of the free logits."""
+    docs = table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+    d = D.dfm_from_arrays(T.token_arrays(docs))
+    d = D.dfm_trim(d, n_docs=docs.select(F.count(F.lit(1))), min_docfreq=0.05, docfreq_type="prop")
+    _b, _t, corr, _g = P.stm(d, 4, None, iters=6)
+    return corr.withColumn("corr", F.round("corr", 6))

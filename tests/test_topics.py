@@ -37,3 +37,21 @@ def test_kmeans_by_hand_converges(spark):
     for r in a.collect():
         groups.setdefault(r.cluster, set()).add(r.id)
     assert sorted(map(sorted, groups.values())) == [[0, 1, 2], [3, 4, 5]]
+
+
+def test_stm_prevalence_covariate(spark):
+    rng = np.random.default_rng(1)
+    rows, cov = [], []
+    for doc in range(40):
+        g = doc % 2
+        words = [f"b{i}" for i in range(6)] if g else [f"a{i}" for i in range(6)]
+        for w in rng.choice(words, size=25):
+            rows.append((doc, str(w)))
+        cov.append((doc, float(g)))
+    d = spark.createDataFrame(rows, "doc_id long, term string").groupBy("doc_id", "term").count().withColumnRenamed("count", "n")
+    c = spark.createDataFrame(cov, "doc_id long, g double")
+    beta, theta, corr, gam = P.stm(d, 2, c, iters=8)
+    coef = {(r.covariate, r.topic): r.coef for r in gam.collect()}
+    assert abs(coef[("g", 0)]) > 1.0
+    sums = theta.groupBy("doc_id").sum("gamma").collect()
+    assert all(abs(r[1] - 1) < 1e-9 for r in sums)
