@@ -415,3 +415,14 @@ def coverage_ratio_by_source(spark, sf):
     classes = spark.createDataFrame(rows, "term string, class string")
     r = coverage_ratio(t, F.broadcast(classes), ["source"], "sentiment", "function")
     return r.select("source", F.col("n_num").cast("long"), F.col("n_den").cast("long"), F.col("ratio").cast("double"))
+
+
+@register("text_reuse_aligned")
+def text_reuse_aligned(spark, sf):
+    """Benchmark passages found in documents — shingle candidates, then the
+    local alignment score of each candidate (row check: no SQL alignment)."""
+    from ..operators.textstats import text_reuse_alignment
+    items = table(spark, sf, "benchmark")
+    docs = _docs(spark, sf, "doc_id", "text")
+    a = text_reuse_alignment(items, docs, n=_SHINGLE_N, min_shared=2)
+    return a.select("item_id", "doc_id", "shared", F.round("score", 3).alias("score"), F.round("aligned", 6).alias("aligned"))

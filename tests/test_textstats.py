@@ -78,3 +78,31 @@ def test_word_shares(spark):
     r = {x.term: x for x in S.group_word_shares(toks, "party", "D", "R").collect()}
     assert set(r) == {"x"} and r["x"].D == pytest.approx(2 / 3) and r["x"].R == pytest.approx(0.5)
     assert r["x"].more == "more D"
+
+
+def _sw_brute(a, b, match=2.0, mismatch=-1.0, gap=-1.0):
+    H = [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    best = 0.0
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            s = match if a[i - 1] == b[j - 1] else mismatch
+            H[i][j] = max(0.0, H[i - 1][j - 1] + s, H[i - 1][j] + gap, H[i][j - 1] + gap)
+            best = max(best, H[i][j])
+    return best
+
+
+def test_smith_waterman_matches_brute_force():
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        a = list(rng.choice(list("abcd"), size=rng.integers(0, 12)))
+        b = list(rng.choice(list("abcd"), size=rng.integers(0, 15)))
+        assert S.smith_waterman(a, b) == _sw_brute(a, b)
+
+
+def test_text_reuse_alignment(spark):
+    items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog")], "item_id long, text string")
+    docs = spark.createDataFrame([(10, "intro words then the quick brown fox jumps over the lazy dog and more"),
+                                  (11, "nothing shared here at all")], "doc_id long, text string")
+    r = S.text_reuse_alignment(items, docs, n=3, min_shared=1).collect()
+    assert [(x.item_id, x.doc_id) for x in r] == [(1, 10)]
+    assert r[0].aligned == 1.0
