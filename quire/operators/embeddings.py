@@ -443,3 +443,39 @@ def covariate_embeddings(arrays: DataFrame, covariate: str, size: int = 6, min_n
     pos = pos.select(F.regexp_replace("term", "^<|>$", "").alias(covariate),
                      vector_to_array("_p")[0].alias("position"))
     return pos, V
+
+
+def skipgram_pmi(arrays: DataFrame, size: int = 6, min_n: int = 20, col: str = "toks") -> DataFrame:
+    """K1–K4 in one job: unigram probabilities, window pair counts and PMI
+    for pairs seen more than ``min_n`` times (both orders).
+
+    Pair counts are aggregated on 64-bit term hashes (cheaper keys than
+    strings) when the hash is collision-free on this vocabulary — checked
+    exactly (distinct hashes = distinct terms) — else on the strings; only the
+    (few) kept pairs are joined back to their words.
+    """
+    from ..session import cut_lineage
+    from .dfm import dfm_from_arrays
+    arrays = TK.pin(arrays.select(col), col)
+    uni = cut_lineage(unigram_probs(dfm_from_arrays(arrays, keys=[], col=col)).withColumn("h", F.xxhash64("term")),
+                      "unigram")
+    n_terms, n_hashes = uni.agg(F.count(F.lit(1)), F.countDistinct("h")).first()
+    if n_terms != n_hashes:  # a collision: count on the strings
+        return pmi_table(skipgram_pairs_half(arrays, size, col), uni.drop("h"), min_n, half=True)
+    hashed = arrays.select(F.transform(col, lambda x: F.xxhash64(x)).alias(col))
+    k = F.greatest(F.size(col) - F.lit(size - 1), F.lit(0))
+    wins = F.transform(F.sequence(F.lit(1), F.greatest(k, F.lit(1))),
+                       lambda i: F.array_sort(F.array_distinct(F.slice(col, i, size))))
+    wins = F.when(k > 0, wins).otherwise(F.array().cast("array<array<bigint>>"))
+    ex = hashed.select(F.explode(wins).alias("_w"))
+    ex = ex.select(F.posexplode("_w").alias("_i", "h1"), "_w")
+    ex = ex.select("h1", F.explode(F.slice("_w", F.col("_i") + 1, F.size("_w"))).alias("h2"))
+    pairs = cut_lineage(ex.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")), "pairs-h")
+    total = pairs.select(F.sum(F.when(F.col("h1") == F.col("h2"), F.col("n")).otherwise(2 * F.col("n")))).scalar()
+    kept = pairs.filter(F.col("n") > min_n)
+    both = kept.unionByName(kept.filter(F.col("h1") != F.col("h2")).select(
+        F.col("h2").alias("h1"), F.col("h1").alias("h2"), "n"))
+    u1 = uni.select(F.col("h").alias("h1"), F.col("term").alias("term1"), F.col("p").alias("p1"))
+    u2 = uni.select(F.col("h").alias("h2"), F.col("term").alias("term2"), F.col("p").alias("p2"))
+    j = both.join(u1, "h1").join(u2, "h2")
+    return j.select("term1", "term2", "n", F.log10(F.col("n") / total / F.col("p1") / F.col("p2")).alias("pmi"))

@@ -129,10 +129,7 @@ uni AS (SELECT term, count(*) / (SELECT count(*) FROM tok) AS p FROM tok GROUP B
 SELECT term1, term2, n, round(log10((n / tn) / u1.p / u2.p), 6) AS pmi
 FROM pairs, tot, uni u1, uni u2 WHERE n > 20 AND u1.term = term1 AND u2.term = term2""")
 def skipgram_pmi_en(spark, sf):
-    arr = _en_arrays(spark, sf)
-    pairs = E.skipgram_pairs_half(arr, 6)
-    uni = E.unigram_probs(D.dfm_from_arrays(arr))
-    p = E.pmi_table(pairs, uni, 20, half=True)
+    p = E.skipgram_pmi(_en_arrays(spark, sf), 6, 20)
     return p.select("term1", "term2", "n", F.round("pmi", 6).alias("pmi"))
 
 

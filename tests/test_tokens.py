@@ -98,3 +98,14 @@ def test_skipgram_half_matches_full(spark):
     both = {(r.term1, r.term2): r.n for r in E.mirror_pairs(E.skipgram_pairs_half(arr, 3)).collect()}
     assert full == both
     assert full[("a", "a")] == 5  # windows holding "a" (5 of the 7)
+
+
+def test_skipgram_pmi_hashed_equals_string_path(spark):
+    from quire.operators import dfm as D
+    from quire.operators import embeddings as E
+    texts = ["a b c a b c d e a b", "b c d e f a b c", "a a b b c c d d"]
+    arr = T.token_arrays(_docs(spark, *texts))
+    fast = {(r.term1, r.term2): (r.n, round(r.pmi, 9)) for r in E.skipgram_pmi(arr, 3, 1).collect()}
+    uni = E.unigram_probs(D.dfm_from_arrays(arr))
+    slow = {(r.term1, r.term2): (r.n, round(r.pmi, 9)) for r in E.pmi_table(E.skipgram_pairs(arr, 3), uni, 1).collect()}
+    assert fast == slow and len(fast) > 5
