@@ -47,8 +47,9 @@ def mattr(toks: DataFrame, window: int = 50, keys: Iterable[str] = ("doc_id",))
     keys = list(keys)
     w = window
     prev = F.lag("pos").over(Window.partitionBy(*keys, "term").orderBy("pos"))
-    n = F.max("pos").over(Window.partitionBy(*keys))
-    t = toks.select(*keys, "pos", "term", F.coalesce(prev, F.lit(0)).alias("q"), n.alias("N"))
+    # document length by aggregate + join (AQE splits a skewed document), not a window
+    n = toks.groupBy(*keys).agg(F.max("pos").alias("N"))
+    t = toks.select(*keys, "pos", "term", F.coalesce(prev, F.lit(0)).alias("q")).join(n, keys)
     lo = F.greatest(F.col("q") + 1, F.col("pos") - w + 1)
     hi = F.least(F.col("pos"), F.col("N") - w + 1)
     cnt = F.greatest(hi - lo + 1, F.lit(0))
