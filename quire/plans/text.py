@@ -426,3 +426,26 @@ def text_reuse_aligned(spark, sf):
     docs = _docs(spark, sf, "doc_id", "text")
     a = text_reuse_alignment(items, docs, n=_SHINGLE_N, min_shared=2)
     return a.select("item_id", "doc_id", "shared", F.round("score", 3).alias("score"), F.round("aligned", 6).alias("aligned"))
+
+
+# --- J13 dense slice of the dfm for inspection -------------------------------------------------
+_SLICE_TERMS = ["the", "of", "and", "de", "la"]
+_SLICE_COLS = ", ".join(
+    "CAST(coalesce(max(n) FILTER (WHERE term = '%s'), 0) AS BIGINT) AS \"%s\"" % (t, t) for t in _SLICE_TERMS)
+
+
+@register("dfm_dense_slice", f"""
+WITH {tokens_cte('documents')},
+dfm AS (SELECT doc_id, term, count(*) AS n FROM tok GROUP BY 1, 2),
+ids AS (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 5)
+SELECT doc_id, {_SLICE_COLS}
+FROM ids LEFT JOIN dfm USING (doc_id) GROUP BY doc_id""")
+def dfm_dense_slice(spark, sf):
+    """The first five documents × five fixed features, zeros filled."""
+    docs = _docs(spark, sf, "doc_id", "text")
+    d = D.dfm_from_arrays(T.token_arrays(docs))
+    ids = [r[0] for r in docs.select("doc_id").orderBy("doc_id").limit(5).collect()]  # five ids
+    sl = D.dense_slice(d, ids, ["the", "of", "and", "de", "la"])
+    base = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    out = base.join(sl, "doc_id", "left").na.fill(0)
+    return out.select("doc_id", *[F.col(t).cast("long").alias(t) for t in ["the", "of", "and", "de", "la"]])
