@@ -334,3 +334,53 @@ def event_count_model(spark, sf):
     m = sharing_model(c, "n", ["mean_value", "is_purchase"], reg=0.01)
     rows = [("intercept", float(m.intercept))] + [(k, float(v)) for k, v in zip(["mean_value", "is_purchase"], m.coefficients)]
     return spark.createDataFrame(rows, "term string, coef double").withColumn("coef", F.round("coef", 6))
+
+
+# A1 / A3 / A4 / A5: the table written in a file format and read back by the readers
+@register("conversations_csv_roundtrip", """
+SELECT role, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars,
+       CAST(sum(length(text) - length(replace(text, chr(10), ''))) AS BIGINT) AS newlines
+FROM conversations GROUP BY role""")
+def conversations_csv_roundtrip(spark, sf):
+    """CSV with header: texts holding commas, quotes and newlines survive."""
+    from ..session import scratch_path
+    from ..sources.files import read_csv
+    path = scratch_path(spark, "conv-csv")
+    conv = _t(spark, sf, "conversations")
+    conv.write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"').csv(path)
+    back = read_csv(spark, path, schema="conv_id long, turn long, role string, text string")
+    return back.groupBy("role").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).cast("long").alias("chars"),
+                                    F.sum(F.char_length("text") - F.char_length(F.regexp_replace("text", "\\n", ""))).cast("long").alias("newlines"))
+
+
+@register("documents_json_roundtrip", """
+SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY lang""")
+def documents_json_roundtrip(spark, sf):
+    """JSON lines written and read back naming the text field."""
+    from ..session import scratch_path
+    from ..sources.files import read_json, write_json
+    path = scratch_path(spark, "docs-json")
+    write_json(_t(spark, sf, "documents").select("doc_id", F.col("text").alias("body"), "lang"), path)
+    back = read_json(spark, path, text_field="body",
+                     schema=__import__("pyspark.sql.types", fromlist=["x"]).StructType.fromDDL("doc_id long, body string, lang string"))
+    return back.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).cast("long").alias("chars"))
+
+
+@register("vectors_text_roundtrip", """
+SELECT label % 2 AS parity, count(*) AS n, round(sum(CAST(embedding[1] AS DOUBLE)), 4) AS sum_first,
+       round(sum(CAST(embedding[64] AS DOUBLE)), 4) AS sum_last
+FROM embeddings GROUP BY 1""")
+def vectors_text_roundtrip(spark, sf):
+    """Vectors written as 'word v1 … v64' text lines and read back (A4)."""
+    from ..session import scratch_path
+    from ..sources.files import read_vectors
+    path = scratch_path(spark, "vec-txt")
+    e = _t(spark, sf, "embeddings")
+    line = F.concat_ws(" ", F.concat(F.lit("w"), F.col("vec_id").cast("string"), F.lit("_"), F.col("label").cast("string")),
+                       F.array_join(F.transform("embedding", lambda x: x.cast("string")), " "))
+    e.select(line.alias("value")).write.mode("overwrite").text(path)
+    v = read_vectors(spark, path, 64)
+    parity = (F.regexp_extract("term", "_([0-9]+)$", 1).cast("int") % 2).alias("parity")
+    return v.groupBy(parity).agg(F.count(F.lit(1)).alias("n"),
+                                 F.round(F.sum(F.col("vec")[0].cast("double")), 4).alias("sum_first"),
+                                 F.round(F.sum(F.col("vec")[63].cast("double")), 4).alias("sum_last"))

@@ -63,3 +63,10 @@ def cut_lineage(df, label: str = "t"):
     path = f"{base}/quire-tables/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def scratch_path(spark, label: str = "t") -> str:
+    """A fresh folder name under the cluster's checkpoint folder."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/quire-tables/{label}-{uuid.uuid4().hex}"
