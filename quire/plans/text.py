@@ -449,3 +449,23 @@ def dfm_dense_slice(spark, sf):
     base = spark.createDataFrame([(i,) for i in ids], "doc_id long")
     out = base.join(sl, "doc_id", "left").na.fill(0)
     return out.select("doc_id", *[F.col(t).cast("long").alias(t) for t in ["the", "of", "and", "de", "la"]])
+
+
+# --- B1 / B3 / B5 corpus construction and metadata -------------------------------------------------
+@register("corpus_metadata", """
+SELECT 'documents' AS source_table, count(*) AS ndoc,
+       (SELECT count(*) FROM (SELECT doc_id FROM documents GROUP BY doc_id HAVING count(*) > 1)) AS duplicate_ids
+FROM documents""")
+def corpus_metadata(spark, sf):
+    """Build the corpus (text field named, ids checked for uniqueness) and its
+    one-row metadata."""
+    c = C.corpus(table(spark, sf, "documents"), text_field="text", docid_field="doc_id")
+    dup = C.duplicate_ids(c).select(F.count(F.lit(1))).scalar()
+    return C.corpus_meta(c, source_table="documents").select("source_table", "ndoc", dup.alias("duplicate_ids"))
+
+
+@register("customer_profile_table")
+def customer_profile_table(spark, sf):
+    """Per-column profile of ``customer`` (row check: approximate distinct)."""
+    from ..sources.files import profile
+    return profile(table(spark, sf, "customer"))
