@@ -469,3 +469,15 @@ def customer_profile_table(spark, sf):
     """Per-column profile of ``customer`` (row check: approximate distinct)."""
     from ..sources.files import profile
     return profile(table(spark, sf, "customer"))
+
+
+# --- B10 paragraphs as the unit of analysis ---------------------------------------------------------
+@register("paragraph_stats", """
+SELECT doc_id, count(*) AS n_paragraphs, CAST(sum(length(p)) AS BIGINT) AS chars FROM (
+  SELECT doc_id, unnest(list_filter(list_transform(string_split_regex(text, '\\n\\s*\\n|\\n'), lambda x: trim(x)),
+                                    lambda x: x <> '')) AS p FROM documents)
+GROUP BY doc_id""")
+def paragraph_stats(spark, sf):
+    u = C.reshape_units(_docs(spark, sf, "doc_id", "text"), "paragraphs")
+    return u.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_paragraphs"),
+                                   F.sum(F.char_length("text")).cast("long").alias("chars"))
