@@ -32,6 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -70,3 +71,33 @@ def scratch_path(spark, label: str = "t") -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/quire-tables/{label}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark) -> None:
+    """Make ``quire`` importable in the Python workers (pandas UDFs,
+    ``mapInPandas``) wherever the driver was started: the package is zipped
+    once per process and added with ``SparkContext.addPyFile``, which Spark
+    distributes to every executor."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc) if hasattr(sc, "_jsc") else id(sc)
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out_dir = tempfile.mkdtemp(prefix="quire-pkg-")
+    zpath = os.path.join(out_dir, "quire.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in base:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
