@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from quire.llm import mixing, pii, warc
+from quire.llm import kneser_ney, mixing, pii, rules, simhash, warc
 
 QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
     "op5_personal_data": pii.op5_personal_data,
+    "op7_quality": kneser_ney.op7_quality,
+    "op8_quality_rules": rules.op8_quality_rules,
     "op9_warc": warc.op9_warc,
     "op10_mixing": mixing.op10_mixing,
 }
