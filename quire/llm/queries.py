@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from quire.llm import kneser_ney, mixing, pii, rules, simhash, warc
+from quire.llm import kneser_ney, mixing, neighbours, packing, pii, rules, simhash, token_counts, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_packing": packing.op2_packing,
+    "op4_token_counts": token_counts.op4_token_counts,
     "op5_personal_data": pii.op5_personal_data,
+    "op6_neighbours": neighbours.op6_neighbours,
     "op7_quality": kneser_ney.op7_quality,
     "op8_quality_rules": rules.op8_quality_rules,
     "op9_warc": warc.op9_warc,
