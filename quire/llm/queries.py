@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quire.llm import kneser_ney, mixing, neighbours, packing, pii, rules, simhash, token_counts, warc
+from quire.llm import kneser_ney, mixing, neighbours, packing, pii, repeats, rules, simhash, token_counts, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_packing": packing.op2_packing,
+    "op3_repeats": repeats.op3_repeats,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_personal_data": pii.op5_personal_data,
     "op6_neighbours": neighbours.op6_neighbours,
