@@ -40,13 +40,13 @@ DIGITS = 3
 DOMAIN = ("CASE WHEN source IN ('src0', 'src1', 'src2', 'src3') THEN 'web' "
           "WHEN source IN ('src4', 'src5', 'src6', 'src7', 'src8', 'src9') THEN 'books' ELSE 'reference' END")
 LEVELS = {"domain": DOMAIN, "lang": "lang", "source": "source"}
-WEIGHTS = {"domain": {"web": 0.5, "books": 0.25, "reference": 0.25},
+WEIGHTS = {"domain": {"web": 0.4, "books": 0.3, "reference": 0.3},
            "lang": {"en": 0.6, "de": 0.15, "es": 0.125, "fr": 0.125},
            "source": {}}
 MAX_EPOCHS = 4
 SEED = 20240601
 #: Budget in hundredths of the tokens there are.
-SHARE = 100
+SHARE = 200
 
 
 def tokens(text: Column) -> Column:

@@ -8,8 +8,8 @@ covers which also starts earlier, by suffix arrays.
    2 * least - K bytes. So one short row for each segment is dealt out, not one for each
    byte, and windows can be equal only where their anchors are.
 2. Segments that are equal as a whole: the earliest is kept and all others are
-   repeats, first within a slice of a task, then over the corpus, by anchor. So copies, however
-   many, end here, and a hot anchor has a row per slice at most.
+   repeats, first within a batch of a task, then over the corpus, by anchor. So copies, however
+   many, end here, and a hot segment has a row per batch at most.
 3. What is left are different segments with the same anchor: borders of
    passages and edits. Their bytes are fetched, dealt by anchor, and each task
    joins those of many anchors to blocks of bounded size. A block's suffix array gives its
@@ -44,9 +44,9 @@ from pyspark.sql import functions as F
 from quire.llm.common import stored, table, utf8, whole_groups, with_arrow
 
 LEAST = 100
-#: Bytes of an anchor; of a slice of texts; of a block with a suffix array.
+#: Bytes of an anchor; of a slice of texts (small enough for a processor's cache); of a block with a suffix array.
 K = 32
-SLICE = 1 << 21
+SLICE = 1 << 18
 BLOCK = 1 << 21
 #: Different segments of one anchor in a block.
 HOT = 8000
@@ -177,26 +177,37 @@ def _spans(rid: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, rid, text) -> segments, the earliest of equal ones in a slice, and repeats."""
+    """(id, rid, text) -> segments, the earliest of equal ones in a batch, and repeats."""
     for b in batches:
         ids = b.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
         rids = b.column(1).to_numpy()
+        found = []
         for raw, rows, starts, shift, last in _texts(b, 2):
             text, s, e, anchor, content = segments(raw, starts, last)
-            row = rows[text]
-            begin = s - starts[text] + shift[text]
-            order = np.lexsort((begin, ids[row], content, anchor))
-            a, c, i, p = anchor[order], content[order], ids[row][order], begin[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
-            head = np.repeat(np.flatnonzero(new), np.diff(np.append(np.flatnonzero(new), len(a))))
-            again = (i != i[head]) | (p != p[head])  # equal id and start: not earlier
-            keep, drop = order[~again], order[again]
-            if len(drop):
-                yield _spans(rids[row[drop]], begin[drop], begin[drop] + (e - s)[drop])
-            keep.sort()
-            yield _emit([anchor[keep].view(np.int64), content[keep].view(np.int64), ids[row[keep]], rids[row[keep]],
-                         begin[keep], (e - s)[keep] + 1])
+            found.append((rows[text], s - starts[text] + shift[text], e - s, anchor, content))
+        if not found:
+            continue
+        row, begin, more, anchor, content = (np.concatenate(x) for x in zip(*found, strict=True))
+        # of equal segments the earliest goes on
+        key = anchor ^ (content * U(0x9E3779B97F4A7C15))
+        order = np.argsort(key)
+        same = key[order[1:]] == key[order[:-1]]
+        several = np.zeros(len(key), bool)
+        several[1:] = same
+        several[:-1] |= same
+        part = order[several]
+        part = part[np.lexsort((begin[part], ids[row[part]], content[part], anchor[part]))]
+        a, c, i, p = anchor[part], content[part], ids[row[part]], begin[part]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
+        head = np.repeat(np.flatnonzero(new), np.diff(np.append(np.flatnonzero(new), len(a))))
+        drop = part[(i != i[head]) | (p != p[head])]  # equal id and start: not earlier
+        if len(drop):
+            yield _spans(rids[row[drop]], begin[drop], begin[drop] + more[drop])
+        keep = np.ones(len(key), bool)
+        keep[drop] = False
+        yield _emit([anchor[keep].view(np.int64), content[keep].view(np.int64), ids[row[keep]], rids[row[keep]],
+                     begin[keep], more[keep] + 1])
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +287,7 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
         key = (key << U(8)) | np.roll(t, -j).astype(np.uint64)
     length = 8
     while True:
-        sa = np.argsort(key, kind="stable")
+        sa = np.argsort(key)
         if length >= depth:
             return sa
         ordered = key[sa]
@@ -303,20 +314,21 @@ def common_borders(t: np.ndarray, sa: np.ndarray, least: int) -> np.ndarray:
     marked[[0, n]] = True
     lo, hi = np.array([0]), np.array([n])
     for _ in range(least):
-        size = hi - lo
+        one = hi - lo == 1
+        single = lo[one]
+        single = to[single[last[single] != STOP]]  # one place leads to one place
+        lo, size = lo[~one], (hi - lo)[~one]
         number = np.repeat(np.arange(len(lo)), size)
         place = np.arange(len(number)) + np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-        fine = last[place] != STOP
-        number, place = number[fine], place[fine]
-        target = to[place]
-        order = np.argsort(target)
-        target, number, byte = target[order], number[order], last[place][order]
-        if not len(target):
-            break
-        new = np.ones(len(target), bool)
-        new[1:] = (target[1:] != target[:-1] + 1) | (number[1:] != number[:-1]) | (byte[1:] != byte[:-1])
-        at = np.flatnonzero(new)
-        lo, hi = target[at], target[np.append(at[1:], len(target)) - 1] + 1
+        byte = last[place]
+        fine = byte != STOP
+        number, place, byte = number[fine], place[fine], byte[fine]
+        # places of one interval with the same byte lead to neighbours
+        order = np.argsort(number * 256 + byte, kind="stable")
+        target, group = to[place[order]], (number * 256 + byte)[order]
+        at = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
+        lo = np.concatenate([target[at], single])
+        hi = np.concatenate([target[np.append(at[1:], len(target)) - 1] if len(at) else at, single]) + 1
         fresh = ~marked[hi]
         lo, hi = lo[fresh], hi[fresh]
         marked[hi] = True

@@ -203,14 +203,14 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle:
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """One row of each group: that with the smallest id. All columns stay.
     Where several rows share that id, the one with the smallest text hash stays."""
-    keep, h = fresh(docs, "keep_id", "keep_hash")
-    chosen = groups(docs, id_col, text, shingle).groupBy("group").agg(F.min("id").alias(keep)).select(keep)
-    # one row per group; a null id only where all ids of the group are null
-    hit = docs.join(chosen.distinct(), F.col(f"`{id_col}`").eqNullSafe(F.col(keep)), "left_semi")
-    rest = [c for c in docs.columns if c != id_col]
-    first = F.min(F.struct(F.xxhash64(F.col(f"`{text}`")).alias(h), *[F.col(f"`{c}`") for c in rest]))
-    return (hit.groupBy(F.col(f"`{id_col}`")).agg(first.alias(h))
-            .select(*[F.col(f"`{id_col}`") if c == id_col else F.col(f"{h}.`{c}`") for c in docs.columns]))
+    key, h = fresh(docs, "simhash_key", "simhash_row")
+    # a null id stands for a group only where all its ids are null
+    none = F.lit(-(1 << 63))
+    chosen = groups(docs, id_col, text, shingle).select(F.coalesce("group", none).alias(key)).distinct()
+    hit = docs.withColumn(key, F.coalesce(F.col(f"`{id_col}`"), none)).join(chosen, key, "left_semi")
+    # rows of a key are together and in order after the join
+    first = F.min(F.struct(F.xxhash64(F.col(f"`{text}`")).alias(h), *[F.col(f"`{c}`") for c in docs.columns]))
+    return hit.groupBy(key).agg(first.alias(h)).select(*[F.col(f"{h}.`{c}`") for c in docs.columns])
 
 
 def op1_simhash(spark, sf_dir):
