@@ -51,6 +51,9 @@ def party(code: Column | str) -> Column:
 # Prompt wording.
 COMPARE_PROMPT = "Which of these two senators is more {direction}: {a} or {b}? Answer with one name, or Tie."
 EXTRACT_PROMPT = "Extract the senator's name from this answer; reply with the name only, or Tie: "
+EXTRACT_PROMPT_NAMED = ("Read the answer below. Which of the two, {a} or {b}, does it hold to be more {direction}? "
+                        "If it calls one of them more {opposite} or more moderate, the other one counts. "
+                        "Reply with the full name only, or Tie if it says neither. Answer: ")
 
 
 def build_prompts(pairs: DataFrame, name1: str, name2: str, party1: str, party2: str) -> DataFrame:
@@ -63,9 +66,18 @@ def build_prompts(pairs: DataFrame, name1: str, name2: str, party1: str, party2:
     return pairs.withColumn("direction", direction).withColumn("prompt", prompt)
 
 
-def extraction_prompts(df: DataFrame, answer: str = "answer") -> DataFrame:
-    """Second-stage prompt from a first answer."""
-    return df.withColumn("extract_prompt", F.concat(F.lit(EXTRACT_PROMPT), F.col(answer)))
+def extraction_prompts(df: DataFrame, answer: str = "answer", direction: str | None = None,
+                       name1: str | None = None, name2: str | None = None) -> DataFrame:
+    """Second-stage prompt from a first answer. With the columns of the
+    direction asked (``liberal`` or ``conservative``) and of both names, the
+    prompt asks for that direction and names the two."""
+    if direction is None:
+        return df.withColumn("extract_prompt", F.concat(F.lit(EXTRACT_PROMPT), F.col(answer)))
+    opposite = F.when(F.col(direction) == "liberal", "conservative").otherwise("liberal")
+    prompt = F.lit(EXTRACT_PROMPT_NAMED)
+    for mark, value in (("{a}", F.col(name1)), ("{b}", F.col(name2)), ("{direction}", F.col(direction)), ("{opposite}", opposite)):
+        prompt = F.replace(prompt, F.lit(mark), value)
+    return df.withColumn("extract_prompt", F.concat(prompt, F.col(answer)))
 
 
 def ask(df: DataFrame, fn: Callable[[pd.DataFrame], pd.Series], out: str = "response",
@@ -100,7 +112,7 @@ def ask(df: DataFrame, fn: Callable[[pd.DataFrame], pd.Series], out: str = "resp
                         err.append(None)
                     except Exception as e:  # noqa: BLE001
                         res.append(None)
-                        err.append(f"{type(e).__name__}: {e}"[:500])
+                        err.append(f"{type(e).__name__}: {e}")
             o = pdf.copy()
             o[out] = res
             o[f"{out}_error"] = err

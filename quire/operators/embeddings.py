@@ -300,12 +300,14 @@ def svd_vectors(pmi: DataFrame, k: int, term1: str = "term1", term2: str = "term
 
 
 def word2vec(arrays: DataFrame, size: int = 100, window: int = 6, min_count: int = 10, epochs: int = 5,
-             seed: int = 42, col: str = "toks"):
+             seed: int = 42, col: str = "toks", partitions: int | None = None):
     """Skip-gram word2vec (Spark ML); returns ``(model, vectors)`` with
-    vectors as ``(term, vec)``."""
+    vectors as ``(term, vec)``. Sentences are never cut, and the fit runs in
+    ``partitions`` tasks (default: the session's parallelism)."""
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
-    m = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed,
+    partitions = partitions or arrays.sparkSession.sparkContext.defaultParallelism
+    m = Word2Vec(vectorSize=size, numPartitions=partitions, maxSentenceLength=2**31 - 1, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed,
                  inputCol=col, outputCol="_dv").fit(arrays.select(col))
     V = m.getVectors().select(F.col("word").alias("term"), vector_to_array("vector").alias("vec"))
     return m, V

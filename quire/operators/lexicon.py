@@ -15,6 +15,8 @@ from collections.abc import Callable, Iterable, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from ..session import cut_lineage
 from pyspark.sql import types as T
 
 from . import tokens as TK
@@ -33,17 +35,19 @@ def dictionary_table(spark: SparkSession, entries: Mapping[str, Iterable[str]],
     return spark.createDataFrame(rows, schema)
 
 
-def dictionary_closure(dictionary: DataFrame, parents: DataFrame, max_depth: int = 8) -> DataFrame:
+def dictionary_closure(dictionary: DataFrame, parents: DataFrame) -> DataFrame:
     """M7: add every ancestor category of each entry (``parents``:
-    ``(category, parent)``), so sub-category matches roll up."""
-    out = dictionary
-    level = dictionary
-    for _ in range(max_depth):
-        up = level.join(parents, "category").drop("category").withColumnRenamed("parent", "category")
-        up = up.select(*dictionary.columns)
-        out = out.unionByName(up)
-        level = up
-    return out.distinct()
+    ``(category, parent)``), so sub-category matches roll up. Levels are added
+    until one has no entry; a cycle of categories is an error."""
+    limit = parents.select("category").distinct().count()
+    out = level = dictionary
+    for depth in range(limit + 1):
+        level = level.join(parents, "category").drop("category").withColumnRenamed("parent", "category")
+        level = cut_lineage(level.select(*dictionary.columns).distinct(), "closure")
+        if level.isEmpty():
+            return out.distinct()
+        out = out.unionByName(level)
+    raise ValueError("the categories have a cycle")
 
 
 def resolve(vocab: DataFrame, dictionary: DataFrame, term: str = "term") -> DataFrame:
@@ -99,18 +103,17 @@ def label_by_sign(score: Column | str, positive: str = "Positive", negative: str
 
 
 def tone(d: DataFrame, dictionary: DataFrame, keys: Iterable[str] = ("doc_id",), term: str = "term",
-         decimals: int = 4) -> DataFrame:
+         decimals: int = 12) -> DataFrame:
     """M6: weighted tone Σ n·w / Σ n over dictionary words, per document.
 
-    Weights are taken to ``decimals`` places and summed as integers, so the
-    sums are exact in any order and the result does not depend on partitioning.
+    Weights are summed as decimals, so a sum doesn't depend on the order of
+    its parts; ``decimals`` places hold any weight that a dictionary states.
     """
     keys = list(keys)
-    scale = 10 ** decimals
     m = resolve(d.select(term), dictionary, term).groupBy(term).agg(F.avg("weight").alias("weight"))
-    j = d.join(m, term).withColumn("_wi", F.round(F.col("weight") * scale).cast("long"))
-    g = j.groupBy(*keys).agg(F.sum(F.col("n") * F.col("_wi")).alias("_s"), F.sum("n").alias("n_dict"))
-    return g.select(*keys, "n_dict", (F.col("_s") / (F.col("n_dict") * F.lit(float(scale)))).alias("tone"))
+    j = d.join(m, term).withColumn("_wi", F.col("weight").cast(f"decimal(24,{decimals})"))
+    g = j.groupBy(*keys).agg(F.sum(F.col("n").cast("decimal(12,0)") * F.col("_wi")).alias("_s"), F.sum("n").alias("n_dict"))
+    return g.select(*keys, "n_dict", (F.col("_s").cast("double") / F.col("n_dict")).alias("tone"))
 
 
 # ---- VADER-style valence scoring ---------------------------------------------------------
@@ -225,7 +228,7 @@ def score_table(df: DataFrame, fn: Callable[[pd.Series], pd.DataFrame], text: st
                         r["error"] = None
                     except Exception as e:  # noqa: BLE001
                         r = {f: None for f in fields}
-                        r["error"] = f"{type(e).__name__}: {e}"[:500]
+                        r["error"] = f"{type(e).__name__}: {e}"
                     rows.append(r)
                 res = pd.DataFrame(rows, columns=fields + ["error"])
             out = pd.concat([pdf[keys].reset_index(drop=True), res[fields + ["error"]]], axis=1)

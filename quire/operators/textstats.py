@@ -110,17 +110,14 @@ def predict_linear(features: DataFrame, coefs: dict[str, float], intercept: floa
 # ---- similarity -----------------------------------------------------------------------
 
 def similarity_to(d: DataFrame, query_ids: list, key: str = "doc_id", term: str = "term",
-                  value: str = "w", max_query_rows: int = 5_000_000) -> DataFrame:
+                  value: str = "w") -> DataFrame:
     """L1/L4: cosine of every document to each of a few query documents.
 
-    The query vectors are broadcast only after their row count is checked
-    against ``max_query_rows``; otherwise the join is left to the planner.
+    Spark decides by measured size how the query vectors are joined.
     Documents sharing no term get 0.
     """
     q = d.filter(F.col(key).isin(query_ids)).select(F.col(key).alias("query"), term, F.col(value).alias("_wq"))
-    n_q = q.count()
-    qj = F.broadcast(q) if n_q <= max_query_rows else q
-    dots = (d.select(key, term, value).join(qj, term)
+    dots = (d.select(key, term, value).join(q, term)
             .groupBy("query", key).agg(F.sum(F.col(value) * F.col("_wq")).alias("_dot")))
     norms = d.groupBy(key).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_n"))
     qn = norms.filter(F.col(key).isin(query_ids)).select(F.col(key).alias("query"), F.col("_n").alias("_nq"))
@@ -246,26 +243,22 @@ def shingles(arrays: DataFrame, n: int = 5, keys: Iterable[str] = ("doc_id",), c
 
 
 def text_reuse_candidates(items: DataFrame, docs: DataFrame, n: int = 5, min_shared: int = 2,
-                          item_key: str = "item_id", doc_key: str = "doc_id",
-                          max_item_shingles: int = 2_000_000) -> DataFrame:
+                          item_key: str = "item_id", doc_key: str = "doc_id") -> DataFrame:
     """L6 (candidate stage): documents sharing word n-grams with reference
     passages, with shared-shingle count and containment (shared / shingles of
     the passage).
 
-    The passage shingles are broadcast after their row count is checked; each
-    document shingle then probes a hash table, so a very common shingle costs
-    one lookup per occurrence instead of a skewed shuffle partition, and every
+    Spark joins by measured size: passages that fit are broadcast, otherwise
+    a skewed partition of a very common shingle is split at run time. Every
     candidate is kept (no cap).
     """
     ia = TK.pin(TK.token_arrays(items, keys=[item_key]), "toks")
     da = TK.pin(TK.token_arrays(docs, keys=[doc_key]), "toks")
     ish = shingles(ia, n, [item_key])
     tot = ish.groupBy(item_key).agg(F.count(F.lit(1)).alias("item_shingles"))
-    n_rows = ish.count()
-    side = F.broadcast(ish) if n_rows <= max_item_shingles else ish
     dsh = shingles(da, n, [doc_key])
-    shared = dsh.join(side, "shingle").groupBy(item_key, doc_key).agg(F.count(F.lit(1)).alias("shared"))
-    out = shared.filter(F.col("shared") >= min_shared).join(F.broadcast(tot), item_key)
+    shared = dsh.join(ish, "shingle").groupBy(item_key, doc_key).agg(F.count(F.lit(1)).alias("shared"))
+    out = shared.filter(F.col("shared") >= min_shared).join(tot, item_key)
     return out.withColumn("containment", F.col("shared") / F.col("item_shingles"))
 
 

@@ -81,10 +81,13 @@ def cluster_terms(centers: DataFrame, vocab: DataFrame, n: int = 10, vec: str =
 
 
 def lda(counts: DataFrame, k: int, seed: int = 42, max_iter: int = 20, optimizer: str = "online",
-        features: str = "features"):
-    """P5: ML LDA (online or EM variational inference; not Gibbs sampling)."""
+        features: str = "features", passes: float = 5.0):
+    """P5: ML LDA (online or EM variational inference; not Gibbs sampling).
+    The rounds of the online form draw so large a share of the documents that all of them
+    together make ``passes`` passes (at most one pass a round)."""
     from pyspark.ml.clustering import LDA
-    return LDA(k=k, seed=seed, maxIter=max_iter, optimizer=optimizer, featuresCol=features).fit(counts)
+    rate = min(1.0, max(0.05, passes / max_iter))
+    return LDA(k=k, seed=seed, maxIter=max_iter, optimizer=optimizer, featuresCol=features, subsamplingRate=rate).fit(counts)
 
 
 def tidy_beta(model, vocab: list[str], spark) -> DataFrame:
@@ -94,7 +97,7 @@ def tidy_beta(model, vocab: list[str], spark) -> DataFrame:
     ex = tt.select("topic", F.arrays_zip("termIndices", "termWeights").alias("z")).select("topic", F.inline("z"))
     v = spark.createDataFrame(list(enumerate(vocab)), "termIndices int, term string")
     del vector_to_array
-    return ex.join(F.broadcast(v) if len(vocab) <= 1_000_000 else v, "termIndices").select(
+    return ex.join(v, "termIndices").select(
         "topic", "term", F.col("termWeights").alias("beta"))
 
 
@@ -268,7 +271,7 @@ def seeded_lda(d: DataFrame, seeds: dict, k: int | None = None, alpha: float = 0
     V = vocab.count()
     if K * V > max_cells:
         raise ValueError(f"K×V = {K * V} exceeds max_cells={max_cells}")
-    docs = cut_lineage(d.join(F.broadcast(vocab) if V <= 1_000_000 else vocab, term)
+    docs = cut_lineage(d.join(vocab, term)
                        .groupBy(*keys).agg(F.collect_list("j").alias("js"), F.collect_list(F.col("n").cast("double")).alias("cs")),
                        "slda-docs")
     prior = np.full((K, V), eta)
@@ -407,7 +410,7 @@ def stm(d: DataFrame, k: int, covariates: DataFrame | None = None, iters: int =
     V = vocab.count()
     if k * V > max_cells:
         raise ValueError(f"K×V = {k * V} exceeds max_cells={max_cells}")
-    docs = d.join(F.broadcast(vocab) if V <= 1_000_000 else vocab, term).groupBy(key).agg(
+    docs = d.join(vocab, term).groupBy(key).agg(
         F.collect_list("j").alias("js"), F.collect_list(F.col("n").cast("double")).alias("cs"))
     cov_names = ["intercept"]
     if covariates is not None:

@@ -16,6 +16,9 @@ from .sqlparts import STOP_EN_SQL, tokens_cte
 
 DIM = 64
 
+#: CountVectorizer's own default drops all but 262,144 terms.
+NO_CAP = 2**31 - 1
+
 
 def _vecs(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec"), "label")
@@ -179,7 +182,7 @@ def kmeans_embeddings(spark, sf):
 def lda_topics_en(spark, sf):
     from pyspark.ml.feature import CountVectorizer
     arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
-    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0).fit(arr)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0, vocabSize=NO_CAP).fit(arr)
     counts = cv.transform(arr)
     model = P.lda(counts, 5, seed=42, max_iter=10)
     beta = P.tidy_beta(model, cv.vocabulary, spark)
@@ -264,7 +267,7 @@ def kmeans_cluster_terms(spark, sf):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import vector_to_array
     arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
-    cv = CountVectorizer(inputCol="toks", outputCol="counts", minDF=5.0).fit(arr)
+    cv = CountVectorizer(inputCol="toks", outputCol="counts", minDF=5.0, vocabSize=NO_CAP).fit(arr)
     x = Normalizer(inputCol="counts", outputCol="features", p=1.0).transform(cv.transform(arr))
     m = KMeans(k=10, seed=1, featuresCol="features", predictionCol="cluster").fit(x)
     centers = spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(m.clusterCenters())],
@@ -281,7 +284,7 @@ def kmeans_cluster_terms(spark, sf):
 def lda_topic_correlation(spark, sf):
     from pyspark.ml.feature import CountVectorizer
     arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
-    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0).fit(arr)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0, vocabSize=NO_CAP).fit(arr)
     counts = cv.transform(arr)
     model = P.lda(counts, 5, seed=42, max_iter=10)
     return P.topic_corr(P.tidy_gamma(model, counts)).withColumn("corr", F.round("corr", 6))
@@ -302,7 +305,7 @@ def source_embedding_positions(spark, sf):
 def _lda_fit(spark, sf, k=5):
     from pyspark.ml.feature import CountVectorizer
     arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
-    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0).fit(arr)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0, vocabSize=NO_CAP).fit(arr)
     counts = cv.transform(arr)
     model = P.lda(counts, k, seed=42, max_iter=10)
     return arr, cv, counts, model
@@ -343,7 +346,7 @@ def lda_search_k(spark, sf):
     from pyspark.ml.feature import CountVectorizer
     from ..operators import relational as R
     arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
-    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0).fit(arr)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0, vocabSize=NO_CAP).fit(arr)
     counts = R.folds(cv.transform(arr), 5, "doc_id", seed=9)
     fit, held = counts.filter(F.col("fold") != 0), counts.filter(F.col("fold") == 0)
     return P.search_k(fit, [3, 5, 8], max_iter=5, held_out=held).select(
@@ -363,7 +366,8 @@ def seeded_topics_en(spark, sf):
     d = D.dfm_trim(d, n_docs=docs.select(F.count(F.lit(1))), min_docfreq=0.05, docfreq_type="prop")
     beta, _theta = P.seeded_lda(d, SEED_TOPICS, k=4, iters=8)
     top = P.top_terms(beta.select("topic", "term", "beta"), 5)
-    return top.join(beta.select("topic", "label").distinct(), "topic")
+    names = beta.select("topic", F.col("label").alias("name")).distinct()
+    return top.join(names, "topic").select("topic", "name", F.col("label").alias("terms"))
 
 
 @register("stm_lang_prevalence")

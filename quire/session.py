@@ -39,8 +39,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when nothing is set
-    (local tests) a scratch folder is created.
+    The cluster names it in ``spark.checkpoint.dir``. Only a ``local`` master,
+    whose driver and tasks are one process, gets a scratch folder where nothing is set; on a
+    cluster that would be another disk on each executor, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,20 +49,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and tasks share one process (``local-cluster`` doesn't)."""
+    return master == "local" or master.startswith("local[")
+
+
+def _tables_folder(spark) -> str:
+    """This application's folder below the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quire-tables/{spark.sparkContext.applicationId}"
+
+
+def release_tables(spark) -> None:
+    """Delete every table that this application has written with
+    :func:`cut_lineage` or below :func:`scratch_path`. Call it when no result that reads them is
+    needed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_tables_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df, label: str = "t"):
     """Write ``df`` as parquet under the cluster's checkpoint folder and read
     it back: the returned DataFrame is a plain scan, so iterative jobs keep a
     constant-size plan (a checkpointed DataFrame still carries its origin plan).
     Written files survive executor loss."""
-    import uuid
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/quire-tables/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -69,8 +89,7 @@ def cut_lineage(df, label: str = "t"):
 def scratch_path(spark, label: str = "t") -> str:
     """A fresh folder name under the cluster's checkpoint folder."""
     import uuid
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quire-tables/{label}-{uuid.uuid4().hex}"
+    return f"{_tables_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 _SHIPPED: set = set()

@@ -7,15 +7,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A1: CSV with header; text cells may hold quotes and newlines.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+             multiline: bool = True) -> DataFrame:
+    """A1: CSV with header; text cells may hold quotes and, with ``multiline``,
+    newlines. Such a file is read by one task; files whose cells have no
+    newlines should be read with ``multiline=False``, which splits them.
 
     Pass ``schema`` on large inputs: inference costs an extra pass over the data.
     """
-    r = (spark.read.option("header", True).option("multiLine", True)
+    r = (spark.read.option("header", True).option("multiLine", multiline)
          .option("escape", '"').option("quote", '"'))
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     return r.csv(path)
@@ -27,15 +32,13 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[Da
     Returns ``(good, bad)``: good rows with the given schema, and the raw text of
     lines that failed to parse (quarantine), both from a single scan plan.
     """
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-    raw = (spark.read.schema(full).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    # Spark refuses queries that reference only the corrupt column on a raw scan;
-    # caching the parsed result is the documented way to split good and bad rows.
-    raw = raw.cache()
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
-    return good, bad
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = (spark.read.text(path).where(F.trim("value") != "")
+            .select("value", F.from_json("value", full, options).alias("_r")))
+    bad = F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull()
+    return (rows.where(~bad).select(*[F.col(f"_r.`{f.name}`") for f in schema.fields]),
+            rows.where(bad).select(F.col("value").alias("line")))
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -59,13 +62,25 @@ def read_json(spark: SparkSession, path: str, text_field: str = "text",
 def read_vectors(spark: SparkSession, path: str, dim: int, sep: str = " ") -> DataFrame:
     """A4: pretrained vectors as text, word first then ``dim`` floats, no quoting.
 
-    Lines that do not carry exactly ``dim`` numbers (e.g. a header line) are dropped.
+    The numbers are the last ``dim`` fields, so a word may hold the separator.
+    Lines without ``dim`` numbers (a header, damaged lines) are in
+    :func:`bad_vector_lines`.
     """
-    parts = F.split(F.col("value"), sep if sep != " " else " +")
-    df = spark.read.text(path).select(parts.alias("p"))
-    df = df.filter(F.size("p") == dim + 1)
-    vec = F.transform(F.slice("p", 2, dim), lambda x: x.cast("float"))
-    return df.select(F.element_at("p", 1).alias("term"), vec.alias("vec"))
+    return _vector_lines(spark, path, dim, sep).where("good").select("term", "vec")
+
+
+def bad_vector_lines(spark: SparkSession, path: str, dim: int, sep: str = " ") -> DataFrame:
+    """A4: the lines that :func:`read_vectors` can't read, as ``line``."""
+    return _vector_lines(spark, path, dim, sep).where("not good").select(F.col("value").alias("line"))
+
+
+def _vector_lines(spark: SparkSession, path: str, dim: int, sep: str) -> DataFrame:
+    parts = F.split(F.rtrim("value"), sep if sep != " " else " +")
+    lines = spark.read.text(path).select("value", parts.alias("p")).withColumn("k", F.size("p") - dim)
+    numbers = F.transform(F.slice("p", F.greatest(F.col("k"), F.lit(0)) + 1, dim), lambda x: x.try_cast("float"))
+    lines = lines.select("value", "k", numbers.alias("vec"),
+                         F.array_join(F.slice("p", 1, F.greatest(F.col("k"), F.lit(0))), sep).alias("term"))
+    return lines.withColumn("good", (F.col("k") >= 1) & (F.size("vec") == dim) & ~F.exists("vec", lambda x: x.isNull()))
 
 
 def save_table(df: DataFrame, path: str, mode: str = "overwrite",
@@ -86,26 +101,24 @@ def with_row_id(df: DataFrame, order_by: list[str | Column] | None = None,
                 name: str = "row_id") -> DataFrame:
     """Attach a row id.
 
-    With ``order_by`` the id is 1..n in that (total) order, computed by a global
-    sort's range partitioning plus a per-partition offset — no single-partition
-    window. Without it the id is unique but not dense
-    (``monotonically_increasing_id``).
+    With ``order_by`` the id is 1..n in that (total) order: the sorted rows are
+    written once to the shared checkpoint folder with their partition and their
+    place, and both the offsets and the rows are read from that one table. (Two
+    plans of the same sort may sample other range borders, and a join of the two
+    would lose rows.) No single-partition window is used.
+    Without it the id is unique but not dense (``monotonically_increasing_id``).
     """
     if not order_by:
         return df.withColumn(name, F.monotonically_increasing_id())
-    # zipWithIndex semantics via a range-sorted frame: partition sizes are counted
-    # (one small job), then offsets are added per partition.
-    sorted_df = df.orderBy(*order_by)
-    pid = F.spark_partition_id()
-    with_pid = sorted_df.withColumn("_pid", pid).withColumn("_mid", F.monotonically_increasing_id())
-    # rank inside partition = mid - first mid of partition (mids are contiguous per partition)
-    first = with_pid.groupBy("_pid").agg(F.min("_mid").alias("_m0"), F.count("*").alias("_cnt"))
+    columns = df.columns
+    placed = cut_lineage(df.orderBy(*order_by).withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()), "row-id")
+    # one row per partition of the sort: tiny, safe on a single task
+    first = placed.groupBy("_pid").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: tiny, safe on a single task
-    offs = first.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    out = (with_pid.join(F.broadcast(offs.select("_pid", "_m0", "_off")), "_pid")
-           .withColumn(name, F.col("_mid") - F.col("_m0") + F.col("_off") + 1))
-    return out.drop("_pid", "_mid", "_m0", "_off")
+    offs = first.select("_pid", "_m0", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    return (placed.join(F.broadcast(offs), "_pid")
+            .select(*[F.col(f"`{c}`") for c in columns], (F.col("_mid") - F.col("_m0") + F.col("_off") + 1).alias(name)))
 
 
 def profile(df: DataFrame) -> DataFrame:
