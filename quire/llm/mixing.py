@@ -96,8 +96,9 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict, budget: Column,
                   .withColumn("level_at", F.min(F.when(F.col("cap") >= F.col("w") * F.col("water"), F.struct(
                       F.col("cap_before").alias("o"), F.col("water").alias("v"))))
                       .over(all_of)["v"])
-                  .withColumn("given", F.when(F.col("w") <= 0, zero).otherwise(F.least(
-                      F.col("cap"), F.coalesce(F.greatest(F.col("level_at"), zero) * F.col("w"), F.col("cap"))))))
+                  # no such child: all are full
+                  .withColumn("given", F.when(F.col("w") <= 0, zero).when(F.col("level_at").isNull(), F.col("cap"))
+                              .otherwise(F.least(F.col("cap"), F.greatest(F.col("level_at"), zero) * F.col("w")))))
         nodes = filled.select(*keys, F.col("given").alias("budget"))
     return caps.join(nodes, levels).select(*levels, "tokens", "budget")
 
@@ -179,7 +180,7 @@ f_{level} AS (SELECT *, coalesce(sum(cap) OVER b, 0) AS cap_before, sum(w) OVER
   FROM c_{level} WINDOW b AS ({part}ORDER BY cap / w, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 g_{level} AS (SELECT *, CASE WHEN w_all - w_before > 1e-12 THEN (budget - cap_before) / (w_all - w_before) END AS water FROM f_{level}),
 h_{level} AS (SELECT *, min(CASE WHEN cap >= w * water THEN {{'o': cap_before, 'v': water}} END) OVER ({part}) AS fill FROM g_{level}),
-n_{level} AS (SELECT {", ".join(keys)}, least(cap, coalesce(greatest(fill.v, 0) * w, cap)) AS budget FROM h_{level})"""
+n_{level} AS (SELECT {", ".join(keys)}, CASE WHEN fill IS NULL THEN cap ELSE least(cap, greatest(fill.v, 0) * w) END AS budget FROM h_{level})"""
 
 
 def sql(docs: str = "documents") -> str:
