@@ -69,13 +69,14 @@ def wordscores_predict(d: DataFrame, scores: DataFrame, ref: DataFrame | None =
     return out
 
 
-def extreme_words(scores: DataFrame, n: int = 10, term: str = "term") -> DataFrame:
-    """Q3: ``n`` most left and right words, their scores rescaled to [−1, 1]
-    with the global min/max of all word scores, flagged Left/Right."""
+def extreme_words(scores: DataFrame, n: int = 10, term: str = "term", order=None) -> DataFrame:
+    """Q3: ``n`` most left and right words (by ``order``, default the score), their scores
+    rescaled to [−1, 1] with the global min/max of all word scores, flagged Left/Right."""
     from .relational import rescale
+    order = F.col("score") if order is None else order
     r = rescale(scores, "score", -1.0, 1.0, "rescaled")
-    right = r.orderBy(F.desc("score"), term).limit(n)
-    left = r.orderBy(F.asc("score"), term).limit(n)
+    right = r.orderBy(order.desc(), term).limit(n)
+    left = r.orderBy(order.asc(), term).limit(n)
     both = right.unionByName(left)
     return both.withColumn("side", F.when(F.col("rescaled") > 0, "Right").otherwise("Left"))
 

@@ -233,17 +233,11 @@ def shared_nations(spark, sf):
 
 # C11 + E7: each customer's order keys, ordered, as one string
 @register("customer_order_lists", """
-WITH t AS (SELECT o_custkey, o_orderkey, o_totalprice,
-                  row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders)
-SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ', ' ORDER BY o_orderkey) AS orders,
-       count(*) AS n FROM t WHERE r <= 5 GROUP BY o_custkey""")
+SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ', ' ORDER BY o_orderkey) AS orders, count(*) AS n
+FROM orders GROUP BY o_custkey""")
 def customer_order_lists(spark, sf):
-    """C11 + F3: each customer's five largest orders, keys collapsed in order
-    (the list is bounded by the top-n, so no group is gathered whole)."""
-    from pyspark.sql import Window
-    o = _t(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    w = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    top = o.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 5)
+    """C11: all of each customer's orders, their keys collapsed in order."""
+    top = _t(spark, sf, "orders").select("o_custkey", "o_orderkey")
     lists = R.collapse(top, "o_custkey", "o_orderkey", out="orders")
     return lists.join(R.count_by(top, "o_custkey"), "o_custkey")
 

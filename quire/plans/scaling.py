@@ -67,12 +67,9 @@ SELECT term, round(score, 6) AS score, round(rescaled, 6) AS rescaled,
        CASE WHEN rescaled > 0 THEN 'Right' ELSE 'Left' END AS side FROM x""")
 def extreme_words_en(spark, sf):
     docs, d = _en(spark, sf)
-    ws = Q.wordscores_fit(d, _ref(docs), smooth=1.0).withColumn("_o", F.round("score", 9))
-    from ..operators.relational import rescale
-    r = rescale(ws, "score", -1.0, 1.0, "rescaled")
-    right = r.orderBy(F.desc("_o"), "term").limit(10)
-    left = r.orderBy(F.asc("_o"), "term").limit(10)
-    both = right.unionByName(left).withColumn("side", F.when(F.col("rescaled") > 0, "Right").otherwise("Left"))
+    ws = Q.wordscores_fit(d, _ref(docs), smooth=1.0)
+    # order by rounded scores, as sums differ in their last digits
+    both = Q.extreme_words(ws, 10, order=F.round("score", 9))
     return both.select("term", F.round("score", 6).alias("score"), F.round("rescaled", 6).alias("rescaled"), "side")
 
 

@@ -11,7 +11,7 @@ from ..operators import tokens as T
 from ..session import cut_lineage
 from ..sources.tables import table
 from .registry import register
-from .sqlparts import STOP_EN_SQL, WORD_SQL, SENT_SQL, tokens_cte
+from .sqlparts import STOP_EN_SQL, WORD_SQL, SENT_SQL, tokens_cte, lit_list
 
 
 def _r(c, k=6):
@@ -152,19 +152,21 @@ def token_classes_by_lang(spark, sf):
 
 
 # --- I8 stop-word share -----------------------------------------------------------------------
+_STOP_BY_LANG = " OR ".join(f"(lang = '{k}' AND term IN ({lit_list(v)}))" for k, v in T.STOPWORDS.items())
+
+
 @register("stopword_share_by_lang", f"""
 WITH {tokens_cte('documents', keys='doc_id, lang')}
-SELECT lang, count(*) AS n_tokens, count(*) FILTER (WHERE term IN ({STOP_EN_SQL})) AS n_stop,
-       round(count(*) FILTER (WHERE term IN ({STOP_EN_SQL})) / count(*), 6) AS share
+SELECT lang, count(*) AS n_tokens, count(*) FILTER (WHERE {_STOP_BY_LANG}) AS n_stop,
+       round(count(*) FILTER (WHERE {_STOP_BY_LANG}) / count(*), 6) AS share
 FROM tok GROUP BY lang""")
 def stopword_share_by_lang(spark, sf):
     t = T.unnest_tokens(_docs(spark, sf, "doc_id", "lang", "text"), keys=["doc_id", "lang"])
-    kept = T.remove_stopwords(t)
-    a = t.groupBy("lang").agg(F.count(F.lit(1)).alias("n_tokens"))
-    b = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("_kept"))
-    j = a.join(b, "lang")
-    return j.select("lang", "n_tokens", (F.col("n_tokens") - F.col("_kept")).alias("n_stop"),
-                    F.round((F.col("n_tokens") - F.col("_kept")) / F.col("n_tokens"), 6).alias("share"))
+    stop = F.lit(False)
+    for lang, words in T.STOPWORDS.items():  # each language has its own list
+        stop = stop | ((F.col("lang") == lang) & F.col("term").isin(list(words)))
+    g = t.groupBy("lang").agg(F.count(F.lit(1)).alias("n_tokens"), F.count(F.when(stop, 1)).alias("n_stop"))
+    return g.withColumn("share", F.round(F.col("n_stop") / F.col("n_tokens"), 6))
 
 
 # --- J1 / J7 tokens and types per document ------------------------------------------------------
