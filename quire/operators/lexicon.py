@@ -89,6 +89,24 @@ def lookup_wide(docs: DataFrame, d: DataFrame, dictionary: DataFrame, categories
     return out.select(*keys, *[F.col(c).cast("long").alias(c) for c in categories])
 
 
+def count_in_rows(arrays: DataFrame, entries: Mapping[str, Iterable[str]], keep: Iterable[str] = ("doc_id",),
+                  col: str = "toks") -> DataFrame:
+    """M2 for a dictionary stated in the program: one column per category,
+    counted inside each row's token array (no join, no shuffle). Patterns as in
+    :func:`dictionary_table`; a token counts once per category."""
+    import re
+
+    def counted(patterns: Iterable[str]) -> Column:
+        exact = [p for p in patterns if not p.endswith("*")]
+        prefixes = "|".join(re.escape(p[:-1]) for p in patterns if p.endswith("*"))
+        hit = {"exact": lambda t: t.isin(exact), "prefix": lambda t: t.rlike(f"^(?:{prefixes})"),
+               "both": lambda t: t.isin(exact) | t.rlike(f"^(?:{prefixes})")}
+        return F.size(F.filter(col, hit["both" if exact and prefixes else "exact" if exact else "prefix"])).cast("long")
+
+    counts = [counted(list(patterns)).alias(category) for category, patterns in entries.items()]
+    return arrays.select(*keep, *counts)
+
+
 def polarity(pos: Column | str, neg: Column | str, smooth: float = 0.5) -> Column:
     """M1: log((pos + s) / (neg + s)); defined for all counts ≥ 0."""
     p = F.col(pos) if isinstance(pos, str) else pos

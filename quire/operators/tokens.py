@@ -248,29 +248,17 @@ def tokens_compound(arrays: DataFrame, phrases: Iterable[str], col: str = "toks"
     return out.drop("_j")
 
 
-def kwic(toks: DataFrame, pattern: str, window: int = 5, term: str = "term",
-         keys: Iterable[str] = ("doc_id",)) -> DataFrame:
-    """Keyword in context — for each token matching ``pattern`` the
-    ``window`` tokens before and after (by ``pos``).
-
-    The range condition is turned into an equi-join: every token is replicated
-    to the (at most 2·window) match positions that could see it, so the join is
-    on ``(doc_id, pos)`` and no non-equi join is planned.
-    """
-    keys = list(keys)
-    hits = toks.filter(F.col(term).rlike(pattern)).select(*keys, F.col("pos").alias("hit_pos"),
-                                                            F.col(term).alias("keyword"))
-    # replicate the (few) hits over their window, not the (many) tokens
-    span = F.explode(F.sequence(F.col("hit_pos") - window, F.col("hit_pos") + window)).alias("pos")
-    want = hits.select(*keys, "hit_pos", "keyword", span).filter(F.col("pos") != F.col("hit_pos"))
-    j = want.join(toks.select(*keys, "pos", term), keys + ["pos"], "left")
-    item = F.when(F.col(term).isNotNull(), F.struct("pos", term))
-    agg = (j.groupBy(*keys, "hit_pos", "keyword")
-           .agg(F.array_sort(F.collect_list(F.when(F.col("pos") < F.col("hit_pos"), item))).alias("pre"),
-                F.array_sort(F.collect_list(F.when(F.col("pos") > F.col("hit_pos"), item))).alias("post")))
-    return agg.select(*keys, F.col("hit_pos").alias("pos"), "keyword",
-                      F.array_join(F.transform("pre", lambda s: s[term]), " ").alias("pre"),
-                      F.array_join(F.transform("post", lambda s: s[term]), " ").alias("post"))
+def kwic(arrays: DataFrame, pattern: str, window: int = 5, keys: Iterable[str] = ("doc_id",),
+         col: str = "toks") -> DataFrame:
+    """Keyword in context — for each token matching ``pattern`` its
+    position and the ``window`` tokens before and after, cut out of the
+    document's token array (no join, no shuffle)."""
+    places = F.filter(F.transform(col, lambda t, i: F.when(t.rlike(pattern), i + 1)), lambda p: p.isNotNull())
+    hits = arrays.select(*keys, col, F.explode(places).alias("pos"))
+    before = F.least(F.col("pos") - 1, F.lit(window))
+    return hits.select(*keys, "pos", F.element_at(F.col(col), F.col("pos")).alias("keyword"),
+                       F.array_join(F.slice(col, F.col("pos") - before, before), " ").alias("pre"),
+                       F.array_join(F.slice(col, F.col("pos") + 1, window), " ").alias("post"))
 
 
 def strip_html_table(df: DataFrame, col: str = "html", out: str = "text") -> DataFrame:
@@ -286,10 +274,6 @@ def lemmatize(toks: DataFrame, lemmas: DataFrame, term: str = "term") -> DataFra
     return j.withColumn(term, F.coalesce(F.col("_l"), F.col(term))).drop("_t", "_l")
 
 
-def positions_window(toks: DataFrame, keys: Iterable[str] = ("doc_id",)) -> Window:
-    return Window.partitionBy(*keys).orderBy("pos")
-
-
 def collocations(arrays: DataFrame, col: str = "toks", min_count: int = 2,
                  smoothing: float = 0.5) -> DataFrame:
     """Adjacent word pairs scored by λ (log odds ratio of the 2×2

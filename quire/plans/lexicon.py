@@ -61,6 +61,13 @@ wide AS (SELECT k.conv_id, k.turn, k.role,
 
 
 def _conv_counts(spark, sf):
+    """Turns with their counts per category, inside each row."""
+    keys = ["conv_id", "turn", "role"]
+    return L.count_in_rows(T.token_arrays(table(spark, sf, "conversations"), keys=keys), SENTIMENT, keys)
+
+
+def _conv_counts_by_join(spark, sf):
+    """The same through the dfm and the dictionary as tables."""
     conv = table(spark, sf, "conversations")
     keys = ["conv_id", "turn"]
     d = cut_lineage(D.dfm_from_arrays(T.token_arrays(conv, keys=keys), keys=keys), "dfm-turns")
@@ -71,7 +78,7 @@ def _conv_counts(spark, sf):
 
 @register("conversation_dictionary_counts", f"WITH {_CONV_COUNTS_SQL}\nSELECT conv_id, turn, negative, positive FROM wide")
 def conversation_dictionary_counts(spark, sf):
-    return _conv_counts(spark, sf).select("conv_id", "turn", *CATEGORIES)
+    return _conv_counts_by_join(spark, sf).select("conv_id", "turn", *CATEGORIES)
 
 
 @register("conversation_polarity", f"""WITH {_CONV_COUNTS_SQL}

@@ -247,8 +247,7 @@ SELECT h.doc_id, h.pos, h.keyword,
             WHERE t.doc_id = h.doc_id AND t.pos BETWEEN h.pos + 1 AND h.pos + 3), '') AS post
 FROM hits h""")
 def kwic_mail(spark, sf):
-    t = T.unnest_tokens(_docs(spark, sf, "doc_id", "text"))
-    return T.kwic(t, "^mail[0-9]+$", window=3)
+    return T.kwic(T.token_arrays(_docs(spark, sf, "doc_id", "text")), "^mail[0-9]+$", window=3)
 
 
 # --- I12 compounds ---------------------------------------------------------------------------------------

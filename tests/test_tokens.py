@@ -54,9 +54,11 @@ def test_compound_longest_first(spark):
 
 
 def test_kwic(spark):
-    t = T.unnest_tokens(_docs(spark, "one two three key four five six"))
+    t = T.token_arrays(_docs(spark, "one two three key four five six"))
     k = T.kwic(t, "^key$", window=2).first()
     assert (k.pos, k.keyword, k.pre, k.post) == (4, "key", "two three", "four five")
+    edges = [(r.pos, r.pre, r.post) for r in T.kwic(T.token_arrays(_docs(spark, "key b key")), "^key$", 5).orderBy("pos").collect()]
+    assert edges == [(1, "", "b key"), (3, "key b", "")]
 
 
 def test_stopwords_and_select_keep_positions(spark):
