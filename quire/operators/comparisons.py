@@ -131,6 +131,17 @@ def parse_csv_answer(col: str) -> Column:
     return F.transform(F.split(F.col(col), ","), lambda x: F.trim(x))
 
 
+def csv_answer_rows(df: DataFrame, col: str, fields: list[str], header: bool = True) -> DataFrame:
+    """An answer that is a whole CSV text → one row per line with the named
+    fields (strings, trimmed; a short line has NULLs), other columns repeated."""
+    lines = F.filter(F.split(F.col(col), r"\r?\n"), lambda x: F.trim(x) != "")
+    lines = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))) if header else lines
+    schema = ", ".join(f"`{f}` string" for f in fields)
+    rest = [c for c in df.columns if c != col]
+    rows = df.select(*rest, F.posexplode(lines).alias("line", "_l")).withColumn("_r", F.from_csv("_l", schema))
+    return rows.select(*rest, (F.col("line") + 1).alias("line"), *[F.trim(F.col(f"_r.`{f}`")).alias(f) for f in fields])
+
+
 def clean_answer(answer: str, name1: str, name2: str, prefix: str = "Senator ") -> DataFrame | Column:
     """Strip one trailing period and a leading prefix; keep the answer only
     if it is one of both names or ``Tie`` (else NULL)."""

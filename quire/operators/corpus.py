@@ -34,15 +34,15 @@ def corpus_summary(c: DataFrame, docvars: list[str] | None = None) -> DataFrame:
     """B2: types, tokens and sentences per document with docvars.
 
     Tokens keep punctuation (as the corpus summary counts them); types are
-    distinct lower-case tokens. All per-row array functions: no shuffle.
+    distinct lower-case tokens. All per-row array functions, on one token
+    array per row: no shuffle.
     """
     docvars = docvars if docvars is not None else [x for x in c.columns if x not in ("doc_id", "text")]
-    toks = F.regexp_extract_all(F.col("text"), F.lit(T.WORD), 0)
-    sents = F.regexp_extract_all(F.col("text"), F.lit(T.SENTENCE), 0)
-    return c.select("doc_id", *docvars,
-                    F.size(F.array_distinct(F.transform(toks, lambda x: F.lower(x)))).alias("types"),
-                    F.size(toks).alias("tokens"),
-                    F.size(sents).alias("sentences"))
+    sents = F.regexp_count(F.col("text"), F.lit(T.SENTENCE)).cast("int")
+    rows = c.select("doc_id", *docvars, sents.alias("sentences"),
+                    F.regexp_extract_all(F.lower("text"), F.lit(T.token_pattern(True, False)), 0).alias("_t"))
+    return T.pin(rows, "_t").select("doc_id", *docvars, F.size(F.array_distinct("_t")).alias("types"),
+                                    F.size("_t").alias("tokens"), "sentences")
 
 
 def ndoc(c: DataFrame) -> int:
@@ -105,9 +105,9 @@ def concat_group_texts(c: DataFrame, by: str, sep: str = "\n\n", order: str = "d
 
 
 def tokens_over_time(c: DataFrame, date_col: str) -> DataFrame:
-    """Documents, tokens and mean tokens per document by calendar year."""
+    """Documents, tokens (punctuation kept) and mean tokens per document by calendar year."""
     per = c.select(F.year(F.col(date_col)).alias("year"),
-                   F.size(F.regexp_extract_all(F.col("text"), F.lit(T.WORD), 0)).alias("tokens"))
+                   F.regexp_count(F.col("text"), F.lit(T.token_pattern(True, False))).alias("tokens"))
     return per.groupBy("year").agg(F.count(F.lit(1)).alias("n_docs"),
                                    F.sum("tokens").alias("tokens"),
                                    F.avg("tokens").alias("mean_tokens"))

@@ -73,19 +73,24 @@ def syllables(word: Column) -> Column:
     return F.greatest(groups - F.when(silent, 1).otherwise(0), F.lit(1))
 
 
-def readability(c: DataFrame, keys: Iterable[str] = ("doc_id",), text: str = "text") -> DataFrame:
-    """Flesch reading ease, Flesch–Kincaid grade, Coleman–Liau and
-    SMOG per document, from per-row counts (no shuffle)."""
+def readability(c: DataFrame, keys: Iterable[str] = ("doc_id",), text: str = "text",
+                familiar: Iterable[str] | None = None) -> DataFrame:
+    """Flesch reading ease, Flesch–Kincaid grade, Coleman–Liau (also
+    its estimated cloze percentage) and SMOG per document, and with a list of
+    ``familiar`` words the Dale–Chall score, from per-row counts (no shuffle;
+    words and syllables are computed once per row)."""
     keys = list(keys)
     words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(TK.WORD), 0)
     sents = F.size(F.regexp_extract_all(F.col(text), F.lit(TK.SENTENCE), 0))
-    base = c.select(*keys, words.alias("_w"), sents.alias("n_sent"))
-    syl = F.transform("_w", syllables)
-    base = base.select(*keys, "n_sent", F.size("_w").alias("n_words"),
-                       F.aggregate(syl, F.lit(0), lambda a, x: a + x).alias("n_syl"),
-                       F.size(F.filter(syl, lambda x: x >= 3)).alias("n_poly"),
-                       F.aggregate(F.transform("_w", lambda x: F.regexp_count(x, F.lit(r"\p{L}"))),
-                                   F.lit(0), lambda a, x: a + x).alias("n_letters"))
+    # every letter of a text is in one of its words
+    letters = F.regexp_count(F.lower(F.col(text)), F.lit(r"\p{L}"))
+    base = TK.pin(c.select(*keys, words.alias("_w"), sents.alias("n_sent"), letters.alias("n_letters")), "_w")
+    hard = F.size(F.filter("_w", lambda x: ~x.isin(list(familiar)))) if familiar is not None else F.lit(None).cast("int")
+    base = TK.pin(base.select(*keys, "n_sent", "n_letters", F.size("_w").alias("n_words"), hard.alias("n_hard"),
+                              F.transform("_w", syllables).alias("_s")), "_s")
+    base = base.select(*keys, "n_sent", "n_words", "n_letters", "n_hard",
+                       F.aggregate("_s", F.lit(0), lambda a, x: a + x).alias("n_syl"),
+                       F.size(F.filter("_s", lambda x: x >= 3)).alias("n_poly"))
     w, s, sy = F.col("n_words"), F.col("n_sent"), F.col("n_syl")
     wps = F.try_divide(w, s)
     spw = F.try_divide(sy, w)
@@ -94,7 +99,9 @@ def readability(c: DataFrame, keys: Iterable[str] = ("doc_id",), text: str = "te
         (F.lit(206.835) - 1.015 * wps - 84.6 * spw).alias("flesch"),
         (0.39 * wps + 11.8 * spw - 15.59).alias("fk_grade"),
         (0.0588 * F.try_divide(F.col("n_letters") * 100, w) - 0.296 * F.try_divide(s * 100, w) - 15.8).alias("coleman_liau"),
-        (1.043 * F.sqrt(F.try_divide(F.col("n_poly") * 30, s)) + 3.1291).alias("smog"))
+        (1.043 * F.sqrt(F.try_divide(F.col("n_poly") * 30, s)) + 3.1291).alias("smog"),
+        (141.8401 - 0.21459 * F.try_divide(F.col("n_letters") * 100, w) + 1.079812 * F.try_divide(s * 100, w)).alias("coleman_liau_ecp"),
+        (64 - 0.95 * F.try_divide(F.col("n_hard") * 100, w) - 0.69 * wps).alias("dale_chall"))
 
 
 def predict_linear(features: DataFrame, coefs: dict[str, float], intercept: float = 0.0,

@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions import math as M
 from ..functions import strings as S
+from ..operators import comparisons as N
 from ..operators import corpus as C
 from ..operators import dfm as D
 from ..operators import embeddings as E
 from ..operators import lexicon as L
 from ..operators import relational as R
+from ..operators import textstats as TS
 from ..operators import tokens as T
 from ..sources.tables import table
+from .descriptive import READ_BASE_SQL
 from .registry import register
-from .sqlparts import WORD_SQL, tokens_cte
+from .sqlparts import STOP_EN_SQL, WORD_SQL, tokens_cte
 
 
 # --- G6 -------------------------------------------------------------------------------------
@@ -275,3 +278,29 @@ def saved_orders_by_status(spark, sf):
     save_table(table(spark, sf, "orders"), path, partition_by=["o_orderstatus"])
     return load_table(spark, path).groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+# --- L10 ------------------------------------------------------------------------------------
+@register("readability_familiar_words", f"""
+WITH {READ_BASE_SQL},
+h AS (SELECT doc_id, len(list_filter(regexp_extract_all(lower(text), '{WORD_SQL}'), lambda x: x NOT IN ({STOP_EN_SQL}))) AS n_hard FROM documents)
+SELECT doc_id, round(141.8401 - 0.21459 * (n_letters * 100 / n_words) + 1.079812 * (n_sent * 100 / n_words), 6) AS coleman_liau_ecp,
+       round(64 - 0.95 * (n_hard * 100 / n_words) - 0.69 * (n_words / n_sent), 6) AS dale_chall
+FROM base JOIN h USING (doc_id)""")
+def readability_familiar_words(spark, sf):
+    """Coleman–Liau cloze percentage, and Dale–Chall with the stop words as the familiar ones."""
+    r = TS.readability(table(spark, sf, "documents").select("doc_id", "text"), familiar=T.STOPWORDS_EN)
+    return r.select("doc_id", *[F.round(c, 6).alias(c) for c in ("coleman_liau_ecp", "dale_chall")])
+
+
+# --- N6 -------------------------------------------------------------------------------------
+@register("csv_answers_to_rows", """
+SELECT s_nationkey AS nation, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS INTEGER) AS line,
+       s_name AS name, CAST(s_suppkey AS VARCHAR) AS key FROM supplier""")
+def csv_answers_to_rows(spark, sf):
+    """Answers that hold a CSV text with a header, one row per line of it."""
+    s = table(spark, sf, "supplier")
+    line = F.concat(F.lit('"'), "s_name", F.lit('" , '), F.col("s_suppkey").cast("string"))
+    answers = s.groupBy(F.col("s_nationkey").alias("nation")).agg(F.array_sort(F.collect_list(F.struct("s_suppkey", line.alias("l")))).alias("a"))
+    text = F.concat(F.lit("name,key\n"), F.array_join(F.transform("a", lambda x: x["l"]), "\n"))
+    return N.csv_answer_rows(answers.select("nation", text.alias("answer")), "answer", ["name", "key"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators.tokens import SENTENCE, STOPWORDS_EN, WORD
+from ..operators.tokens import OTHER, SENTENCE, STOPWORDS_EN, WORD
 
 
 def lit_list(words) -> str:
@@ -11,6 +11,7 @@ def lit_list(words) -> str:
 
 STOP_EN_SQL = lit_list(STOPWORDS_EN)
 WORD_SQL = WORD.replace("'", "''")
+TOKEN_SQL = f"{WORD}|{OTHER}".replace("'", "''")
 SENT_SQL = SENTENCE.replace("'", "''")
 
 

@@ -11,7 +11,7 @@ from ..operators import tokens as T
 from ..session import cut_lineage
 from ..sources.tables import table
 from .registry import register
-from .sqlparts import STOP_EN_SQL, WORD_SQL, SENT_SQL, tokens_cte, lit_list
+from .sqlparts import STOP_EN_SQL, TOKEN_SQL, WORD_SQL, SENT_SQL, tokens_cte, lit_list
 
 
 def _r(c, k=6):
@@ -63,8 +63,8 @@ def _docs(spark, sf, *cols):
 # --- B2 corpus summary ----------------------------------------------------------------
 @register("corpus_summary", f"""
 SELECT doc_id, lang, source,
-  CAST(len(list_distinct(list_transform(regexp_extract_all(text, '{WORD_SQL}'), lambda x: lower(x)))) AS INTEGER) AS types,
-  CAST(len(regexp_extract_all(text, '{WORD_SQL}')) AS INTEGER) AS tokens,
+  CAST(len(list_distinct(list_transform(regexp_extract_all(text, '{TOKEN_SQL}'), lambda x: lower(x)))) AS INTEGER) AS types,
+  CAST(len(regexp_extract_all(text, '{TOKEN_SQL}')) AS INTEGER) AS tokens,
   CAST(len(regexp_extract_all(text, '{SENT_SQL}')) AS INTEGER) AS sentences
 FROM documents""")
 def corpus_summary(spark, sf):
@@ -74,8 +74,8 @@ def corpus_summary(spark, sf):
 # --- B9 tokens over time (date derived from the id) ------------------------------------
 @register("tokens_by_year", f"""
 SELECT CAST(year(DATE '2000-01-01' + CAST(doc_id AS INTEGER)) AS INTEGER) AS year, count(*) AS n_docs,
-       CAST(sum(len(regexp_extract_all(text, '{WORD_SQL}'))) AS BIGINT) AS tokens,
-       round(avg(len(regexp_extract_all(text, '{WORD_SQL}'))), 6) AS mean_tokens
+       CAST(sum(len(regexp_extract_all(text, '{TOKEN_SQL}'))) AS BIGINT) AS tokens,
+       round(avg(len(regexp_extract_all(text, '{TOKEN_SQL}'))), 6) AS mean_tokens
 FROM documents GROUP BY 1""")
 def tokens_by_year(spark, sf):
     d = _docs(spark, sf, "doc_id", "text").withColumn(
