@@ -30,9 +30,9 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +58,21 @@ _S = "\t-\r \x85\xa0"
 LATIN = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
 
+class _Pieces(dict):
+    """Ids (as bytes) of pieces of text, found when first asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= MEMORY:
+            self.clear()
+        ids = self.encode(piece)
+        self[piece] = packed = struct.pack(f"<{len(ids)}I", *ids)
+        return packed
+
+
 class Encoder:
     """Ids of texts, equal to those of ``tokenizers`` with the same file."""
 
@@ -69,23 +84,14 @@ class Encoder:
         with open(ranks_path, "rb") as f:  # a file of the installed vocabulary package
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-        self.seen: dict[str, list[int]] = {}
+        self.pieces = _Pieces(self.bpe.encode_ordinary)
+        self.end = np.array([END_ID], dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
         """The text's ids and the end token."""
         if SPECIAL in text or not _latin(text):
             return np.array([*self.whole.encode(text, add_special_tokens=False).ids, END_ID], dtype="<u4")
-        pieces, seen = LATIN.findall(text), self.seen
-        distinct = set(pieces)
-        new = distinct - seen.keys()
-        if len(seen) + len(new) > MEMORY:
-            seen.clear()
-            new = distinct
-        for p in new:
-            seen[p] = self.bpe.encode_ordinary(p)
-        ids = list(chain.from_iterable(map(seen.__getitem__, pieces)))
-        ids.append(END_ID)
-        return np.array(ids, dtype="<u4")
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, LATIN.findall(text))) + self.end, dtype="<u4")
 
 
 _ENCODERS: dict = {}
