@@ -148,28 +148,38 @@ def nearest(sim: DataFrame, query, k: int = 10, value: str = "cosine", key: str
 
 _PAIR_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
     ("a", T.IntegerType()), ("b", T.IntegerType()), ("dot", T.DoubleType()), ("minsum", T.DoubleType()),
-    ("shared", T.LongType()), ("canb", T.DoubleType())]])
+    ("shared", T.LongType()), ("canb", T.DoubleType()), ("mink", T.DoubleType())]])
 
 
-def _gram_partials(n_groups: int):
+def _gram_partials(n_groups: int, p: float):
     # terms per numpy block, so a block's G×G×terms temporaries stay ~32 MB
     chunk = max(1, 4_000_000 // max(1, n_groups * n_groups))
 
     def run(it):
         G = n_groups
-        dot = np.zeros((G, G))
-        mins = np.zeros((G, G))
+        own = np.arange(G)
+        dot, mins, canb, mink = (np.zeros((G, G)) for _ in range(4))
         shared = np.zeros((G, G), dtype=np.int64)
-        canb = np.zeros((G, G))
         for pdf in it:
             if pdf.empty:
                 continue
-            rows = len(pdf)
-            for s in range(0, rows, chunk):
-                part = pdf.iloc[s:s + chunk]
-                X = np.zeros((len(part), G))
-                for r, (gi, vals) in enumerate(zip(part["gi"], part["vals"])):
-                    X[r, np.asarray(gi, dtype=np.int64)] = np.asarray(vals, dtype=np.float64)
+            sizes = pdf["gi"].map(len).to_numpy()
+            gi = np.concatenate(pdf["gi"].to_numpy()).astype(np.int64)
+            vals = np.concatenate(pdf["vals"].to_numpy()).astype(np.float64)
+            # a term of one group (most terms) adds to that group's own cell only
+            one = np.repeat(sizes == 1, sizes)
+            v = np.abs(vals[one])
+            dot[own, own] += np.bincount(gi[one], v * v, minlength=G)
+            mins[own, own] += np.bincount(gi[one], v, minlength=G)
+            shared[own, own] += np.bincount(gi[one], v != 0, minlength=G).astype(np.int64)
+            gi, vals, sizes = gi[~one], vals[~one], sizes[sizes > 1]
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            for s in range(0, len(sizes), chunk):
+                n = min(chunk, len(sizes) - s)
+                at = slice(ends[s], ends[s + n])
+                X = np.zeros((n, G))
+                X[row[at] - s, gi[at]] = vals[at]
                 nz = (X != 0).astype(np.float64)
                 dot += X.T @ X
                 shared += (nz.T @ nz).astype(np.int64)
@@ -178,24 +188,26 @@ def _gram_partials(n_groups: int):
                 both = (a != 0) & (b != 0)
                 mins += np.where(both, np.minimum(np.abs(a), np.abs(b)), 0.0).sum(axis=0)
                 den = np.abs(a) + np.abs(b)
-                canb += np.where(both, np.abs(a - b) / np.where(den == 0, 1, den), 0.0).sum(axis=0)
-        ii, jj = np.meshgrid(np.arange(G), np.arange(G), indexing="ij")
+                apart = np.abs(a - b)
+                canb += np.where(both, apart / np.where(den == 0, 1, den), 0.0).sum(axis=0)
+                mink += np.where(both, apart ** p - np.abs(a) ** p - np.abs(b) ** p, 0.0).sum(axis=0)
+        ii, jj = np.meshgrid(own, own, indexing="ij")
         yield pd.DataFrame({"a": ii.ravel().astype("int32"), "b": jj.ravel().astype("int32"),
                             "dot": dot.ravel(), "minsum": mins.ravel(), "shared": shared.ravel(),
-                            "canb": canb.ravel()})
+                            "canb": canb.ravel(), "mink": mink.ravel()})
     return run
 
 
 def group_distances(d: DataFrame, group: str, term: str = "term", value: str = "w",
-                    max_groups: int = 500) -> DataFrame:
+                    max_groups: int = 500, p: float = 3.0) -> DataFrame:
     """All pairs (both orders, diagonal included) among the groups
     of a weighted long table ``(group, term, value)``: cosine, Euclidean,
-    Manhattan, Canberra and (binary) Jaccard.
+    Manhattan, Minkowski (of order ``p``), Canberra and (binary) Jaccard.
 
     The group set is checked against ``max_groups`` (the result has G² rows).
     Each term's ≤ G weights form one row; every partition folds its terms into
-    G×G partial sums with numpy; partials are summed by cell. Manhattan and
-    Canberra use ``Σ|a−b| = Σa + Σb − 2Σmin`` (weights ≥ 0) and "one-sided
+    G×G partial sums with numpy (terms of one group without the G×G step);
+    partials are summed by cell. Manhattan and Canberra use ``Σ|a−b| = Σa + Σb − 2Σmin`` (weights ≥ 0) and "one-sided
     terms count 1".
     """
     from ..session import cut_lineage
@@ -209,16 +221,18 @@ def group_distances(d: DataFrame, group: str, term: str = "term", value: str = "
     idx = F.broadcast(idx)
     per_term = (d.select(group, term, F.col(value).cast("double").alias("v")).join(idx, group)
                 .groupBy(term).agg(F.collect_list("gi").alias("gi"), F.collect_list("v").alias("vals")))
-    partial = per_term.select("gi", "vals").mapInPandas(_gram_partials(n), _PAIR_SCHEMA)
+    partial = per_term.select("gi", "vals").mapInPandas(_gram_partials(n, p), _PAIR_SCHEMA)
     cells = partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"), F.sum("minsum").alias("minsum"),
-                                          F.sum("shared").alias("shared"), F.sum("canb").alias("canb"))
+                                          F.sum("shared").alias("shared"), F.sum("canb").alias("canb"),
+                                          F.sum("mink").alias("mink"))
     tot = (d.select(group, F.col(value).cast("double").alias("v")).groupBy(group)
            .agg(F.sum(F.abs("v")).alias("l1"), F.sum(F.col("v") * F.col("v")).alias("l2"),
+                F.sum(F.pow(F.abs("v"), F.lit(p))).alias("lp"),
                 F.count(F.when(F.col("v") != 0, 1)).alias("nnz")).join(idx, group))
     ta = F.broadcast(tot.select(F.col("gi").alias("a"), F.col(group).alias(group + "_a"),
-                                F.col("l1").alias("l1a"), F.col("l2").alias("l2a"), F.col("nnz").alias("nza")))
+                                F.col("l1").alias("l1a"), F.col("l2").alias("l2a"), F.col("nnz").alias("nza"), F.col("lp").alias("lpa")))
     tb = F.broadcast(tot.select(F.col("gi").alias("b"), F.col(group).alias(group + "_b"),
-                                F.col("l1").alias("l1b"), F.col("l2").alias("l2b"), F.col("nnz").alias("nzb")))
+                                F.col("l1").alias("l1b"), F.col("l2").alias("l2b"), F.col("nnz").alias("nzb"), F.col("lp").alias("lpb")))
     j = cells.join(ta, "a").join(tb, "b")
     eu2 = F.greatest(F.col("l2a") + F.col("l2b") - 2 * F.col("dot"), F.lit(0.0))
     return j.select(
@@ -226,6 +240,8 @@ def group_distances(d: DataFrame, group: str, term: str = "term", value: str = "
         F.try_divide(F.col("dot"), F.sqrt(F.col("l2a") * F.col("l2b"))).alias("cosine"),
         F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(F.sqrt(eu2)).alias("euclidean"),
         (F.col("l1a") + F.col("l1b") - 2 * F.col("minsum")).alias("manhattan"),
+        F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(
+            F.pow(F.greatest(F.col("lpa") + F.col("lpb") + F.col("mink"), F.lit(0.0)), F.lit(1.0 / p))).alias("minkowski"),
         (F.col("canb") + (F.col("nza") + F.col("nzb") - 2 * F.col("shared"))).alias("canberra"),
         F.try_divide(F.col("shared"), F.col("nza") + F.col("nzb") - F.col("shared")).alias("jaccard"))
 

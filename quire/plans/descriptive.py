@@ -171,15 +171,17 @@ def nearest_to_first_en(spark, sf):
 @register("source_distances", f"""
 WITH {tokens_cte('documents', keys='doc_id, source')},
 g AS (SELECT source, term, CAST(count(*) AS DOUBLE) AS n FROM tok GROUP BY source, term),
-tot AS (SELECT source, sum(abs(n)) AS l1, sum(n * n) AS l2, count(*) AS nnz FROM g GROUP BY source),
+tot AS (SELECT source, sum(abs(n)) AS l1, sum(n * n) AS l2, sum(n * n * n) AS l3, count(*) AS nnz FROM g GROUP BY source),
 sh AS (SELECT a.source AS sa, b.source AS sb, sum(a.n * b.n) AS dot, sum(least(a.n, b.n)) AS mins,
-              count(*) AS shared, sum(abs(a.n - b.n) / (a.n + b.n)) AS canb
+              count(*) AS shared, sum(abs(a.n - b.n) / (a.n + b.n)) AS canb,
+              sum(pow(abs(a.n - b.n), 3) - pow(a.n, 3) - pow(b.n, 3)) AS mink
        FROM g a JOIN g b USING (term) GROUP BY 1, 2),
 pairs AS (SELECT a.source AS sa, b.source AS sb FROM tot a, tot b)
 SELECT p.sa AS source_a, p.sb AS source_b,
   round(coalesce(dot, 0) / sqrt(ta.l2 * tb.l2), 6) AS cosine,
   round(CASE WHEN p.sa = p.sb THEN 0 ELSE sqrt(greatest(ta.l2 + tb.l2 - 2 * coalesce(dot, 0), 0)) END, 6) AS euclidean,
   round(ta.l1 + tb.l1 - 2 * coalesce(mins, 0), 6) AS manhattan,
+  round(CASE WHEN p.sa = p.sb THEN 0 ELSE pow(greatest(ta.l3 + tb.l3 + coalesce(mink, 0), 0), 1.0 / 3) END, 4) AS minkowski,
   round(coalesce(canb, 0) + (ta.nnz + tb.nnz - 2 * coalesce(shared, 0)), 6) AS canberra,
   round(coalesce(shared, 0) / (ta.nnz + tb.nnz - coalesce(shared, 0)), 6) AS jaccard
 FROM pairs p JOIN tot ta ON ta.source = p.sa JOIN tot tb ON tb.source = p.sb
@@ -189,7 +191,8 @@ def source_distances(spark, sf):
     d = D.dfm_from_arrays(T.token_arrays(docs))
     g = D.dfm_group(d, docs, "source")
     out = S.group_distances(g, "source", value="n")
-    return out.select("source_a", "source_b", *_r6("cosine", "euclidean", "manhattan", "canberra", "jaccard"))
+    return out.select("source_a", "source_b", *_r6("cosine", "euclidean", "manhattan", "canberra", "jaccard"),
+                      F.round("minkowski", 4).alias("minkowski"))
 
 
 # --- L5: similarity grid of a seeded sample of documents ------------------------------------------------------------
