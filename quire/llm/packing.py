@@ -47,7 +47,7 @@ TOKENS, SEGMENTS, LOSS = 2048, 64, 2047
 END_ID = 1
 POOL = 256
 #: Remembered pieces of text in a task.
-MEMORY = 400_000
+MEMORY = 150_000
 
 SPECIAL = "<|endoftext|>"
 # The letters, digits and white space of Latin-1 by Unicode category, for the vocabulary's
@@ -78,9 +78,8 @@ class Encoder:
 
     def __init__(self, json_path: str, ranks_path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(json_path)
+        self.json_path, self.whole = json_path, None
         with open(ranks_path, "rb") as f:  # a file of the installed vocabulary package
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
@@ -90,6 +89,10 @@ class Encoder:
     def __call__(self, text: str) -> np.ndarray:
         """The text's ids and the end token."""
         if SPECIAL in text or not _latin(text):
+            if self.whole is None:  # large, and few texts need it
+                from tokenizers import Tokenizer
+
+                self.whole = Tokenizer.from_file(self.json_path)
             return np.array([*self.whole.encode(text, add_special_tokens=False).ids, END_ID], dtype="<u4")
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, LATIN.findall(text))) + self.end, dtype="<u4")
 
@@ -98,7 +101,7 @@ _ENCODERS: dict = {}
 
 
 def _encoder(*paths: str) -> Encoder:
-    """One per Python worker, so that what it remembers serves all its tasks."""
+    """One per Python worker; what it remembers is dropped at a task's end."""
     if paths not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[paths] = Encoder(*paths)
@@ -208,8 +211,8 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str, id_col: str = "doc_id
         types = [pa.int64()]
         for b in batches:
             types[0] = b.column(0).type
-            for name, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = encode(t or "")
+            for name, t in zip(b.column(0), b.column(1), strict=True):  # one text at a time
+                name, ids = name.as_py(), encode(t.as_py() or "")
                 held[number] = (name, ids)
                 packer.place(number, len(ids))
                 number += 1
@@ -218,6 +221,7 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str, id_col: str = "doc_id
         packer.finish()
         if packer.out:
             yield rows()
+        encode.pieces.clear()  # the worker lives on
 
     found = with_arrow(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")), go,
                        f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
