@@ -9,8 +9,8 @@ written once (the row with the largest id), the others as ``revisit`` records.
 Reading. The files are split at every ``WARC/1.`` by Spark's line reader, which
 cuts a large file into ranges for many tasks; so the magic may be the start of
 a record or part of a payload. Each task reports candidates: the offset of a
-magic and, from the lengths in the header that follows it, the offset where the
-next record must begin. A candidate is a record only if the chain of these
+magic and, from the lengths in the header that follows it (over as many pieces
+as it takes to reach the blank line), the offset where the next record must begin. A candidate is a record only if the chain of these
 successors leads to it from the start of its file. Pointer jumping finds the
 reachable ones: in each round what is reached so far adds what lies 2^k records
 further, and the pointers double, so the rounds grow with the logarithm of the
@@ -32,6 +32,8 @@ MAGIC = "WARC/1."
 END = "\r\n\r\n"
 #: Smallest payload, in bytes, for which copies become revisits.
 LEAST = 1000
+#: The magic as it is written inside header values (RFC 3986: the same url).
+ESCAPED = "WARC/1%2E"
 #: Parts into which the rows of one payload are dealt when they meet its count.
 SALTS = 32
 
@@ -43,10 +45,15 @@ def records(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: s
     Null payloads are empty. Of equal payloads of ``least`` bytes or more the
     rows with the largest id are responses (a null id counts as smallest;
     repeated rows of that id all are), the others revisits of it. Control
-    characters and blanks of a url are escaped; a null url is empty."""
+    characters and blanks of a url are escaped, and so is the magic in a url or
+    an id; a null url is empty."""
     body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
+
+    def plain(c):
+        return F.replace(c, F.lit(MAGIC), F.lit(ESCAPED))
+
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), body.alias("body"),
-                        F.regexp_replace(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"[\x00-\x20\x7f]", "%20").alias("url"))
+                        plain(F.regexp_replace(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"[\x00-\x20\x7f]", "%20")).alias("url"))
     rows = rows.select("*", F.octet_length("body").alias("bytes"), F.sha1(F.col("body").cast("binary")).alias("digest"))
     # two steps, so that the rows of one frequent payload are counted in parts; only repeated payloads remain
     copied = (rows.where(F.col("bytes") >= least).groupBy("digest", "bytes")
@@ -57,7 +64,7 @@ def records(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: s
     again = F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))
 
     def name(c):
-        return F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
+        return F.concat(F.lit("<urn:page:"), plain(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit(">"))
 
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("bytes").cast("string"), F.lit(END))
@@ -100,14 +107,20 @@ def candidates(raw: DataFrame) -> DataFrame:
     have order 0 and are no candidate.
 
     Offsets: a piece begins where the lengths of all before it add up to, first
-    over the pieces of a range, then over the ranges of a file."""
-    cut = F.instr("chunk", END)
-    head = F.when(cut > 0, F.concat(F.lit("\r\n"), F.substring_index("chunk", END, 1), F.lit("\r\n")))
+    over the pieces of a range, then over the ranges of a file.
+
+    Headers: a header ends in the first piece from its magic on that holds a
+    blank line (which no magic can cut), and its length is in the first piece
+    up to there that names one. One pass from a file's end finds both."""
+    part, ends = F.substring_index("chunk", END, 1), F.instr("chunk", END) > 0
+    # a length that isn't followed by a line end in its piece goes on after a magic: no number
+    told = F.regexp_extract(F.concat(part, F.when(ends, F.lit("\r\n")).otherwise(F.lit(""))),
+                            r"(?i)\r\nContent-Length:[^\r\n]*[\r\n]?", 0)
     slim = raw.select("file", "block", "seq", (F.octet_length("chunk") + F.lit(len(MAGIC))).cast("long").alias("width"),
-                      head.alias("head"))
-    slim = stored(slim.select("file", "block", "seq", "width",
-                              (F.octet_length("head") - 4).alias("head_bytes"),
-                              _header("Content-Length").try_cast("long").alias("length")), "warc-pieces")
+                      F.when(ends, F.octet_length(part)).alias("head_bytes"), told.alias("told"))
+    slim = stored(slim.select("file", "block", "seq", "width", "head_bytes", (F.col("told") != "").alias("tells"),
+                              F.when(F.col("told").rlike(r"[^\r\n][\r\n]$"), F.regexp_extract("told", r":[ \t]*([^\r\n]*)", 1))
+                              .try_cast("long").alias("length")), "warc-pieces")
     sizes = slim.groupBy("file", "block").agg(F.sum("width").alias("bytes"), F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("file", "block", F.coalesce(F.sum("bytes").over(upto), F.lit(0)).alias("from"),
@@ -116,10 +129,15 @@ def candidates(raw: DataFrame) -> DataFrame:
     rows = (slim.withColumn("before", F.coalesce(F.sum("width").over(
                 in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .withColumn("n_before", F.row_number().over(in_range) - 1).join(sizes, ["file", "block"]))
-    no = F.col("n_from") + F.col("n_before")
-    at = F.col("from") + F.col("before") - F.lit(len(MAGIC))
-    after = at + len(MAGIC) + F.col("head_bytes") + len(END) + F.col("length") + len(END)
-    return rows.select("file", "seq", no.alias("no"), at.alias("at"), F.when((no > 0) & (F.col("length") >= 0), after).alias("next"))
+    rows = rows.select("file", "seq", (F.col("n_from") + F.col("n_before")).alias("no"),
+                       (F.col("from") + F.col("before") - F.lit(len(MAGIC))).alias("at"), "head_bytes", "tells", "length")
+    onward = Window.partitionBy("file").orderBy(F.desc("no")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.when(F.col("head_bytes").isNotNull(), F.struct("no", (F.col("at") + len(MAGIC) + F.col("head_bytes")).alias("to")))
+    rows = (rows.withColumn("end", F.last(end, ignorenulls=True).over(onward))
+            .withColumn("said", F.last(F.when(F.col("tells"), F.struct("no", "length")), ignorenulls=True).over(onward)))
+    after = F.col("end.to") + len(END) + F.col("said.length") + len(END)
+    whole = (F.col("no") > 0) & (F.col("said.no") <= F.col("end.no")) & (F.col("said.length") >= 0)
+    return rows.select("file", "seq", "no", "at", F.when(whole, after).alias("next"))
 
 
 def reachable(links: DataFrame) -> DataFrame:

@@ -494,6 +494,29 @@ def test_archives_round_trip_with_magic_inside_payloads(spark, tmp_path):
             assert (got[key].record_type, got[key].refers_to) == (("revisit", 9) if again else ("response", None))
 
 
+def test_archives_round_trip_with_magic_in_headers(spark, tmp_path):
+    pages = [(i, f"http://h/{i}" + ("/WARC/1.1/WARC/1.0?x" if i % 3 == 1 else ""), f"page {i} " * i) for i in range(1, 13)]
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(1), str(tmp_path / "w"))
+    found = warc.read(spark, str(tmp_path / "w"))
+    got = {r.page_id: r.payload_digest for r in warc.digests(found).collect()}
+    assert got == {i: hashlib.sha1(html.encode()).hexdigest() for i, _, html in pages}
+    assert {r.target_uri.replace("%2E", ".") for r in found.collect()} == {url for _, url, _ in pages}
+
+
+def test_foreign_archives_with_magic_in_headers(spark, tmp_path):
+    def record(i, url, body, at_end=""):
+        return (f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Target-URI: {url}\r\n"
+                f"Content-Length: {len(body)}{at_end}\r\n\r\n").encode() + body + b"\r\n\r\n"
+
+    trap = b"WARC/1.1\r\nContent-Length: 3"  # no blank line: its header would end in a later record
+    bodies = [b"one", trap, b"three", b"", trap * 3 + b"\r\n\r\nx", b"six"]
+    urls = ["u", "WARC/1.0/WARC/1.1", "u", "x WARC/1.", "WARC/1.WARC/1.", "u"]
+    ends = ["", "\r\nX: WARC/1.", "\r\nContent-Length: 9WARC/1.", "", "\r\nWARC/1.: \r\nY: y", ""]
+    (tmp_path / "a.warc").write_bytes(b"".join(record(i, *x) for i, x in enumerate(zip(urls, bodies, ends, strict=True))))
+    got = {r.record_id: (r.target_uri, bytes(r.payload)) for r in warc.read(spark, str(tmp_path / "a.warc")).collect()}
+    assert got == {f"<urn:page:{i}>": x for i, x in enumerate(zip(urls, bodies, strict=True))}
+
+
 def test_archive_of_no_pages(spark, tmp_path):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write(empty, str(tmp_path / "w"))
