@@ -37,7 +37,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import ddl, fresh, stored, table, texts, whole_groups, with_arrow
@@ -187,30 +187,42 @@ def links(fps: DataFrame) -> DataFrame:
     return with_arrow(rows.repartition(*keys).sortWithinPartitions(*keys), _links, "a long, b long")
 
 
+def _roots(prints: DataFrame, low: Column) -> DataFrame:
+    """(fp, root, low): each distinct fingerprint, the smallest one that its
+    links reach, and the aggregate ``low`` of its rows. prints: (id, ..., fp)."""
+    # copies are counted in parts before the shuffle
+    fps = stored(prints.groupBy("fp").agg(low.alias("low")), "simhash-fps")
+    root = components(links(fps)).toDF("fp", "root")
+    return fps.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp, group): each row's fingerprint as a signed long, and the
     smallest id that its links reach."""
     prints = with_fingerprint(docs, text, "fp", shingle, [id_col]).toDF("id", "fp")
     prints = stored(prints, "simhash")
-    # copies are counted in parts before the shuffle
-    fps = stored(prints.groupBy("fp").agg(F.min("id").alias("low")), "simhash-fps")
-    root = components(links(fps)).toDF("fp", "root")
-    of = fps.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    of = _roots(prints, F.min("id"))
     low = of.groupBy("root").agg(F.min("low").alias("group"))
     return prints.join(of.select("fp", "root").join(low, "root").select("fp", "group"), "fp").select("id", "fp", "group")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """One row of each group: that with the smallest id. All columns stay.
-    Where several rows share that id, the one with the smallest text hash stays."""
-    key, h = fresh(docs, "simhash_key", "simhash_row")
-    # a null id stands for a group only where all its ids are null
-    none = F.lit(-(1 << 63))
-    chosen = groups(docs, id_col, text, shingle).select(F.coalesce("group", none).alias(key)).distinct()
-    hit = docs.withColumn(key, F.coalesce(F.col(f"`{id_col}`"), none)).join(chosen, key, "left_semi")
-    # rows of a key are together and in order after the join
-    first = F.min(F.struct(F.xxhash64(F.col(f"`{text}`")).alias(h), *[F.col(f"`{c}`") for c in docs.columns]))
-    return hit.groupBy(key).agg(first.alias(h)).select(*[F.col(f"{h}.`{c}`") for c in docs.columns])
+    """One row of each group: that with the smallest id (a null id only where
+    the group has no other). All columns stay. Where several rows of the group
+    share that id, one with the smallest text hash stays."""
+    key, h, row = fresh(docs, "simhash_id", "simhash_hash", "simhash_row")
+    hashed = docs.select(F.col(f"`{id_col}`").alias(key), F.xxhash64(F.col(f"`{text}`")).alias(h), F.col(f"`{text}`").alias(row))
+    prints = stored(with_fingerprint(hashed, row, "fp", shingle, [key, h]).toDF("id", "hash", "fp"), "simhash")
+    # an id may occur in several groups, a null id in any number: a survivor is
+    # known by its id and text, which one group only can have
+    of = _roots(prints, F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")))
+    chosen = (of.groupBy("root").agg(F.min("low").alias("low"))
+              .select(F.col("low.id").alias(key), F.col("low.hash").alias(h)))
+    hit = docs.withColumn(h, F.xxhash64(F.col(f"`{text}`"))).withColumn(key, F.col(f"`{id_col}`"))
+    hit = hit.join(chosen, (hit[h] == chosen[h]) & hit[key].eqNullSafe(chosen[key]), "left_semi")
+    # rows of a key are together after the join
+    first = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    return hit.groupBy(h, key).agg(first.alias(row)).select(*[F.col(f"{row}.`{c}`") for c in docs.columns])
 
 
 def op1_simhash(spark, sf_dir):

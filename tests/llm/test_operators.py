@@ -108,6 +108,16 @@ def test_deduplicate_keeps_one_row_of_each_group(edge, empty):
     assert simhash.deduplicate(empty).count() == 0
 
 
+def test_deduplicate_keeps_different_texts_of_null_and_repeated_ids(spark):
+    texts = [t for t in prose(21, 60) if len(t) > 60][:12]
+    docs = [*[(None, t) for t in texts[:4]], (None, texts[0]), (1, texts[4]), (1, texts[5]), (1, texts[5]), (1, texts[0]),
+            (2, texts[6]), (3, texts[6]), (3, texts[7]), (None, texts[7]), (-(1 << 63), texts[8]), (None, texts[8])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = sorted(map(tuple, simhash.deduplicate(df).collect()), key=repr)
+    assert kept == sorted([*[(None, t) for t in texts[1:4]], (1, texts[4]), (1, texts[5]), (1, texts[0]), (2, texts[6]),
+                           (3, texts[7]), (-(1 << 63), texts[8])], key=repr)
+
+
 # ---- 2 packing ---------------------------------------------------------------------------------
 
 def test_ids_equal_those_of_the_tokenizer():
