@@ -8,6 +8,11 @@ fits. Then the gap is closed by the head of the example with the largest
 product, which is cut there; the rest stays at hand. A sequence closes when a
 limit is reached.
 
+Loss-bearing are all tokens of a piece but its first, which nothing precedes;
+where examples have a mask (prompt against answer), only those of them that it
+marks. A cut example carries its mask on. Without masks a piece of n tokens has
+n - 1 of them, so that ``LOSS`` = ``TOKENS`` - 1 can't be reached first.
+
 Each task packs the rows that it reads, without a shuffle, with a pool of at
 most ``POOL`` open examples, so memory doesn't depend on the input and no key
 can be too frequent. At a task's end what is left in the last sequence is cut
@@ -44,6 +49,8 @@ from quire.llm.common import table, with_arrow
 
 #: Limits of a sequence: tokens, segments, loss-bearing tokens.
 TOKENS, SEGMENTS, LOSS = 2048, 64, 2047
+#: Limit of loss-bearing tokens where examples have masks.
+MASKED_LOSS = 1024
 END_ID = 1
 POOL = 256
 #: Remembered pieces of text in a task.
@@ -124,46 +131,62 @@ class Packer:
         self.limits = np.array([tokens, segments, loss], float)
         self.pool = pool
         self.size = np.zeros(pool + 1)  # tokens left of each open example; 0: a free place
+        self.bear = np.zeros(pool + 1)  # its loss-bearing ones
         self.done = np.zeros(pool + 1, np.int64)  # its tokens placed so far
         self.key = np.zeros(pool + 1, np.int64)
+        self.upto: list[np.ndarray | None] = [None] * (pool + 1)  # marked tokens before each token, if it has a mask
         self.open = 0
         self.sequence = 0
         self.left, self.target = self.limits.copy(), self.limits[0]
         self.out: list[tuple[int, int, int, int, int]] = []
 
     @staticmethod
-    def _loss(size):
-        """Loss-bearing tokens of a piece: all but its first, which nothing precedes."""
-        return size - 1
+    def _loss(start: int, n: int, upto: np.ndarray | None) -> int:
+        """Loss-bearing tokens of a piece: the marked ones but its first, which nothing precedes."""
+        return n - 1 if upto is None else int(upto[start + n] - upto[start + 1])
 
     def _put(self, at: int, n: int) -> None:
-        self.out.append((int(self.key[at]), int(self.done[at]), n, self.sequence, int(self.target - self.left[0])))
+        start = int(self.done[at])
+        self.out.append((int(self.key[at]), start, n, self.sequence, int(self.target - self.left[0])))
+        self.left -= (n, 1, self._loss(start, n, self.upto[at]))
         self.done[at] += n
         self.size[at] -= n
-        self.left -= (n, 1, self._loss(n))
-        if not self.size[at]:
+        if self.size[at]:
+            self.bear[at] = self._loss(start + n, int(self.size[at]), self.upto[at])
+        else:
             self.open -= 1
+            self.upto[at] = None
         if self.left.min() <= 0:  # a limit is reached
             self.sequence += 1
             self.left, self.target = self.limits.copy(), self.limits[0]
 
+    def _room(self, at: int) -> int:
+        """Tokens of an open example up to the first limit."""
+        if self.upto[at] is None:
+            return int(min(self.left[0], self.left[2] + 1))
+        upto, start = self.upto[at], int(self.done[at])
+        end = int(np.searchsorted(upto, upto[start + 1] + self.left[2], side="right")) - 1
+        return int(min(self.left[0], end - start))
+
     def _step(self) -> None:
         """One placement: the best that fits, or else a cut that closes the gap."""
         live = np.flatnonzero(self.size)
-        size = self.size[live]
+        size, bear = self.size[live], self.bear[live]
         share = self.left / self.limits
-        score = size / self.limits[0] * share[0] + share[1] / self.limits[1] + self._loss(size) / self.limits[2] * share[2]
-        room = min(self.left[0], self.left[2] + 1)
-        fits = size <= room
+        score = size / self.limits[0] * share[0] + share[1] / self.limits[1] + bear / self.limits[2] * share[2]
+        fits = (size <= self.left[0]) & (bear <= self.left[2])
         if fits.any():
             best = live[np.where(fits, score, -1.0).argmax()]
             self._put(best, int(self.size[best]))
         else:
-            self._put(live[score.argmax()], int(room))
+            best = live[score.argmax()]
+            self._put(best, self._room(best))
 
-    def place(self, key: int, n: int) -> None:
+    def place(self, key: int, n: int, upto: np.ndarray | None = None) -> None:
+        """An example of n tokens; ``upto`` (n + 1 numbers): the marked ones before each token and in all."""
         free = int(np.flatnonzero(self.size == 0)[0])
         self.size[free], self.done[free], self.key[free] = n, 0, key
+        self.bear[free], self.upto[free] = self._loss(0, n, upto), upto
         self.open += 1
         while self.open > self.pool:
             self._step()
@@ -178,11 +201,27 @@ class Packer:
             self._step()
 
 
+def _marked(mask: list | None, n: int) -> np.ndarray | None:
+    """Marked tokens before each of n tokens and in all; tokens beyond the mask are marked."""
+    if mask is None:
+        return None
+    upto = np.zeros(n + 1, np.int32)
+    marks = np.ones(n, bool)
+    marks[:len(mask)] = [bool(m) for m in mask[:n]]
+    np.cumsum(marks, out=upto[1:])
+    return upto
+
+
 def pack(docs: DataFrame, json_path: str, ranks_path: str, id_col: str = "doc_id", text: str = "text",
-         limits: tuple[int, int, int] = (TOKENS, SEGMENTS, LOSS)) -> DataFrame:
+         limits: tuple[int, int, int] | None = None, loss: str | None = None) -> DataFrame:
     """A row per piece: the document's id, ``start`` (its ids before the piece),
     ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset`` (in the sequence),
-    ``loss_tokens`` and ``ids`` (the piece's token ids)."""
+    ``loss_tokens`` and ``ids`` (the piece's token ids).
+
+    loss: a column with a mask of each example, an array with an entry (boolean
+    or number) per token: true or not 0 where the token bears loss. A null entry
+    is false, a null mask and tokens beyond its end (such as the end token) are true."""
+    limits = limits or (TOKENS, SEGMENTS, MASKED_LOSS if loss else LOSS)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,10 +234,10 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str, id_col: str = "doc_id
         def rows() -> pa.RecordBatch:
             cols: list[list] = [[] for _ in range(9)]
             for key, start, n, seq, offset in packer.out:
-                name, ids = held[key]
+                name, ids, upto = held[key]
                 part = ids[start:start + n]
                 for col, v in zip(cols, (name, start, n, zlib.crc32(part.tobytes()), len(ids), first + seq, offset,
-                                         packer._loss(n), part.view(np.int32)), strict=True):
+                                         packer._loss(start, n, upto), part.view(np.int32)), strict=True):
                     col.append(v)
                 if start + n == len(ids):
                     del held[key]
@@ -211,10 +250,11 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str, id_col: str = "doc_id
         types = [pa.int64()]
         for b in batches:
             types[0] = b.column(0).type
-            for name, t in zip(b.column(0), b.column(1), strict=True):  # one text at a time
-                name, ids = name.as_py(), encode(t.as_py() or "")
-                held[number] = (name, ids)
-                packer.place(number, len(ids))
+            for row in zip(*b.columns, strict=True):  # one text at a time
+                name, ids = row[0].as_py(), encode(row[1].as_py() or "")
+                upto = _marked(row[2].as_py(), len(ids)) if loss else None
+                held[number] = (name, ids, upto)
+                packer.place(number, len(ids), upto)
                 number += 1
                 if len(packer.out) >= 2000:
                     yield rows()
@@ -223,7 +263,8 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str, id_col: str = "doc_id
             yield rows()
         encode.pieces.clear()  # the worker lives on
 
-    found = with_arrow(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")), go,
+    read = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"), *([F.col(f"`{loss}`").alias("loss")] if loss else [])]
+    found = with_arrow(docs.select(*read), go,
                        f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
                        "`offset` long, loss_tokens long, ids array<int>")
     return found.withColumnRenamed("id", id_col)

@@ -177,6 +177,41 @@ def test_pack_covers_each_document(edge, empty):
     assert packing.pack(empty, *packing.vocabulary()).count() == 0
 
 
+@pytest.mark.parametrize("limits", [(2048, 64, 1024), (64, 5, 7), (256, 256, 1)])
+def test_packer_keeps_the_loss_limit_of_masked_examples(limits):
+    r = random.Random(7)
+    sizes = [r.choice([1, 2, 5, 100, 900, 3000]) for _ in range(400)]
+    masks = [None if i % 5 == 0 else np.array([r.random() < i % 7 / 6 for _ in range(n)]) for i, n in enumerate(sizes)]
+    p = packing.Packer(*limits)
+    for i, (n, m) in enumerate(zip(sizes, masks, strict=True)):
+        p.place(i, n, None if m is None else packing._marked(m.tolist(), n))
+    p.finish()
+    used, done = collections.defaultdict(lambda: np.zeros(3, int)), collections.Counter()
+    for key, start, n, sequence, offset in p.out:
+        assert start == done[key] and offset == used[sequence][0]
+        bears = n - 1 if masks[key] is None else int(masks[key][start + 1:start + n].sum())
+        used[sequence] += (n, 1, bears)
+        done[key] += n
+    assert [done[i] for i in range(len(sizes))] == sizes
+    assert (np.array(list(used.values())) <= limits).all()
+    assert any(u[2] == limits[2] and u[0] < limits[0] and u[1] < limits[1] for u in used.values())  # it binds
+
+
+def test_pack_takes_a_mask_of_each_example(spark):
+    answers = [5, 400, 60, 1500, 0, 900]
+    docs = [(i, "word " * 1200 * (i % 3 + 1), [False] * (1200 * (i % 3 + 1) - a) + [True] * a) for i, a in enumerate(answers)]
+    df = spark.createDataFrame([*docs, (6, "one two", None), (7, "one two", [None])], "doc_id long, text string, m array<boolean>").repartition(1)
+    masks = {d[0]: d[2] for d in docs} | {6: [], 7: [None]}
+    loss, total = collections.Counter(), collections.Counter()
+    for r in packing.pack(df, *packing.vocabulary(), loss="m").collect():
+        m = [bool(x) for x in masks[r.doc_id]][:r.doc_tokens]
+        marks = m + [True] * (r.doc_tokens - len(m))
+        assert r.loss_tokens == sum(marks[r.start + 1:r.start + r.length])
+        loss[r.sequence_id] += r.loss_tokens
+        total[r.doc_id] += r.length
+    assert len(total) == 8 and max(loss.values()) == packing.MASKED_LOSS
+
+
 # ---- 3 repeated passages -----------------------------------------------------------------------
 
 def brute_repeats(docs):
