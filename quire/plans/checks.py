@@ -3,6 +3,7 @@ reshaping, dfm selection, document vectors, file formats with damaged lines."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import math as M
@@ -294,13 +295,22 @@ def readability_familiar_words(spark, sf):
 
 
 # --- N6 -------------------------------------------------------------------------------------
+CSV_KEYS = 1000
+
+
 @register("csv_answers_to_rows", """
 SELECT s_nationkey AS nation, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS INTEGER) AS line,
        s_name AS name, CAST(s_suppkey AS VARCHAR) AS key FROM supplier""")
 def csv_answers_to_rows(spark, sf):
-    """Answers that hold a CSV text with a header, one row per line of it."""
-    s = table(spark, sf, "supplier")
+    """Answers that hold a CSV text with a header, one row per line of it: an
+    answer per nation and range of ``CSV_KEYS`` keys, so none grows with the table."""
+    s = table(spark, sf, "supplier").withColumn("part", F.floor(F.col("s_suppkey") / CSV_KEYS))
     line = F.concat(F.lit('"'), "s_name", F.lit('" , '), F.col("s_suppkey").cast("string"))
-    answers = s.groupBy(F.col("s_nationkey").alias("nation")).agg(F.array_sort(F.collect_list(F.struct("s_suppkey", line.alias("l")))).alias("a"))
+    answers = s.groupBy(F.col("s_nationkey").alias("nation"), "part").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", line.alias("l")))).alias("a"))
     text = F.concat(F.lit("name,key\n"), F.array_join(F.transform("a", lambda x: x["l"]), "\n"))
-    return N.csv_answer_rows(answers.select("nation", text.alias("answer")), "answer", ["name", "key"])
+    rows = N.csv_answer_rows(answers.select("nation", "part", text.alias("answer")), "answer", ["name", "key"])
+    earlier = Window.partitionBy("n").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(F.col("nation").alias("n"), F.col("part").alias("p")).agg(F.max("line").alias("lines"))
+    before = sizes.select("n", "p", F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"))
+    return (rows.join(before, F.col("nation").eqNullSafe(F.col("n")) & F.col("part").eqNullSafe(F.col("p")))
+            .select("nation", (F.col("line") + F.col("before")).cast("int").alias("line"), "name", "key"))
