@@ -14,12 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, ensure_checkpoint_dir
+from .positions import following_scale, wordfish  # noqa: F401 (part of this module's interface)
 
 
 def wordscores_fit(d: DataFrame, ref: DataFrame, smooth: float = 0.0, keys: Iterable[str] = ("doc_id",),
@@ -81,158 +79,7 @@ def extreme_words(scores: DataFrame, n: int = 10, term: str = "term", order=None
     return both.withColumn("side", F.when(F.col("rescaled") > 0, "Right").otherwise("Left"))
 
 
-# ---- Wordfish ----------------------------------------------------------------------------------
-
-_WORD_SUMS = "j int, s0 double, s1 double, s2 double"
-_DOC_STEP = "doc_id long, alpha double, omega double, info_aa double, info_ao double, info_oo double"
-
-
-def _word_sums(beta: np.ndarray):
-    """Per doc block: S_k[j] = Σ_i ω_i^k exp(α_i + β_j ω_i), k = 0, 1, 2."""
-    def run(it):
-        acc = None
-        for pdf in it:
-            if pdf.empty:
-                continue
-            a = pdf["alpha"].to_numpy()[:, None]
-            o = pdf["omega"].to_numpy()[:, None]
-            for s in range(0, len(pdf), 512):
-                e = np.exp(a[s:s + 512] + o[s:s + 512] * beta[None, :])
-                oo = o[s:s + 512]
-                part = np.vstack([e.sum(0), (oo * e).sum(0), (oo * oo * e).sum(0)])
-                acc = part if acc is None else acc + part
-        if acc is not None:
-            yield pd.DataFrame({"j": np.arange(len(beta), dtype=np.int32), "s0": acc[0], "s1": acc[1], "s2": acc[2]})
-    return run
-
-
-def _doc_newton(psi: np.ndarray, beta: np.ndarray, sigma_omega: float):
-    """Per document: one Newton step for (α_i, ω_i) with the dense sums over words."""
-    def run(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            a = pdf["alpha"].to_numpy()
-            o = pdf["omega"].to_numpy()
-            y = pdf["y"].to_numpy()
-            yb = pdf["yb"].to_numpy()
-            t0 = np.empty(len(pdf)); t1 = np.empty(len(pdf)); t2 = np.empty(len(pdf))
-            for s in range(0, len(pdf), 512):
-                e = np.exp(psi[None, :] + beta[None, :] * o[s:s + 512, None])
-                t0[s:s + 512] = e.sum(1)
-                t1[s:s + 512] = (e * beta[None, :]).sum(1)
-                t2[s:s + 512] = (e * beta[None, :] ** 2).sum(1)
-            ea = np.exp(a)
-            g_a = y - ea * t0
-            g_o = yb - ea * t1 - o / sigma_omega ** 2
-            h_aa = ea * t0
-            h_ao = ea * t1
-            h_oo = ea * t2 + 1 / sigma_omega ** 2
-            det = h_aa * h_oo - h_ao ** 2
-            det = np.where(det <= 0, 1e-12, det)
-            da = (h_oo * g_a - h_ao * g_o) / det
-            do = (h_aa * g_o - h_ao * g_a) / det
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("int64"), "alpha": a + da, "omega": o + do,
-                                "info_aa": h_aa, "info_ao": h_ao, "info_oo": h_oo})
-    return run
-
-
-def wordfish(d: DataFrame, dir: tuple, max_iter: int = 30, tol: float = 1e-4, sigma_beta: float = 3.0,
-             sigma_omega: float = 1.0, max_vocab: int = 2_000_000, term: str = "term"):
-    """Q4: Wordfish, y_ij ~ Poisson(exp(α_i + ψ_j + β_j ω_i)), by alternating
-    Newton steps.
-
-    * word step: the dense sums over documents are computed per document block
-      (``mapInPandas``, numpy) against broadcast β and summed by word;
-    * document step: per document with broadcast (ψ, β) — the word parameters
-      are bounded by the vocabulary (checked against ``max_vocab``);
-    * identification each round: mean ω 0, sd 1; α of the first document 0;
-      direction: ω[dir[0]] < ω[dir[1]].
-
-    Document parameters are written to the checkpoint folder every round. Returns
-    ``(docs, words)``: ``(doc_id, alpha, omega, se)`` and ``(term, psi, beta)``.
-    """
-    spark = d.sparkSession
-    ensure_checkpoint_dir(spark)
-    from pyspark.sql import Window
-    vocab = d.select(term).distinct()
-    V = vocab.count()
-    if V > max_vocab:
-        raise ValueError(f"vocabulary of {V} exceeds max_vocab={max_vocab}")
-    from ..sources.files import with_row_id
-    vocab = cut_lineage(with_row_id(vocab, [F.col(term)], "j").withColumn("j", (F.col("j") - 1).cast("int")), "wf-vocab")
-    dj = cut_lineage(d.join(F.broadcast(vocab), term).select("doc_id", "j", F.col("n").cast("double").alias("n")), "wf-dfm")
-    # starting values: α from document length, ψ from mean counts, ω from the anchor contrast
-    rows = dj.groupBy("doc_id").agg(F.sum("n").alias("len"))
-    first = rows.agg(F.min("doc_id")).first()[0]
-    len1 = rows.filter(F.col("doc_id") == first).select("len").first()[0]
-    n_docs = rows.count()
-    colsum = {r["j"]: r["s"] for r in dj.groupBy("j").agg(F.sum("n").alias("s")).collect()}  # V entries, bounded
-    psi = np.log(np.array([colsum.get(j, 0.0) for j in range(V)]) / n_docs + 1e-9)
-    beta = np.zeros(V)
-    lo, hi = dir
-    prof = dj.filter(F.col("doc_id").isin(lo, hi)).groupBy("j").pivot("doc_id", [lo, hi]).sum("n").na.fill(0.0)
-    contrast = np.zeros(V)
-    for r in prof.collect():  # ≤ V rows
-        contrast[r["j"]] = np.log(r[str(hi)] + 0.5) - np.log(r[str(lo)] + 0.5)
-    ct = spark.createDataFrame(pd.DataFrame({"j": np.arange(V, dtype=np.int32), "c": contrast}))
-    docs = rows.select("doc_id", F.log(F.col("len") / len1).alias("alpha"))
-    om = dj.join(F.broadcast(ct), "j").groupBy("doc_id").agg(F.sum(F.col("n") * F.col("c")).alias("_c"),
-                                                             F.sum("n").alias("_l"))
-    om = om.select("doc_id", (F.col("_c") / F.col("_l")).alias("omega"))
-    st = om.agg(F.avg("omega"), F.stddev_samp("omega")).first()
-    docs = cut_lineage(docs.join(om, "doc_id").withColumn("omega", (F.col("omega") - st[0]) / F.lit(st[1] or 1.0)), "wf-docs")
-    ydoc = dj.groupBy("doc_id").agg(F.sum("n").alias("y"))
-    yword = dj.groupBy("j").agg(F.sum("n").alias("y")).toPandas().set_index("j")["y"].reindex(range(V)).fillna(0).to_numpy()
-    prev_omega = None
-    for _ in range(max_iter):
-        # word step
-        sums = docs.mapInPandas(_word_sums(beta), _WORD_SUMS).groupBy("j").agg(
-            F.sum("s0").alias("s0"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2")).toPandas()
-        sums = sums.set_index("j").reindex(range(V)).fillna(0.0)
-        yo = dj.join(docs.select("doc_id", "omega"), "doc_id").groupBy("j").agg(
-            F.sum(F.col("n") * F.col("omega")).alias("yo")).toPandas().set_index("j")["yo"].reindex(range(V)).fillna(0).to_numpy()
-        ep = np.exp(psi)
-        g_p = yword - ep * sums["s0"].to_numpy()
-        g_b = yo - ep * sums["s1"].to_numpy() - beta / sigma_beta ** 2
-        h_pp = ep * sums["s0"].to_numpy() + 1e-9
-        h_pb = ep * sums["s1"].to_numpy()
-        h_bb = ep * sums["s2"].to_numpy() + 1 / sigma_beta ** 2
-        det = np.maximum(h_pp * h_bb - h_pb ** 2, 1e-12)
-        psi = psi + (h_bb * g_p - h_pb * g_b) / det
-        beta = beta + (h_pp * g_b - h_pb * g_p) / det
-        # document step
-        wb = spark.createDataFrame(pd.DataFrame({"j": np.arange(V, dtype=np.int32), "b": beta}))
-        yb = dj.join(F.broadcast(wb), "j").groupBy("doc_id").agg(F.sum(F.col("n") * F.col("b")).alias("yb"))
-        inp = docs.select("doc_id", "alpha", "omega").join(ydoc, "doc_id").join(yb, "doc_id", "left").na.fill(0.0)
-        step = cut_lineage(inp.mapInPandas(_doc_newton(psi, beta, sigma_omega), _DOC_STEP), "wf-step")
-        # identification
-        st = step.agg(F.avg("omega").alias("m"), F.stddev_pop("omega").alias("s")).first()
-        m, s = st["m"], (st["s"] or 1.0)
-        a1 = step.filter(F.col("doc_id") == first).select("alpha").first()[0]
-        psi = psi + beta * m + a1
-        beta = beta * s
-        docs = step.select("doc_id", (F.col("alpha") - a1).alias("alpha"), ((F.col("omega") - m) / s).alias("omega"),
-                           "info_aa", "info_ao", F.col("info_oo"))
-        o = docs.filter(F.col("doc_id").isin(lo, hi)).select("doc_id", "omega").collect()
-        om_ = {r["doc_id"]: r["omega"] for r in o}
-        if om_.get(lo, 0) > om_.get(hi, 0):
-            beta = -beta
-            docs = docs.withColumn("omega", -F.col("omega")).withColumn("info_ao", -F.col("info_ao"))
-        cur = docs.select("doc_id", "omega")
-        if prev_omega is not None:
-            delta = cur.join(prev_omega.withColumnRenamed("omega", "_p"), "doc_id").select(
-                F.max(F.abs(F.col("omega") - F.col("_p")))).first()[0]
-            if delta is not None and delta < tol:
-                break
-        prev_omega = cur
-    det = F.col("info_aa") * F.col("info_oo") - F.col("info_ao") ** 2
-    se = F.sqrt(F.col("info_aa") / det) / F.lit(1.0)
-    out_docs = docs.select("doc_id", "alpha", "omega", se.alias("se"))
-    words = spark.createDataFrame(pd.DataFrame({"j": np.arange(V, dtype=np.int32), "psi": psi, "beta": beta}))
-    words = vocab.join(words, "j").select(term, "psi", "beta")
-    return out_docs, words
-
+# ---- Wordfish, the following model: see positions.py ------------------------------------------------
 
 def wordfish_predict(docs: DataFrame, level: float = 0.95) -> DataFrame:
     """Q5: positions with a confidence interval ``fit ± z·se``."""
@@ -254,63 +101,3 @@ def sharing_model(counts: DataFrame, label: str, features: list[str], offset: st
     if offset:
         glr = glr.setOffsetCol(offset)
     return glr.fit(x)
-
-
-def following_scale(edges: DataFrame, user: str = "user", elite: str = "elite", iters: int = 30,
-                    lr: float = 0.05, max_elites: int = 20_000):
-    """Q6: spatial following model P(y_ij = 1) = logit⁻¹(α_j + β_i − (θ_i − φ_j)²)
-    for users i and elites j, fitted by alternating gradient steps on the
-    Bernoulli log-likelihood with N(0, 1) priors on β, θ, φ.
-
-    ``edges`` holds the observed follows ``(user, elite)``; non-follows are
-    every other (user, elite) pair — elites are a bounded, checked list, so the
-    pairs are users × elites (linear in users). User parameters stay a
-    DataFrame written to the checkpoint folder each round; elite parameters
-    (bounded) live on the driver. θ is standardised each round (mean 0, sd 1).
-    Returns ``(users (user, beta, theta), elites (elite, alpha, phi))``.
-    """
-    spark = edges.sparkSession
-    elites = [r[0] for r in edges.select(elite).distinct().orderBy(elite).collect()] \
-        if edges.select(elite).distinct().count() <= max_elites else None
-    if elites is None:
-        raise ValueError(f"more than {max_elites} elites")
-    J = len(elites)
-    pos = {e: i for i, e in enumerate(elites)}
-    deg = edges.groupBy(elite).count().collect()
-    n_users = edges.select(user).distinct().count()
-    alpha = np.zeros(J)
-    for r in deg:
-        p = min(max(r["count"] / n_users, 1e-3), 1 - 1e-3)
-        alpha[pos[r[elite]]] = np.log(p / (1 - p))
-    phi = np.linspace(-1, 1, J) if J > 1 else np.zeros(1)
-    y = edges.select(user, elite).distinct().withColumn("y", F.lit(1.0))
-    # start: β = 0, θ = mean starting position φ of the elites the user follows
-    phi_df = spark.createDataFrame([(e, float(phi[pos[e]])) for e in elites], f"{elite} string, _phi0 double")
-    users = cut_lineage(edges.select(user, elite).distinct().join(F.broadcast(phi_df), elite)
-                        .groupBy(user).agg(F.avg("_phi0").alias("theta"))
-                        .select(user, F.lit(0.0).alias("beta"), "theta"), "fs-users")
-    elite_list = F.array(*[F.lit(e) for e in elites])
-    for _ in range(iters):
-        ep = spark.createDataFrame([(e, float(alpha[pos[e]]), float(phi[pos[e]])) for e in elites],
-                                   f"{elite} string, alpha double, phi double")
-        grid = users.withColumn(elite, F.explode(elite_list)).join(F.broadcast(ep), elite)
-        grid = grid.join(y, [user, elite], "left").na.fill(0.0, ["y"])
-        d = F.col("theta") - F.col("phi")
-        p = 1 / (1 + F.exp(-(F.col("alpha") + F.col("beta") - d * d)))
-        g = grid.withColumn("_r", F.col("y") - p).withColumn("_d", d)
-        eg = g.groupBy(elite).agg(F.sum("_r").alias("ga"), F.sum(F.col("_r") * 2 * F.col("_d")).alias("gp")).collect()
-        ug = g.groupBy(user).agg(F.sum("_r").alias("gb"), F.sum(F.col("_r") * -2 * F.col("_d")).alias("gt"))
-        users = users.join(ug, user).select(user, (F.col("beta") + lr * (F.col("gb") - F.col("beta"))).alias("beta"),
-                                            (F.col("theta") + lr * (F.col("gt") - F.col("theta"))).alias("theta"))
-        st = users.agg(F.avg("theta").alias("m"), F.stddev_pop("theta").alias("s")).first()
-        m, s = st["m"] or 0.0, (st["s"] or 1.0)
-        users = cut_lineage(users.withColumn("theta", (F.col("theta") - m) / s), "fs-users")
-        scale = J / max(n_users, 1)  # elite sums run over users, user sums over elites
-        for r in eg:
-            i = pos[r[elite]]
-            alpha[i] += lr * r["ga"] * scale
-            phi[i] += lr * (r["gp"] * scale - phi[i])
-        phi = (phi - m) / s
-    el = spark.createDataFrame([(e, float(alpha[pos[e]]), float(phi[pos[e]])) for e in elites],
-                               f"{elite} string, alpha double, phi double")
-    return users, el

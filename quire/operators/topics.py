@@ -319,145 +319,17 @@ def seeded_lda(d: DataFrame, seeds: dict, k: int | None = None, alpha: float = 0
     return beta_df, theta
 
 
-# ---- correlated / structural topic model (logistic-normal prior, MAP EM) ----------------------------
+# ---- correlated / structural topic model -----------------------------------------------------------
 
-_CTM_SS = "kind string, k int, j int, s double"
-
-
-def _ctm_estep(bv, K: int, V: int, p: int, steps: int, emit_theta: bool = False, key: str = "doc_id"):
-    """Per document: MAP η (K−1 free logits) under N(μ_d, Σ) with μ_d = x_d Γ,
-    then expected topic-word counts. Emits, per partition, K×V sufficient
-    statistics plus the moments needed for Γ and Σ (or θ per document)."""
-    import numpy as np
-
-    def run(it):
-        beta, Gam, Sinv = bv.value
-        S = np.zeros((K, V))
-        XtX = np.zeros((p, p))
-        XtH = np.zeros((p, K - 1))
-        HtH = np.zeros((K - 1, K - 1))
-        n = 0
-        out_theta = []
-        for pdf in it:
-            for row_key, js, cs, x in zip(pdf[key], pdf["js"], pdf["cs"], pdf["x"]):
-                js = np.asarray(js, dtype=np.int64)
-                cs = np.asarray(cs, dtype=float)
-                x = np.asarray(x, dtype=float)
-                mu = x @ Gam
-                eta = mu.copy()
-                b = beta[:, js]
-                N = cs.sum()
-                for _ in range(steps):
-                    e = np.append(eta, 0.0)
-                    th = np.exp(e - e.max())
-                    th /= th.sum()
-                    pw = th @ b
-                    grad = (th[:, None] * (b / pw[None, :] - 1.0)) @ cs
-                    g = grad[:-1] - Sinv @ (eta - mu)
-                    eta = eta + g / (N + 1.0)
-                e = np.append(eta, 0.0)
-                th = np.exp(e - e.max())
-                th /= th.sum()
-                if emit_theta:
-                    out_theta += [(row_key, t, float(th[t])) for t in range(K)]
-                    continue
-                phi = th[:, None] * b
-                phi /= phi.sum(0, keepdims=True)
-                S[:, js] += phi * cs[None, :]
-                XtX += np.outer(x, x)
-                XtH += np.outer(x, eta)
-                r = eta - mu
-                HtH += np.outer(r, r)
-                n += 1
-        if emit_theta:
-            yield pd.DataFrame(out_theta, columns=[key, "topic", "gamma"])
-            return
-        rows = []
-        kk, jj = np.nonzero(S)
-        rows.append(pd.DataFrame({"kind": "beta", "k": kk.astype("int32"), "j": jj.astype("int32"), "s": S[kk, jj]}))
-        for name, M in (("xtx", XtX), ("xth", XtH), ("hth", HtH)):
-            a, c = np.indices(M.shape)
-            rows.append(pd.DataFrame({"kind": name, "k": a.ravel().astype("int32"), "j": c.ravel().astype("int32"),
-                                      "s": M.ravel()}))
-        rows.append(pd.DataFrame({"kind": ["n"], "k": [0], "j": [0], "s": [float(n)]}))
-        yield pd.concat(rows, ignore_index=True)
-    return run
-
-
-def stm(d: DataFrame, k: int, covariates: DataFrame | None = None, iters: int = 10, steps: int = 30,
-        eta: float = 0.01, keys: Iterable[str] = ("doc_id",), term: str = "term",
-        max_cells: int = 20_000_000, seed: int = 42):
+def stm(d: DataFrame, k: int, covariates: DataFrame | None = None, iters: int = 30, keys: Iterable[str] = ("doc_id",),
+        term: str = "term", content: DataFrame | None = None, tol: float = 1e-5):
     """Structural topic model with topic-prevalence covariates
-    (``covariates``: ``doc_id`` plus numeric columns; an intercept is added) —
-    without covariates it is the correlated topic model.
-
-    Logistic-normal prior η_d ~ N(x_d Γ, Σ) on K−1 free logits; EM with a MAP
-    E-step per document (numpy, Arrow batches) against the broadcast K × V
-    topic-term matrix (checked against ``max_cells``); the M-step sums the
-    per-partition K×V statistics by cell and solves Γ from the aggregated
-    normal equations (XᵀX, XᵀH: p×p and p×(K−1)), Σ from the residual moments.
-    Content covariates are not modelled. Returns ``(beta (topic, term, beta),
-    theta (doc_id, topic, gamma), topic correlation (topic_a, topic_b, corr),
-    gamma coefficients (covariate, topic, coef))``.
-    """
-    import numpy as np
-    from ..sources.files import with_row_id
-    spark = d.sparkSession
-    keys = list(keys)
-    key = keys[0]
-    vocab = cut_lineage(with_row_id(d.select(term).distinct(), [F.col(term)], "j")
-                        .withColumn("j", (F.col("j") - 1).cast("int")), "stm-vocab")
-    V = vocab.count()
-    if k * V > max_cells:
-        raise ValueError(f"K×V = {k * V} exceeds max_cells={max_cells}")
-    docs = d.join(vocab, term).groupBy(key).agg(
-        F.collect_list("j").alias("js"), F.collect_list(F.col("n").cast("double")).alias("cs"))
-    cov_names = ["intercept"]
-    if covariates is not None:
-        names = [c for c in covariates.columns if c != key]
-        cov_names += names
-        docs = docs.join(covariates, key, "left").na.fill(0.0, names)
-        docs = docs.withColumn("x", F.array(F.lit(1.0), *[F.col(c).cast("double") for c in names]))
-    else:
-        docs = docs.withColumn("x", F.array(F.lit(1.0)))
-    docs = cut_lineage(docs.select(key, "js", "cs", "x"), "stm-docs")
-    P_ = len(cov_names)
-    rng = np.random.default_rng(seed)
-    beta = rng.random((k, V)) + eta
-    beta /= beta.sum(1, keepdims=True)
-    Gam = np.zeros((P_, k - 1))
-    Sigma = np.eye(k - 1)
-    for _ in range(iters):
-        bv = spark.sparkContext.broadcast((beta, Gam, np.linalg.inv(Sigma)))
-        st = docs.mapInPandas(_ctm_estep(bv, k, V, P_, steps, key=key), _CTM_SS).groupBy("kind", "k", "j").agg(
-            F.sum("s").alias("s")).collect()  # K×V + small moments, bounded
-        bv.unpersist()
-        S = np.zeros((k, V))
-        XtX, XtH, HtH, n = np.zeros((P_, P_)), np.zeros((P_, k - 1)), np.zeros((k - 1, k - 1)), 1.0
-        for r in st:
-            if r["kind"] == "beta":
-                S[r["k"], r["j"]] = r["s"]
-            elif r["kind"] == "xtx":
-                XtX[r["k"], r["j"]] = r["s"]
-            elif r["kind"] == "xth":
-                XtH[r["k"], r["j"]] = r["s"]
-            elif r["kind"] == "hth":
-                HtH[r["k"], r["j"]] = r["s"]
-            else:
-                n = max(r["s"], 1.0)
-        beta = S + eta
-        beta /= beta.sum(1, keepdims=True)
-        Gam = np.linalg.solve(XtX + 1e-6 * np.eye(P_), XtH)
-        Sigma = HtH / n + 1e-3 * np.eye(k - 1)
-    bv = spark.sparkContext.broadcast((beta, Gam, np.linalg.inv(Sigma)))
-    theta = docs.mapInPandas(_ctm_estep(bv, k, V, P_, steps, emit_theta=True, key=key),
-                             f"{key} {docs.schema[key].dataType.simpleString()}, topic int, gamma double")
-    bt = spark.createDataFrame([(int(t), int(j), float(beta[t, j])) for t in range(k) for j in range(V)],
-                               "topic int, j int, beta double").join(vocab, "j").select("topic", term, "beta")
-    sd = np.sqrt(np.diag(Sigma))
-    corr = Sigma / np.outer(sd, sd)
-    cr = spark.createDataFrame([(a, b, float(corr[a, b])) for a in range(k - 1) for b in range(k - 1)],
-                               "topic_a int, topic_b int, corr double")
-    gm = spark.createDataFrame([(cov_names[i], t, float(Gam[i, t])) for i in range(P_) for t in range(k - 1)],
-                               "covariate string, topic int, coef double")
-    return bt, theta, cr, gm
+    (``covariates``: ``doc_id`` plus numeric columns; an intercept is added) and
+    a content covariate (``content``: ``doc_id`` and one column) - without
+    them it is the correlated topic model. See :mod:`quire.operators.structural`.
+
+    Returns ``(beta (topic, term, beta), theta (doc_id, topic, gamma), topic
+    correlation (topic_a, topic_b, corr), coefficients (covariate, topic, coef))``."""
+    from .structural import fit
+    m = fit(d, k, covariates, content, key=list(keys)[0], term=term, iters=iters, tol=tol)
+    return m.beta, m.theta, m.correlation, m.coefficients

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import math as M
@@ -370,25 +371,39 @@ def seeded_topics_en(spark, sf):
     return top.join(names, "topic").select("topic", "name", F.col("label").alias("terms"))
 
 
+def _frequent_terms(docs):
+    """The dfm of all documents: terms in at least 5 % of them."""
+    d = D.dfm_from_arrays(T.token_arrays(docs))
+    return D.dfm_trim(d, n_docs=docs.select(F.count(F.lit(1))), min_docfreq=0.05, docfreq_type="prop")
+
+
 @register("stm_lang_prevalence")
 def stm_lang_prevalence(spark, sf):
-    """Structural topic model (K=4) over all documents with language
-    indicators as prevalence covariates (terms in ≥ 5 % of documents); the
-    prevalence coefficients Γ per covariate and topic."""
+    """Structural topic model (K = 30) over all documents with language
+    indicators as prevalence covariates; the coefficients per covariate and topic."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
-    d = D.dfm_from_arrays(T.token_arrays(docs))
-    d = D.dfm_trim(d, n_docs=docs.select(F.count(F.lit(1))), min_docfreq=0.05, docfreq_type="prop")
     cov = docs.select("doc_id", *[(F.col("lang") == l).cast("double").alias(f"lang_{l}") for l in ("de", "es", "fr")])
-    _b, _t, _c, gam = P.stm(d, 4, cov, iters=6)
+    _b, _t, _c, gam = P.stm(_frequent_terms(docs), 30, cov, iters=15, tol=1e-4)
     return gam.withColumn("coef", F.round("coef", 6))
 
 
+@register("stm_source_content")
+def stm_source_content(spark, sf):
+    """Structural topic model (K = 5) whose words differ by language
+    (content covariate); the five words that a language raises most in each topic."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    beta, _t, _c, _g = P.stm(_frequent_terms(docs), 5, content=docs.select("doc_id", "lang"), iters=8, tol=1e-4)
+    mean = beta.groupBy("topic", "term").agg(F.avg("beta").alias("mean"))
+    lift = beta.where("group is not null").join(mean, ["topic", "term"]).withColumn("lift", F.col("beta") / F.col("mean"))
+    w = Window.partitionBy("group", "topic").orderBy(F.desc("lift"), "term")
+    top = lift.withColumn("rank", F.row_number().over(w)).where("rank <= 5")
+    return top.select(F.col("group").alias("lang"), "topic", "rank", "term", F.round("lift", 6).alias("lift"))
+
+
 @register("ctm_topic_correlation")
 def ctm_topic_correlation(spark, sf):
-    """Correlated topic model (no covariates, K=4) on English documents;
-    the learned topic correlation matrix of the free logits."""
-    docs = table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
-    d = D.dfm_from_arrays(T.token_arrays(docs))
-    d = D.dfm_trim(d, n_docs=docs.select(F.count(F.lit(1))), min_docfreq=0.05, docfreq_type="prop")
-    _b, _t, corr, _g = P.stm(d, 4, None, iters=6)
+    """Correlated topic model (no covariates, K = 30, spectral start) on all
+    documents; the correlation matrix of the free logits."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    _b, _t, corr, _g = P.stm(_frequent_terms(docs), 30, iters=15, tol=1e-4)
     return corr.withColumn("corr", F.round("corr", 6))
