@@ -34,6 +34,7 @@ empty result; other columns aren't read.
 from __future__ import annotations
 
 import base64
+import os
 import re
 import struct
 import zlib
@@ -47,8 +48,9 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import table, with_arrow
 
-#: Limits of a sequence: tokens, segments, loss-bearing tokens.
-TOKENS, SEGMENTS, LOSS = 2048, 64, 2047
+#: Limits of a sequence: tokens, segments, loss-bearing tokens. So many segments
+#: fill a sequence unless its pieces have under two tokens on average.
+TOKENS, SEGMENTS, LOSS = 2048, 1024, 2047
 #: Limit of loss-bearing tokens where examples have masks.
 MASKED_LOSS = 1024
 END_ID = 1
@@ -104,6 +106,16 @@ class Encoder:
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, LATIN.findall(text))) + self.end, dtype="<u4")
 
 
+def _resolved(path: str) -> str:
+    """The path as the driver gave it, or where this worker's own package of
+    public tokenizers has the file."""
+    if os.path.exists(path):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path(os.path.basename(path))
+
+
 _ENCODERS: dict = {}
 
 
@@ -111,7 +123,7 @@ def _encoder(*paths: str) -> Encoder:
     """One per Python worker; what it remembers is dropped at a task's end."""
     if paths not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[paths] = Encoder(*paths)
+        _ENCODERS[paths] = Encoder(*map(_resolved, paths))
     return _ENCODERS[paths]
 
 

@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 from quire.llm.common import fresh, table
 
 THRESHOLD = 0.5
-#: Code points before and after a span in which context words count (as far as the next span of the same kind).
+#: Code points before and after a span in which context words count, whatever lies between.
 NEAR = 40
+#: Matches that can lie within NEAR code points: none has fewer than five.
+WITHIN = 8
 
 
 @dataclass(frozen=True)
@@ -114,11 +116,25 @@ def _pieces(df: DataFrame, text: str, kind: Kind, m: str, p: str) -> DataFrame:
 
 
 def _scored(kind: Kind, m: str, p: str, item: Callable) -> Column:
-    """item(index, piece before, match, score) for each match."""
-    zipped = F.arrays_zip(F.col(m).alias("m"), F.slice(F.col(p), F.lit(1), F.size(m)).alias("b"),
-                          F.slice(F.col(p), F.lit(2), F.size(m)).alias("a"))
-    return F.transform(zipped, lambda z, i: item(
-        i, z["b"], z["m"], _score(kind, F.right(z["b"], F.lit(NEAR)), z["m"], F.left(z["a"], F.lit(NEAR)))))
+    """item(index, piece before, match, score) for each match.
+
+    The context of a match is cut from the ends of the pieces around it and of
+    the matches and pieces beyond them, as many as ``NEAR`` code points can hold."""
+    pairs = F.arrays_zip(F.col(m).alias("m"), F.slice(F.col(p), F.lit(1), F.size(m)).alias("b"),
+                         F.slice(F.col(p), F.lit(2), F.size(m)).alias("a"))
+    before = F.transform(pairs, lambda z: F.concat(F.right(z["b"], F.lit(NEAR)), z["m"]))
+    after = F.transform(pairs, lambda z: F.concat(z["m"], F.left(z["a"], F.lit(NEAR))))
+
+    def of(s: Column) -> Column:  # bound once, so that nothing is computed again for each match
+        return F.transform(s["pairs"], lambda z, i: item(i, z["b"], z["m"], _score(
+            kind,
+            F.right(F.concat(F.array_join(F.slice(s["before"], F.greatest(i - WITHIN, F.lit(0)) + 1, F.least(i, F.lit(WITHIN))), ""),
+                             F.right(z["b"], F.lit(NEAR))), F.lit(NEAR)),
+            z["m"],
+            F.left(F.concat(F.left(z["a"], F.lit(NEAR)), F.array_join(F.slice(s["after"], i + 2, F.lit(WITHIN)), "")), F.lit(NEAR)))))
+
+    bound = F.array(F.struct(pairs.alias("pairs"), before.alias("before"), after.alias("after")))
+    return F.when(F.size(m) > 0, F.element_at(F.transform(bound, of), 1))
 
 
 def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None,

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import ddl, table, utf8, with_arrow
+from quire.llm.common import ddl, fresh, table, utf8, with_arrow
 
 START, REST, DEAD = 0, 1, -1
 SPACE = np.zeros(256, bool)
@@ -173,8 +173,11 @@ def with_counts(docs: DataFrame, path: str, text: str = "text", keep: list[str]
                 byte_fallback: bool = True, names: tuple[str, str, str] = ("n_words", "n_tokens", "n_unknown")) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the numbers of words, tokens and
     unknown words of each text. The vocabulary is read on the driver and sent
-    to the tasks; its size doesn't depend on the data."""
-    source = docs.select(*[F.col(f"`{c}`") for c in (keep or docs.columns)], F.col(f"`{text}`").alias("_text"))
+    to the tasks; its size doesn't depend on the data. Names that clash with
+    columns of the table get a trailing underscore."""
+    names = fresh(docs.select(*[F.col(f"`{c}`") for c in (keep or docs.columns)]), *names)
+    whole, = fresh(docs, "_text")
+    source = docs.select(*[F.col(f"`{c}`") for c in (keep or docs.columns)], F.col(f"`{text}`").alias(whole))
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +198,7 @@ def with_counts(docs: DataFrame, path: str, text: str = "text", keep: list[str]
                 lo = hi
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *map(pa.array, found)], names=[*b.schema.names[:-1], *names])
 
-    return with_arrow(source, count, ddl(source.drop("_text"), *[f"`{n}` bigint" for n in names]))
+    return with_arrow(source, count, ddl(source.drop(whole), *[f"`{n}` bigint" for n in names]))
 
 
 def op4_token_counts(spark, sf_dir):
