@@ -190,20 +190,25 @@ def to_vectors(d: DataFrame, vocab: DataFrame, size: int, keys: Iterable[str] =
                term: str = "term", value: str = "n", out: str = "features") -> DataFrame:
     """Per-document ``SparseVector`` over ``vocab`` indices (ML boundary only).
 
-    Entries are gathered per document (bounded by its number of types) and
-    turned into a vector by one call per document.
+    Entries are gathered per document (bounded by its number of types). A
+    stored vector is a struct of type, size, indices and values, so the rows are written as such
+    structs and read back as vectors: no Python touches them.
     """
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import StructField, StructType
+    from ..session import scratch_path
     keys = list(keys)
     j = d.join(vocab.select(term, "idx"), term)
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
         F.struct("idx", F.col(value).cast("double").alias("v")))).alias("_e"))
-
-    @F.udf(VectorUDT())
-    def _vec(entries):
-        return SparseVector(size, [e[0] for e in entries], [e[1] for e in entries])
-
-    return g.select(*keys, _vec("_e").alias(out))
+    raw = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"),
+                   F.transform("_e", lambda e: e["idx"]).alias("indices"), F.transform("_e", lambda e: e["v"]).alias("values"))
+    rows = g.select(*keys, raw.alias(out))
+    spark = d.sparkSession
+    path = scratch_path(spark, "vectors")
+    rows.write.parquet(path)
+    schema = StructType([*[rows.schema[k] for k in keys], StructField(out, VectorUDT())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def dense_slice(d: DataFrame, doc_ids: list, terms: list, keys: str = "doc_id",

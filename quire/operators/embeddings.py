@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions import math as M
 from . import tokens as TK
+from .blocks import matrix, total
+from .factors import glove, truncated_svd  # noqa: F401 (part of this module's interface)
+from .skipgram import skipgram
 
 
 def _c(c) -> Column:
@@ -111,10 +114,12 @@ def fcm(arrays: DataFrame, window: int = 6, col: str = "toks") -> DataFrame:
         b = F.slice(t, F.lit(d + 1), k)
         parts.append(F.zip_with(a, b, lambda x, y: F.struct(x.alias("x"), y.alias("y"))))
     allp = F.filter(F.flatten(F.array(*parts)), lambda s: s["x"].isNotNull() & s["y"].isNotNull())
-    ex = arrays.select(F.inline(allp))
-    both = ex.select(F.col("x").alias("term1"), F.col("y").alias("term2")).unionByName(
-        ex.select(F.col("y").alias("term1"), F.col("x").alias("term2")))
-    return both.groupBy("term1", "term2").agg(F.count(F.lit(1)).alias("n"))
+    ex = arrays.select(F.inline(allp)).select(F.least("x", "y").alias("term1"), F.greatest("x", "y").alias("term2"))
+    half = ex.groupBy("term1", "term2").agg(F.count(F.lit(1)).alias("n"))
+    # a word with itself is a pair in both orders at once
+    turns = F.when(F.col("term1") == F.col("term2"), F.array(F.struct("term1", "term2", (2 * F.col("n")).alias("n")))).otherwise(
+        F.array(F.struct("term1", "term2", "n"), F.struct(F.col("term2").alias("term1"), F.col("term1").alias("term2"), F.col("n").alias("n"))))
+    return half.select(F.inline(turns))
 
 
 def pad_array(arrays: DataFrame, keep: Iterable[str] | None = None, drop: Iterable[str] | None = None,
@@ -207,12 +212,10 @@ def dict_similarity(docvecs: DataFrame, centroids: DataFrame, keys: Iterable[str
     n = centroids.count()
     if n > max_centroids:
         raise ValueError(f"{n} centroids exceed {max_centroids}")
-    cen = centroids.select("category", F.col(vec).alias("_c"))
-    cats = [r[0] for r in cen.select("category").collect()]  # bounded by max_centroids
-    arr = F.array(*[F.lit(c) for c in cats])
-    x = docvecs.select(*keys, vec, F.explode(arr).alias("category"))
-    j = x.join(F.broadcast(cen), "category")
-    return j.select(*keys, "category", M.cosine(vec, "_c").alias("cosine"))
+    cen = centroids.agg(F.collect_list(F.struct("category", F.col(vec).alias("v"))).alias("_c"))  # one row
+    x = with_row_of(docvecs.select(*keys, vec), cen)
+    near = F.transform("_c", lambda c: F.struct(c["category"].alias("category"), M.cosine(vec, c["v"]).alias("cosine")))
+    return x.select(*keys, F.inline(near))
 
 
 def expand_dict(seeds: DataFrame, V: DataFrame, n: int = 10, term: str = "term", vec: str = "vec",
@@ -223,12 +226,21 @@ def expand_dict(seeds: DataFrame, V: DataFrame, n: int = 10, term: str = "term",
         V.select(F.col(term).alias("seed"), F.col(vec).alias("_s")), "seed")
     if s.count() > max_seeds:
         raise ValueError("too many seed words")
-    seed_ids = [r[0] for r in s.select("seed").distinct().collect()]
-    x = V.select(term, vec, F.explode(F.array(*[F.lit(v) for v in seed_ids])).alias("seed"))
-    j = x.join(F.broadcast(s), "seed").filter(F.col(term) != F.col("seed"))
-    sc = j.select("category", "seed", term, M.dot(vec, "_s").alias("score"))
+    every = s.agg(F.collect_list(F.struct("category", "seed", "_s")).alias("_seeds"))  # one row
+    near = F.transform("_seeds", lambda e: F.struct(e["category"].alias("category"), e["seed"].alias("seed"), M.dot(vec, e["_s"]).alias("score")))
+    sc = with_row_of(V.select(term, vec), every).select(term, F.inline(near)).filter(F.col(term) != F.col("seed"))
     w = Window.partitionBy("category", "seed").orderBy(F.desc("score"), term)
-    return sc.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return sc.select("category", "seed", term, "score").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
+def emotionality(similarity: DataFrame, affect: str = "affect", cognition: str = "cognition", keys: Iterable[str] = ("doc_id",)) -> DataFrame:
+    """How much closer a document is to the affect dictionary than to the
+    cognition dictionary: (1 + cosine) / (1 + cosine), NULL where one is missing.
+    similarity: as from :func:`dict_similarity`."""
+    keys = list(keys)
+    side = [F.max(F.when(F.col("category") == c, F.col("cosine"))) for c in (affect, cognition)]
+    g = similarity.groupBy(*keys).agg(side[0].alias("affect"), side[1].alias("cognition"))
+    return g.select(*keys, "affect", "cognition", F.try_divide(F.col("affect") + 1, F.col("cognition") + 1).alias("emotionality"))
 
 
 def axis_projection(V: DataFrame, pairs: list[tuple], term: str = "term", vec: str = "vec") -> DataFrame:
@@ -269,146 +281,50 @@ def plot_table(V: DataFrame, lo: int, hi: int, dims: int = 2, term: str = "term"
 
 def svd_vectors(pmi: DataFrame, k: int, term1: str = "term1", term2: str = "term2", value: str = "pmi"):
     """K6: truncated SVD of the sparse PMI matrix; word vectors = U (rows),
-    each column's sign fixed so its largest-|value| entry is positive.
-
-    Uses ``IndexedRowMatrix.computeSVD`` (distributed Gramian; the k×k and
-    n_terms×k factors are bounded by the vocabulary, not by the corpus)."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-    terms = pmi.select(F.col(term1).alias("t")).union(pmi.select(F.col(term2).alias("t"))).distinct()
-    from ..sources.files import with_row_id
-    idx = with_row_id(terms, [F.col("t")], "i").withColumn("i", F.col("i") - 1)
-    n_terms = idx.count()
-    j = (pmi.join(idx.withColumnRenamed("t", term1).withColumnRenamed("i", "r"), term1)
-         .join(idx.withColumnRenamed("t", term2).withColumnRenamed("i", "c"), term2))
-    rows = j.groupBy("r").agg(F.sort_array(F.collect_list(F.struct("c", F.col(value).cast("double")))).alias("e"))
-    rdd = rows.rdd.map(lambda r: IndexedRow(r["r"], Vectors.sparse(int(n_terms), [x[0] for x in r["e"]],
-                                                                    [x[1] for x in r["e"]])))
-    mat = IndexedRowMatrix(rdd)
-    svd = mat.computeSVD(k, computeU=True)
-    u = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()]))
-    spark = pmi.sparkSession
-    U = spark.createDataFrame(u, "i long, vec array<double>")
-    # sign rule: the largest |value| of each column (over all words) is positive
-    ex = U.select("i", F.posexplode("vec").alias("dim", "v"))
-    sign = ex.groupBy("dim").agg(F.max_by("v", F.abs("v")).alias("_m")).select(
-        "dim", F.when(F.col("_m") < 0, -1.0).otherwise(1.0).alias("s"))
-    fixed = ex.join(F.broadcast(sign), "dim").groupBy("i").agg(
-        F.array_sort(F.collect_list(F.struct("dim", (F.col("v") * F.col("s")).alias("v")))).alias("_e"))
-    out = fixed.select("i", F.transform("_e", lambda e: e["v"]).alias("vec"))
-    return out.join(idx.withColumnRenamed("i", "i"), "i").select(F.col("t").alias("term"), "vec"), svd.s.toArray()
-
-
-def word2vec(arrays: DataFrame, size: int = 100, window: int = 6, min_count: int = 10, epochs: int = 5,
-             seed: int = 42, col: str = "toks", partitions: int | None = None):
-    """Skip-gram word2vec (Spark ML); returns ``(model, vectors)`` with
-    vectors as ``(term, vec)``. Sentences are never cut, and the fit runs in
-    ``partitions`` tasks (default: the session's parallelism)."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
-    partitions = partitions or arrays.sparkSession.sparkContext.defaultParallelism
-    m = Word2Vec(vectorSize=size, numPartitions=partitions, maxSentenceLength=2**31 - 1, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed,
-                 inputCol=col, outputCol="_dv").fit(arrays.select(col))
-    V = m.getVectors().select(F.col("word").alias("term"), vector_to_array("vector").alias("vec"))
-    return m, V
+    each column's sign fixed so that its largest-|value| entry (ties: the first
+    term) is positive. Returns ``((term, vec), singular values)``; see :mod:`.factors`."""
+    return truncated_svd(pmi, k, term1, term2, value)
+
+
+def word2vec(arrays: DataFrame, size: int = 300, window: int = 6, min_count: int = 10, epochs: int = 5,
+             seed: int = 42, col: str = "toks", start: DataFrame | None = None):
+    """Skip-gram word2vec with negative sampling on distinct texts; returns
+    ``(loss of each pass, vectors (term, vec))``; see :mod:`.skipgram`."""
+    V, losses = skipgram(arrays, size, window, min_count, epochs, seed=seed, col=col, start=start)
+    return losses, V
 
 
 def procrustes_align(base: DataFrame, other: DataFrame, term: str = "term", vec: str = "vec") -> DataFrame:
     """Rotate ``other`` onto ``base`` (orthogonal Procrustes over shared
-    words): the d×d cross-product is summed on Spark, its SVD on the driver
-    (d×d is bounded by the dimension), the rotation applied on Spark."""
-    import numpy as np
-    j = base.select(term, F.col(vec).alias("_a")).join(other.select(term, F.col(vec).alias("_b")), term)
-    dim = len(other.select(vec).first()[0])
-    cells = j.select(F.posexplode("_b").alias("i", "bi"), "_a").select(
-        "i", F.posexplode("_a").alias("j", "aj"), "bi").groupBy("i", "j").agg(F.sum(F.col("bi") * F.col("aj")).alias("m"))
-    Mx = np.zeros((dim, dim))
-    for r in cells.collect():  # d×d cells, bounded by the vector dimension
-        Mx[r["i"], r["j"]] = r["m"]
-    u, _, vt = np.linalg.svd(Mx)
-    R = (u @ vt).tolist()
-    rot = F.array(*[F.lit(float(x)) for row in R for x in row])
-    out = other.select(term, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: F.aggregate(
-        F.sequence(F.lit(0), F.lit(dim - 1)), F.lit(0.0),
-        lambda acc, i: acc + F.col(vec)[i].cast("double") * rot[i * dim + k])).alias(vec))
-    return out
-
-
-# ---- GloVe ------------------------------------------------------------------------------------
-
-_GLOVE_OUT = "term string, vec array<double>, bias double, loss double"
-
-
-def _glove_side(bv, rank: int, x_max: float, alpha: float, reg: float):
-    """Per word: weighted ridge for (vector, bias) against the fixed other side
-    (read from the broadcast ``bv`` on the executor):
-    minimise Σ_j f(X_ij) (w·c_j + b + b̃_j − log X_ij)² + reg‖w‖²."""
+    words): the d×d cross-product is summed in the tasks, its SVD on the driver
+    (d×d is bounded by the dimension), the rotation applied in the tasks."""
     import numpy as np
 
-    def solve(pdf):
-        other_vecs, other_bias = bv.value
-        C = np.stack([other_vecs[j] for j in pdf["j"]])
-        bt = np.array([other_bias[j] for j in pdf["j"]])
-        x = pdf["n"].to_numpy(dtype=float)
-        f = np.minimum((x / x_max) ** alpha, 1.0)
-        y = np.log(x) - bt
-        A = np.hstack([C, np.ones((len(C), 1))])
-        AtW = A.T * f
-        M = AtW @ A + reg * np.eye(rank + 1)
-        M[rank, rank] -= reg  # bias not penalised
-        sol = np.linalg.solve(M + 1e-9 * np.eye(rank + 1), AtW @ y)
-        resid = A @ sol - y
-        return pd.DataFrame({"term": [pdf["term"].iloc[0]], "vec": [sol[:rank].tolist()], "bias": [float(sol[rank])],
-                             "loss": [float((f * resid ** 2).sum())]})
-    return solve
-
-
-def glove(cooc: DataFrame, rank: int = 50, x_max: float = 10.0, alpha: float = 0.75, iters: int = 10,
-          reg: float = 0.01, seed: int = 42, max_vocab: int = 500_000):
-    """GloVe's weighted least-squares objective on co-occurrence counts
-    ``(term1, term2, n)``, fitted by alternating weighted ridge regressions
-    (main vectors given context vectors, then the reverse) — not AdaGrad, so
-    compare by loss and neighbours, not by values.
-
-    Each word's rows form one ``applyInPandas`` group (at most the vocabulary
-    size, whatever the corpus size); the fixed side (V × rank) is collected and
-    broadcast after checking V against ``max_vocab``. Returns
-    ``(vectors (term, vec) = main + context, losses per iteration)``.
-    """
-    import numpy as np
-
-    spark = cooc.sparkSession
-    from ..session import cut_lineage
-    co = cut_lineage(cooc.filter(F.col("n") > 0).select("term1", "term2", F.col("n").cast("double").alias("n")), "glove-cooc")
-    vocab = [r[0] for r in co.select("term1").union(co.select("term2")).distinct().collect()] \
-        if co.select("term1").union(co.select("term2")).distinct().count() <= max_vocab else None
-    if vocab is None:
-        raise ValueError(f"vocabulary exceeds max_vocab={max_vocab}")
-    rng = np.random.default_rng(seed)
-    ctx = {t: (rng.random(rank) - 0.5) / rank for t in vocab}
-    ctx_b = {t: 0.0 for t in vocab}
-    main, main_b = dict(ctx), dict(ctx_b)
-    losses = []
-    for _ in range(iters):
-        for side in ("main", "context"):
-            other, other_b = (ctx, ctx_b) if side == "main" else (main, main_b)
-            bv = spark.sparkContext.broadcast((other, other_b))
-            key, j = ("term1", "term2") if side == "main" else ("term2", "term1")
-            rows = co.select(F.col(key).alias("term"), F.col(j).alias("j"), "n")
-            solver = _glove_side(bv, rank, x_max, alpha, reg)
-            out = rows.groupBy("term").applyInPandas(solver, _GLOVE_OUT).collect()  # V rows: the fitted side
-            bv.unpersist()
-            upd = {r["term"]: np.array(r["vec"]) for r in out}
-            upd_b = {r["term"]: r["bias"] for r in out}
-            if side == "main":
-                main.update(upd); main_b.update(upd_b)
-            else:
-                ctx.update(upd); ctx_b.update(upd_b)
-            loss = float(sum(r["loss"] for r in out))
-        losses.append(loss)
-    vec = [(t, (main[t] + ctx[t]).tolist()) for t in vocab]
-    V = spark.createDataFrame(vec, "term string, vec array<double>")
-    return V, losses
+    j = base.select(term, F.col(vec).cast("array<double>").alias("a")).join(
+        other.select(term, F.col(vec).cast("array<double>").alias("b")), term)
+    first = other.select(F.size(vec)).first()
+    if first is None:
+        return other.select(term, vec)
+    dim = first[0]
+
+    def cross(batches):
+        out = np.zeros((dim, dim))
+        for pdf in batches:
+            if len(pdf):
+                out += matrix(pdf["b"]).T @ matrix(pdf["a"])
+        yield pd.DataFrame({"j": [0], "vec": [out.ravel()]})
+
+    parts = j.select("a", "b").mapInPandas(cross, "j int, vec array<double>")
+    parts = parts.withColumn("j", F.pmod(F.monotonically_increasing_id(), F.lit(16)).cast("int"))
+    u, _, vt = np.linalg.svd(total(parts, dim * dim).reshape(dim, dim))
+    rotation = u @ vt
+    kind = other.schema[term].dataType.simpleString()
+
+    def rotate(batches):
+        for pdf in batches:
+            yield pd.DataFrame({term: pdf[term], vec: list(matrix(pdf[vec]) @ rotation) if len(pdf) else []})
+
+    return other.select(term, F.col(vec).cast("array<double>").alias(vec)).mapInPandas(rotate, f"`{term}` {kind}, `{vec}` array<double>")
 
 
 def covariate_embeddings(arrays: DataFrame, covariate: str, size: int = 6, min_n: int = 20, k: int = 16,

@@ -143,6 +143,10 @@ N_SCALAR = -0.74
 CAPS_INCR = 0.733
 EXCL_INCR = 0.292
 EXCL_MAX = 4
+# ... question marks (two or three: each; more: in all), words before and after "but"
+QUEST_INCR = 0.18
+QUEST_MAX = 0.96
+BUT_BEFORE, BUT_AFTER = 0.5, 1.5
 ALPHA = 15.0
 
 
@@ -153,10 +157,24 @@ def _shift(arr: Column, k: int) -> Column:
     return F.concat(pad, F.slice(arr, F.lit(1), F.greatest(size - k, F.lit(0))))
 
 
+def _marks(text: Column, questions: bool) -> Column:
+    """What exclamation (and question) marks add."""
+    out = F.least(F.regexp_count(text, F.lit("!")), F.lit(EXCL_MAX)) * EXCL_INCR
+    if questions:
+        n = F.regexp_count(text, F.lit("[?]"))
+        out = out + F.when(n < 2, 0.0).when(n <= 3, n * QUEST_INCR).otherwise(QUEST_MAX)
+    return out
+
+
 def vader(c: DataFrame, lexicon: Mapping[str, float], boosters: Mapping[str, float] | None = None,
-          negations: Iterable[str] = (), keys: Iterable[str] = ("doc_id",), text: str = "text") -> DataFrame:
+          negations: Iterable[str] = (), keys: Iterable[str] = ("doc_id",), text: str = "text",
+          but: str | None = None, questions: bool = False) -> DataFrame:
     """M9: valence scores per text → ``compound, pos, neu, neg``.
 
+    but: a word (such as ``but``) after whose first occurrence valences count
+    half as much again and before which they count half. questions: two or three
+    question marks add 0.18 each, more 0.96 in all, in the direction of the sum.
+
     Rules: word valence from ``lexicon``; a negation among the three previous
     tokens multiplies by −0.74; boosters (value +1 increases, −1 dampens) in
     the three previous tokens add ±0.293 (scaled 1, 0.95, 0.9) in the
@@ -176,7 +194,7 @@ def vader(c: DataFrame, lexicon: Mapping[str, float], boosters: Mapping[str, flo
     raw = F.regexp_extract_all(F.col(text), F.lit(TK.WORD), 0)
     base = c.select(*keys, raw.alias("_raw"),
                     (F.upper(F.col(text)) == F.col(text)).alias("_allcaps"),
-                    F.least(F.regexp_count(F.col(text), F.lit("!")), F.lit(EXCL_MAX)).alias("_excl"))
+                    _marks(F.col(text), questions).alias("_excl"))
     low = F.transform("_raw", lambda x: F.lower(x))
     z = F.arrays_zip(F.col("_raw").alias("w"), low.alias("t"),
                      _shift(low, 1).alias("p1"), _shift(low, 2).alias("p2"), _shift(low, 3).alias("p3"))
@@ -196,15 +214,20 @@ def vader(c: DataFrame, lexicon: Mapping[str, float], boosters: Mapping[str, flo
         val = v + caps + boost
         return F.when(v == 0, F.lit(0.0)).otherwise(F.when(neg, val * N_SCALAR).otherwise(val))
 
-    scored = base.select(*keys, "_excl", F.transform(z, score).alias("_v"))
+    valences = F.transform(z, score)
+    if but is not None:
+        both = F.array(F.struct(valences.alias("v"), F.array_position(low, F.lit(but.lower())).alias("at")))  # each computed once
+        valences = F.element_at(F.transform(both, lambda s: F.transform(s["v"], lambda v, i: F.when(
+            (s["at"] == 0) | (i + 1 == s["at"]), v).when(i + 1 < s["at"], v * BUT_BEFORE).otherwise(v * BUT_AFTER))), 1)
+    scored = base.select(*keys, "_excl", valences.alias("_v"))
     total = F.aggregate("_v", F.lit(0.0), lambda a, x: a + x)
     pos = F.aggregate("_v", F.lit(0.0), lambda a, x: a + F.when(x > 0, x + 1).otherwise(0.0))
     negs_ = F.aggregate("_v", F.lit(0.0), lambda a, x: a + F.when(x < 0, x - 1).otherwise(0.0))
     neu = F.size(F.filter("_v", lambda x: x == 0)).cast("double")
     s = scored.select(*keys, total.alias("_t"), pos.alias("_p"), negs_.alias("_n"), neu.alias("_u"), "_excl")
-    t = F.col("_t") + F.signum("_t") * F.col("_excl") * EXCL_INCR
+    excl_mag = F.col("_excl")
+    t = F.col("_t") + F.signum("_t") * excl_mag
     compound = t / F.sqrt(t * t + ALPHA)
-    excl_mag = F.col("_excl") * EXCL_INCR
     p = F.col("_p") + F.when(F.col("_p") > F.abs("_n"), excl_mag).otherwise(0.0)
     n = F.abs("_n") + F.when(F.abs("_n") > F.col("_p"), excl_mag).otherwise(0.0)
     tot = p + n + F.col("_u")

@@ -83,7 +83,7 @@ def pretext_scores(fdfm: DataFrame, k: int = 20, max_docs: int = 500) -> DataFra
     n = fdfm.select("doc_id").distinct().count()
     if n > max_docs:
         raise ValueError(f"preText needs a document sample (≤ {max_docs}); got {n}")
-    dist = fdfm.groupBy("combo").applyInPandas(_cosine_distances, _DIST)
+    dist = fdfm.groupBy("combo").applyInPandas(_cosine_distances, _DIST).withColumn("distance", F.round("distance", 9))
     ranked = dist.withColumn("r", F.rank().over(Window.partitionBy("combo").orderBy("distance")))
     o = ranked.select(F.col("combo").alias("other"), "doc_a", "doc_b", F.col("r").alias("r_o"))
     j = ranked.join(o, ["doc_a", "doc_b"]).filter(F.col("combo") != F.col("other"))

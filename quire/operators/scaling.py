@@ -17,7 +17,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .positions import following_scale, wordfish  # noqa: F401 (part of this module's interface)
+from .mixed import mixed_poisson  # noqa: F401 (these are part of this module's interface)
+from .positions import following_scale, wordfish  # noqa: F401
 
 
 def wordscores_fit(d: DataFrame, ref: DataFrame, smooth: float = 0.0, keys: Iterable[str] = ("doc_id",),

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from . import tokens as TK
 
 # ---- lexical diversity ---------------------------------------------------------------
@@ -341,3 +342,32 @@ def text_reuse_alignment(items: DataFrame, docs: DataFrame, n: int = 5, min_shar
             yield out
     schema = f"{item_key} long, {doc_key} long, shared long, containment double, score double, aligned double"
     return j.select(item_key, doc_key, "shared", "containment", "a", "b").mapInPandas(run, schema)
+
+
+def boilerplate_weight(arrays: DataFrame, keys: Iterable[str], sample: int = 1000, seed: int = 42, col: str = "toks") -> DataFrame:
+    """``(keys…, weight)`` = 1 − the mean cosine of a text (such as an aligned
+    passage) to ``sample`` random ones, chosen by a seeded hash: what is like
+    everything is boilerplate.
+
+    The mean over the sample of a cosine is one dot product with the mean of the
+    sample's unit vectors, so a text is compared to one vector, not to a thousand."""
+    from .relational import sample_n
+    keys = list(keys)
+    d = cut_lineage(arrays.select(*keys, F.explode(col).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n")), "boiler-dfm")
+    size = d.groupBy(*keys).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("_l"))
+    unit = d.join(size, keys).select(*keys, "term", (F.col("n") / F.col("_l")).alias("w"))
+    some = cut_lineage(sample_n(d.select(*keys).distinct(), sample, keys, seed).select(*keys), "boiler-sample")
+    count = some.count()
+    mean = unit.join(F.broadcast(some), keys).groupBy("term").agg((F.sum("w") / max(count, 1)).alias("m"))  # at most `sample` rows are broadcast
+    near = unit.join(mean, "term", "left").groupBy(*keys).agg(F.sum(F.col("w") * F.coalesce("m", F.lit(0.0))).alias("c"))
+    return near.select(*keys, (1 - F.col("c")).alias("weight"))
+
+
+def weighted_text_reuse(items: DataFrame, docs: DataFrame, n: int = 5, min_shared: int = 2, sample: int = 1000, seed: int = 42,
+                        item_key: str = "item_id", doc_key: str = "doc_id") -> DataFrame:
+    """Alignments of :func:`text_reuse_alignment` with ``weight`` (of the
+    passage among the aligned passages) and ``weighted`` = aligned × weight."""
+    found = cut_lineage(text_reuse_alignment(items, docs, n, min_shared, item_key, doc_key), "reuse")
+    passages = TK.token_arrays(items.join(found.select(item_key).distinct(), item_key, "left_semi"), keys=[item_key])
+    w = boilerplate_weight(passages, [item_key], sample, seed)
+    return found.join(w, item_key).withColumn("weighted", F.col("aligned") * F.col("weight"))

@@ -20,18 +20,16 @@ from ..session import cut_lineage, ensure_checkpoint_dir
 def kmeans_assign(X: DataFrame, centroids: DataFrame, key: str = "id", vec: str = "vec",
                   max_k: int = 10_000) -> DataFrame:
     """P1 assignment: nearest centroid (squared Euclidean, ties → smallest
-    cluster id). The centroid table (k rows) is checked, then broadcast and
-    attached to every point by an exploded id list (k × points, linear)."""
+    cluster id). The centroid table (k rows) is checked, then broadcast as one
+    array; the minimum is taken inside the point's row (no shuffle, no copies)."""
     k = centroids.count()
     if k > max_k:
         raise ValueError(f"{k} centroids exceed {max_k}")
-    ids = [r[0] for r in centroids.select("cluster").collect()]  # k ids, bounded
-    x = X.select(key, vec, F.explode(F.array(*[F.lit(i) for i in ids])).alias("cluster"))
-    j = x.join(F.broadcast(centroids.select("cluster", F.col(vec).alias("_c"))), "cluster")
-    d = j.select(key, "cluster", M.euclidean(vec, "_c").alias("dist"))
-    best = d.groupBy(key).agg(F.min_by("cluster", F.struct("dist", "cluster")).alias("cluster"),
-                              F.min("dist").alias("dist"))
-    return best
+    from .embeddings import with_row_of
+    cen = centroids.agg(F.collect_list(F.struct("cluster", F.col(vec).alias("v"))).alias("_c"))  # one row
+    near = F.array_min(F.transform("_c", lambda c: F.struct(M.euclidean(vec, c["v"]).alias("dist"), c["cluster"].alias("cluster"))))
+    best = with_row_of(X.select(key, vec), cen).select(key, near.alias("_b"))
+    return best.select(key, "_b.cluster", "_b.dist")
 
 
 def kmeans_update(X: DataFrame, assign: DataFrame, key: str = "id", vec: str = "vec") -> DataFrame:
@@ -68,6 +66,12 @@ def kmeans_ml(X: DataFrame, k: int, seed: int = 1, vec: str = "vec", max_iter: i
     return m, m.transform(v).drop("_f")
 
 
+def cluster_examples(assign: DataFrame, docs: DataFrame, n: int = 5, seed: int = 42, key: str = "doc_id") -> DataFrame:
+    """Documents with their cluster, ``n`` of each cluster chosen by a seeded hash."""
+    from .relational import sample_n
+    return sample_n(docs.join(assign.select(key, "cluster"), key), n, key, seed, by="cluster")
+
+
 def cluster_terms(centers: DataFrame, vocab: DataFrame, n: int = 10, vec: str = "vec") -> DataFrame:
     """Top ``n`` words of each cluster centre (by weight, ties kept),
     collapsed to a label string."""
@@ -101,6 +105,14 @@ def tidy_beta(model, vocab: list[str], spark) -> DataFrame:
         "topic", "term", F.col("termWeights").alias("beta"))
 
 
+def tidy_beta_terms(model, vocab: DataFrame) -> DataFrame:
+    """P6 with the vocabulary as a table (idx, term)."""
+    tt = model.describeTopics(maxTermsPerTopic=model.vocabSize())
+    ex = tt.select("topic", F.arrays_zip("termIndices", "termWeights").alias("z")).select("topic", F.inline("z"))
+    return ex.join(vocab.select(F.col("idx").alias("termIndices"), "term"), "termIndices").select(
+        "topic", "term", F.col("termWeights").alias("beta"))
+
+
 def tidy_gamma(model, counts: DataFrame, keys: Iterable[str] = ("doc_id",)) -> DataFrame:
     """Document × topic γ in long form ``(doc_id, topic, gamma)``."""
     from pyspark.ml.functions import vector_to_array
@@ -136,21 +148,23 @@ def topic_prevalence(gamma: DataFrame, labels: DataFrame | None = None) -> DataF
     return p.join(labels, "topic", "left") if labels is not None else p
 
 
-def label_topics(beta: DataFrame, term_totals: DataFrame, n: int = 7, w: float = 0.5) -> DataFrame:
-    """P10: topic labels by probability, lift (β / corpus share) and FREX
-    (weighted harmonic mean of the within-topic ranks of β and exclusivity)."""
+def label_topics(beta: DataFrame, term_totals: DataFrame, n: int = 7, w: float = 0.5, decimals: int = 12) -> DataFrame:
+    """P10: topic labels by probability, lift (β / corpus share), FREX
+    (weighted harmonic mean of the within-topic rank shares of β and
+    exclusivity) and score (β times the distance of its log from the topics' mean log).
+    Measures are compared to ``decimals`` places, ties by term."""
+    from .topicquality import rank_share, score
     tot = term_totals.select("term", (F.col("n") / term_totals.select(F.sum("n")).scalar()).alias("share"))
-    b = beta.join(tot, "term")
-    excl = F.col("beta") / F.sum("beta").over(Window.partitionBy("term"))
-    b = b.withColumn("lift", F.col("beta") / F.col("share")).withColumn("excl", excl)
-    tw = Window.partitionBy("topic")
-    b = (b.withColumn("_re", F.percent_rank().over(tw.orderBy("excl")))
-         .withColumn("_rf", F.percent_rank().over(tw.orderBy("beta"))))
-    frex = 1 / (F.lit(w) / F.greatest(F.col("_re"), F.lit(1e-12)) + F.lit(1 - w) / F.greatest(F.col("_rf"), F.lit(1e-12)))
-    b = b.withColumn("frex", frex)
+    per = Window.partitionBy("term")
+    b = beta.join(tot, "term").select(
+        "topic", "term", F.round("beta", decimals).alias("beta"), F.round(F.col("beta") / F.col("share"), decimals).alias("lift"),
+        F.round(F.col("beta") / F.sum("beta").over(per), decimals).alias("_e"), F.round(score(beta), decimals).alias("score"))
+    b = rank_share(rank_share(b, "topic", "_e", "_re"), "topic", "beta", "_rf")
+    b = b.withColumn("frex", F.round(1 / (w / F.col("_re") + (1 - w) / F.col("_rf")), decimals))
     out = None
-    for m in ("beta", "lift", "frex"):
-        r = b.withColumn("rank", F.row_number().over(tw.orderBy(F.desc(m), "term"))).filter(F.col("rank") <= n)
+    for m in ("beta", "lift", "frex", "score"):
+        best = Window.partitionBy("topic").orderBy(F.desc(m), "term")
+        r = b.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
         r = r.groupBy("topic").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))),
                                                             lambda s: s["term"]), ", ").alias("label"))
         r = r.withColumn("measure", F.lit(m))
@@ -175,16 +189,17 @@ def topic_corr(gamma: DataFrame, keys: Iterable[str] = ("doc_id",), max_topics:
     return gamma.sparkSession.createDataFrame(rows, "topic_a int, topic_b int, corr double")
 
 
-def intrusion_tasks(beta: DataFrame, n: int = 5, seed: int = 42) -> DataFrame:
+def intrusion_tasks(beta: DataFrame, n: int = 5, seed: int = 42, decimals: int = 12) -> DataFrame:
     """Word-intrusion items — each topic's top ``n`` words plus one word
     from the bottom half of that topic that is in another topic's top list,
     chosen by a seeded hash."""
     from .relational import hash_key
-    w = Window.partitionBy("topic").orderBy(F.desc("beta"), "term")
-    r = beta.withColumn("rank", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("topic")))
-    top = r.filter(F.col("rank") <= n)
-    low = r.filter(F.col("rank") > F.col("_n") / 2).select("topic", "term")
+    from .topicquality import rank_share, top_words
+    top = cut_lineage(top_words(beta, n), "intrusion-top")
     others = top.select(F.col("topic").alias("_t"), "term")
+    # only words of some top list can intrude: their ranks, among all words of the topic
+    ranked = rank_share(beta.select("topic", "term", F.round("beta", decimals).alias("_b")), "topic", "_b", "_r")
+    low = ranked.where(F.col("_r") <= 0.5).select("topic", "term")
     cand = low.join(others, "term").filter(F.col("_t") != F.col("topic")).select("topic", "term").distinct()
     cand = cand.withColumn("_h", hash_key(["topic", "term"], seed))
     intr = cand.groupBy("topic").agg(F.min_by("term", "_h").alias("intruder"))
@@ -195,7 +210,7 @@ def intrusion_tasks(beta: DataFrame, n: int = 5, seed: int = 42) -> DataFrame:
 def search_k(counts: DataFrame, ks: Iterable[int], seed: int = 42, max_iter: int = 10,
              held_out: DataFrame | None = None) -> DataFrame:
     """One LDA per K; log-likelihood and perplexity (on ``held_out`` when
-    given, else on the fitting set)."""
+    given, else on the fitting set). All measures: :func:`.topicquality.sweep`."""
     spark = counts.sparkSession
     rows = []
     ev = held_out if held_out is not None else counts
@@ -220,103 +235,88 @@ def _digamma(x):
     return acc + np.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132))))
 
 
-_SS = "k int, j int, s double"
+_PART = "kind string, j int, vec array<double>"
 
 
-def _estep(bv, alpha: float, K: int, V: int, inner: int):
+def _variational(b, c, alpha: float, inner: int):
+    """(gamma, expected counts by topic and word) of one document; b: topics x its words."""
     import numpy as np
-
-    def run(it):
-        beta = bv.value  # K × V topic-term probabilities
-        acc = np.zeros((K, V))
-        for pdf in it:
-            for js, cs in zip(pdf["js"], pdf["cs"]):
-                js = np.asarray(js, dtype=np.int64)
-                cs = np.asarray(cs, dtype=float)
-                if len(js) == 0:
-                    continue
-                b = beta[:, js]  # K × n
-                gamma = np.full(K, alpha + cs.sum() / K)
-                for _ in range(inner):
-                    phi = b * np.exp(_digamma(gamma))[:, None]
-                    phi /= phi.sum(0, keepdims=True)
-                    gamma = alpha + phi @ cs
-                acc[:, js] += phi * cs[None, :]
-        kk, jj = np.nonzero(acc)
-        yield pd.DataFrame({"k": kk.astype("int32"), "j": jj.astype("int32"), "s": acc[kk, jj]})
-    return run
+    gamma = np.full(len(b), alpha + c.sum() / len(b))
+    for _ in range(inner):
+        phi = b * np.exp(_digamma(gamma))[:, None]
+        phi /= phi.sum(0, keepdims=True)
+        gamma = alpha + phi @ c
+    return gamma, phi * c
 
 
 def seeded_lda(d: DataFrame, seeds: dict, k: int | None = None, alpha: float = 0.1, eta: float = 0.01,
                seed_weight: float = 50.0, iters: int = 15, inner: int = 20, keys: Iterable[str] = ("doc_id",),
-               term: str = "term", max_cells: int = 20_000_000, seed: int = 42):
+               term: str = "term", seed: int = 42):
     """Topics steered by keyword lists (``{topic label: [words]}``);
     topics beyond the seeded ones are free. Variational EM for LDA where the
     M-step adds ``seed_weight`` pseudo-counts to each topic's seed words.
 
-    E-step per document (numpy, Arrow batches) against a broadcast K × V
-    topic-term matrix (size checked against ``max_cells``); each partition
-    folds its expected counts into one K × V block; the M-step is a
-    ``groupBy(k, j).sum``. Returns ``(beta (topic, label, term, beta), doc
-    topics (doc_id, topic, gamma))``.
+    Topic-word parameters are a table: each block of documents is sent its own
+    words' rows and gives their expected counts back (see :mod:`.blocks`). Returns
+    ``(beta (topic, label, term, beta), doc topics (doc_id, topic, gamma))``.
     """
     import numpy as np
-    from ..sources.files import with_row_id
+    from .blocks import aligned, flat, in_blocks, matrix, summed, total
+    from .factors import noise
     spark = d.sparkSession
-    keys = list(keys)
+    key = list(keys)[0]
     labels = list(seeds) + [f"topic_{i}" for i in range(len(seeds), k or len(seeds))]
     K = len(labels)
-    vocab = cut_lineage(with_row_id(d.select(term).distinct(), [F.col(term)], "j")
-                        .withColumn("j", (F.col("j") - 1).cast("int")), "slda-vocab")
-    V = vocab.count()
-    if K * V > max_cells:
-        raise ValueError(f"K×V = {K * V} exceeds max_cells={max_cells}")
-    docs = cut_lineage(d.join(vocab, term)
-                       .groupBy(*keys).agg(F.collect_list("j").alias("js"), F.collect_list(F.col("n").cast("double")).alias("cs")),
-                       "slda-docs")
-    prior = np.full((K, V), eta)
-    idx = {r[term]: r["j"] for r in vocab.join(spark.createDataFrame(
-        [(w,) for ws in seeds.values() for w in ws], f"{term} string"), term).collect()}  # seed words only
-    for t, (lab, words) in enumerate(seeds.items()):
-        for w in words:
-            if w in idx:
-                prior[t, idx[w]] += seed_weight
-    rng = np.random.default_rng(seed)
-    beta = prior + rng.random((K, V))
-    beta /= beta.sum(1, keepdims=True)
-    for _ in range(iters):
-        bv = spark.sparkContext.broadcast(beta)
-        ss = docs.mapInPandas(_estep(bv, alpha, K, V, inner), _SS).groupBy("k", "j").agg(F.sum("s").alias("s"))
-        S = np.zeros((K, V))
-        for r in ss.collect():  # ≤ K × V cells (checked)
-            S[r["k"], r["j"]] = r["s"]
-        bv.unpersist()
-        beta = S + prior
-        beta /= beta.sum(1, keepdims=True)
-    bt = spark.createDataFrame([(int(t), labels[t], int(j), float(beta[t, j])) for t in range(K) for j in range(V)],
-                               "topic int, label string, j int, beta double")
-    beta_df = bt.join(vocab, "j").select("topic", "label", term, "beta")
-    bv = spark.sparkContext.broadcast(beta)
-
-    def gammas(it):
-        b_all = bv.value
-        for pdf in it:
-            out = []
-            for key, js, cs in zip(pdf[keys[0]], pdf["js"], pdf["cs"]):
-                js = np.asarray(js, dtype=np.int64)
-                cs = np.asarray(cs, dtype=float)
-                gamma = np.full(K, alpha + cs.sum() / K)
-                b = b_all[:, js]
-                for _ in range(inner):
-                    phi = b * np.exp(_digamma(gamma))[:, None]
-                    phi /= phi.sum(0, keepdims=True)
-                    gamma = alpha + phi @ cs
-                g = gamma / gamma.sum()
-                out += [(key, t, float(g[t])) for t in range(K)]
-            yield pd.DataFrame(out, columns=[keys[0], "topic", "gamma"])
-    kt = d.schema[keys[0]].dataType.simpleString()
-    theta = docs.mapInPandas(gammas, f"{keys[0]} {kt}, topic int, gamma double")
-    return beta_df, theta
+    blocks = in_blocks(d, key, term, label="slda")
+    words = spark.createDataFrame([(w, t) for t, ws in enumerate(seeds.values()) for w in ws], f"{term} string, t int")
+    steer = words.groupBy(term).agg(F.collect_set("t").alias("ts"))
+    weight = F.transform(F.sequence(F.lit(0), F.lit(K - 1)), lambda t: F.lit(eta) + F.when(
+        F.array_contains(F.coalesce("ts", F.array().cast("array<int>")), t), seed_weight).otherwise(0.0))
+    prior = cut_lineage(blocks.columns.join(steer, term, "left").select("j", weight.alias("vec")), "slda-prior")
+
+    def begin(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"j": pdf["j"], "vec": list(matrix(pdf["vec"]) + (noise(pdf["j"].to_numpy(), K, seed) + 1) / 2 if len(pdf) else [])})
+
+    beta = cut_lineage(prior.mapInPandas(begin, "j int, vec array<double>"), "slda-beta")
+
+    def sizes(rows: DataFrame):
+        return total(rows.withColumn("j", F.pmod("j", F.lit(blocks.size))), K)
+
+    totals = sizes(beta)
+
+    def expected(docs: pd.DataFrame, params: pd.DataFrame) -> pd.DataFrame:
+        if docs.empty:
+            return pd.DataFrame({"kind": [], "j": [], "vec": []})
+        _, _, _, columns, _ = flat(docs["js"], docs["cs"])
+        b = aligned(params, columns) / totals
+        out = np.zeros_like(b)
+        for js, cs in zip(docs["js"], docs["cs"], strict=True):
+            at = np.searchsorted(columns, js)
+            out[at] += _variational(b[at].T, np.asarray(cs, float), alpha, inner)[1].T
+        return pd.DataFrame({"kind": "word", "j": columns.astype("int32"), "vec": list(out)})
+
+    for _ in range(iters if blocks.n_columns else 0):
+        new = summed(blocks.solve(beta, expected, _PART), blocks.size)
+        beta = cut_lineage(new.join(prior.withColumnRenamed("vec", "p"), "j").select(
+            "j", F.zip_with("vec", "p", lambda x, y: x + y).alias("vec")), "slda-beta")
+        totals = sizes(beta)
+
+    def shares(docs: pd.DataFrame, params: pd.DataFrame) -> pd.DataFrame:
+        if docs.empty:
+            return pd.DataFrame({key: [], "gamma": []})
+        _, _, _, columns, _ = flat(docs["js"], docs["cs"])
+        b = aligned(params, columns) / totals
+        found = [_variational(b[np.searchsorted(columns, js)].T, np.asarray(cs, float), alpha, inner)[0]
+                 for js, cs in zip(docs["js"], docs["cs"], strict=True)]
+        return pd.DataFrame({key: docs[key], "gamma": [g / g.sum() for g in found]})
+
+    kind = d.schema[key].dataType.simpleString()
+    theta = cut_lineage(blocks.solve(beta, shares, f"`{key}` {kind}, gamma array<double>"), "slda-theta")
+    named = spark.createDataFrame([(t, labels[t], float(totals[t])) for t in range(K)], "topic int, label string, size double")
+    table = (beta.select("j", F.posexplode("vec").alias("topic", "w")).join(F.broadcast(named), "topic").join(blocks.columns, "j")
+             .select("topic", "label", term, (F.col("w") / F.col("size")).alias("beta")))
+    return table, theta.select(key, F.posexplode("gamma").alias("topic", "gamma"))
 
 
 # ---- correlated / structural topic model -----------------------------------------------------------

@@ -3,6 +3,6 @@
 
 from .registry import QUERIES, ORACLE_SQL, register
 
-from . import text, relational, descriptive, lexicon, supervised, embeddings, scaling, comparisons, checks  # noqa: F401,E402
+from . import text, relational, descriptive, lexicon, supervised, embeddings, scaling, comparisons, checks, fixedtopics, exact  # noqa: F401,E402
 
 __all__ = ["QUERIES", "ORACLE_SQL", "register"]

@@ -70,12 +70,12 @@ def retweet_share_by_role(spark, sf):
 WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
 q AS (SELECT v AS q FROM e ORDER BY vec_id LIMIT 1)
 SELECT vec_id, round(degrees(acos(least(greatest(list_inner_product(v, q) / (sqrt(list_inner_product(v, v)) * sqrt(list_inner_product(q, q))), -1), 1))), 4) AS angle
-FROM e, q WHERE vec_id % 10 = 1""")
+FROM e, q""")
 def angles_to_first_vector(spark, sf):
-    """Angle in degrees between every tenth vector and the first one."""
+    """Angle in degrees between every vector and the first one."""
     e = table(spark, sf, "embeddings")
     first = e.orderBy("vec_id").limit(1).select(F.col("embedding").alias("q"))
-    return e.where("vec_id % 10 = 1").join(first).select("vec_id", F.round(M.angle_deg("embedding", "q"), 4).alias("angle"))
+    return e.join(first).select("vec_id", F.round(M.angle_deg("embedding", "q"), 4).alias("angle"))
 
 
 @register("orders_per_customer_filled", """
@@ -170,7 +170,7 @@ def top_features_all(spark, sf):
 
 
 @register("matched_feature_shares", f"""
-WITH {tokens_cte("(SELECT * FROM documents WHERE lang = 'en')")},
+WITH {tokens_cte("documents")},
 d AS (SELECT doc_id, term, count(*) AS n FROM tok WHERE term NOT IN ('the', 'of') GROUP BY 1, 2),
 v AS (SELECT DISTINCT term FROM {"(SELECT unnest(regexp_extract_all(lower(text), '" + WORD_SQL + "')) AS term FROM benchmark)"}),
 m AS (SELECT d.* FROM d JOIN v USING (term))
@@ -179,7 +179,7 @@ SELECT (SELECT count(DISTINCT doc_id) FROM m) AS n_docs, (SELECT sum(n)::BIGINT
 def matched_feature_shares(spark, sf):
     """Features removed, the rest matched to the benchmark's vocabulary, documents without features
     dropped, counts as shares of their document."""
-    docs = table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     d = D.dfm_remove(D.dfm_from_arrays(T.token_arrays(docs)), ["the", "of"])
     vocab = T.unnest_tokens(table(spark, sf, "benchmark").select("item_id", "text"), keys=["item_id"]).select("term")
     m = D.dfm_match(d, vocab)

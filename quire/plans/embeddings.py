@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from ..functions import math as M
 from ..operators import dfm as D
 from ..operators import embeddings as E
+from ..operators import clusters as CL
+from ..operators import skipgram as SG
+from ..operators import topicquality as TQ
 from ..operators import tokens as T
 from ..operators import topics as P
+from ..session import cut_lineage
 from ..sources.tables import table
 from .registry import register
 from .sqlparts import STOP_EN_SQL, tokens_cte
@@ -151,23 +155,39 @@ def fcm_top_en(spark, sf):
 
 
 # --- K11 word2vec neighbours (model-based: row check only) ---------------------------------------------------------------
+def _all_arrays(spark, sf, *more):
+    return T.token_arrays(table(spark, sf, "documents").select("doc_id", "text", *more), keys=["doc_id", *more])
+
+
 @register("word2vec_neighbours")
 def word2vec_neighbours(spark, sf):
-    arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
-    _, V = E.word2vec(arr, size=50, window=6, min_count=10, epochs=1)
+    """Skip-gram vectors (300 dimensions, window 6, 5 epochs, words seen 10 times or more)
+    of all distinct documents; the 10 nearest words (cosine) to the most frequent one."""
+    arr = _all_arrays(spark, sf)
+    _, V = E.word2vec(arr, size=300, window=6, min_count=10, epochs=5)
     top = D.topfeatures(D.dfm_from_arrays(arr), 1).select("term")
     q = V.join(top, "term").select(F.col("vec").alias("_q"))
     return E.nearest_to_vector(V, q, 10, measure="cosine")
 
 
+# --- K18 embeddings of slices, each started from the one before (row check only) ------------------------------------------
+@register("slice_meaning_shift")
+def slice_meaning_shift(spark, sf):
+    """Documents in three slices by id (standing for time); vectors of each
+    slice start from those of the one before; the 20 words whose vectors differ most between
+    the first and the last slice."""
+    arr = _all_arrays(spark, sf)
+    third = F.pmod(F.xxhash64("doc_id"), F.lit(3)).cast("int")
+    found = SG.temporal_embeddings(arr, third, [0, 1, 2], "chained", size=100, min_count=10, epochs=3)
+    return SG.meaning_shift(found, 0, 2).orderBy("cosine", "term").limit(20).withColumn("cosine", F.round("cosine", 6))
+
+
 # --- K6 SVD of the PMI matrix (row check only) ------------------------------------------------------------------------------
 @register("svd_word_vectors")
 def svd_word_vectors(spark, sf):
-    arr = _en_arrays(spark, sf)
-    pairs = E.skipgram_pairs(arr, 6)
-    uni = E.unigram_probs(D.dfm_from_arrays(arr))
-    p = E.pmi_table(pairs, uni, 20)
-    V, _s = E.svd_vectors(p, 16)
+    """256 dimensions of the PMI matrix of all documents' words."""
+    p = E.skipgram_pmi(_all_arrays(spark, sf), 6, 20)
+    V, _s = E.svd_vectors(p, 256)
     return V.select("term", F.size("vec").alias("dims"), F.round(M.norm("vec"), 6).alias("norm"))
 
 
@@ -195,17 +215,17 @@ def lda_topics_en(spark, sf):
 # --- K9 + K10 GloVe on English co-occurrences (iterative: row check only) ----------------------------
 @register("glove_neighbours")
 def glove_neighbours(spark, sf):
-    """GloVe vectors (rank 25) from ±6 co-occurrences of English documents with
-    stop words as pads and terms seen ≥ 10 times; the 10 nearest words (cosine)
-    to the most frequent kept term."""
-    arr = _en_arrays(spark, sf)
+    """GloVe vectors (rank 100, until the loss falls by less than 1 %) from ±6
+    co-occurrences of all documents with English stop words as pads and terms seen ≥ 10 times; the 10 nearest
+    words (cosine) to the most frequent kept term."""
+    arr = _all_arrays(spark, sf)
     counts = D.dfm_from_arrays(arr).groupBy("term").agg(F.sum("n").alias("n"))
     keep = counts.filter(F.col("n") >= 10).select("term")
     keep_terms = keep.join(spark.createDataFrame([(w,) for w in T.STOPWORDS_EN], "term string"), "term", "left_anti")
     padded = E.pad_array(arr, drop=T.STOPWORDS_EN)
     f = E.fcm(padded, 6).join(keep_terms.withColumnRenamed("term", "term1"), "term1", "left_semi") \
         .join(keep_terms.withColumnRenamed("term", "term2"), "term2", "left_semi")
-    V, _losses = E.glove(f, rank=25, iters=5)
+    V, _losses = E.glove(f, rank=100, iters=20, tol=0.01)
     top = counts.join(keep_terms, "term").orderBy(F.desc("n"), "term").limit(1).select("term")
     q = V.join(top, "term").select(F.col("vec").alias("_q"))
     r = E.nearest_to_vector(V, q, 10, measure="cosine")
@@ -294,11 +314,9 @@ def lda_topic_correlation(spark, sf):
 # --- K20 covariate (source) positions learned with the words (row check) --------------------------------
 @register("source_embedding_positions")
 def source_embedding_positions(spark, sf):
-    """Sources as pseudo-words in the English skip-gram PMI matrix, factorised
-    (rank 16) and placed on their first principal component."""
-    docs = table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "source", "text")
-    arr = T.token_arrays(docs, keys=["doc_id", "source"])
-    pos, _V = E.covariate_embeddings(arr, "source", size=6, min_n=20, k=16)
+    """Sources as pseudo-words in the skip-gram PMI matrix of all documents, factorised
+    (rank 256) and placed on their first principal component."""
+    pos, _V = E.covariate_embeddings(_all_arrays(spark, sf, "source"), "source", size=6, min_n=20, k=256)
     return pos.select("source", F.round("position", 6).alias("position"))
 
 
@@ -342,16 +360,26 @@ def lda_intrusion_tasks(spark, sf):
 
 @register("lda_search_k")
 def lda_search_k(spark, sf):
-    """Log-likelihood and perplexity for K = 3, 5, 8 (held-out: documents
-    outside an 80 % hash split)."""
-    from pyspark.ml.feature import CountVectorizer
-    from ..operators import relational as R
-    arr = T.filter_array(_en_arrays(spark, sf), drop=T.STOPWORDS_EN)
-    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=5.0, vocabSize=NO_CAP).fit(arr)
-    counts = R.folds(cv.transform(arr), 5, "doc_id", seed=9)
-    fit, held = counts.filter(F.col("fold") != 0), counts.filter(F.col("fold") == 0)
-    return P.search_k(fit, [3, 5, 8], max_iter=5, held_out=held).select(
-        "k", F.round("log_likelihood", 3).alias("log_likelihood"), F.round("log_perplexity", 6).alias("log_perplexity"))
+    """For K = 10, 30, 50, 70: coherence, exclusivity, residual dispersion, likelihood of
+    held-out words and bound, over all documents' frequent terms."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    r = TQ.sweep(_frequent_terms(docs), [10, 30, 50, 70], max_iter=10)
+    return r.select("k", *[F.round(c, 6).alias(c) for c in ("coherence", "exclusivity", "residual", "heldout", "bound")])
+
+
+@register("dense_cluster_topics")
+def dense_cluster_topics(spark, sf):
+    """documents' vectors (means of skip-gram vectors) in dense clusters; of each
+    cluster its size and the five words with the largest class TF-IDF."""
+    arr = _all_arrays(spark, sf)
+    d = D.dfm_from_arrays(arr)
+    _, V = E.word2vec(arr, size=32, min_count=10, epochs=2)
+    vecs = cut_lineage(E.doc_vectors(d, V), "doc-vectors")
+    cl = cut_lineage(CL.dense_clusters(vecs, key="doc_id", min_points=5, min_size=10), "clusters")
+    w = Window.partitionBy("cluster").orderBy(F.desc("w"), "term")
+    top = CL.class_tfidf(d, cl).withColumn("rank", F.row_number().over(w)).where("rank <= 5")
+    words = top.groupBy("cluster").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"]), ", ").alias("words"))
+    return cl.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_docs")).join(words, "cluster", "left")
 
 
 # Keyword lists for the seeded topics (frequent invented words of the corpus).
@@ -363,9 +391,7 @@ def seeded_topics_en(spark, sf):
     """Two keyword-assisted topics plus two free ones on English
     documents (terms in ≥ 5 % of documents); top 5 terms per topic."""
     docs = table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
-    d = D.dfm_from_arrays(T.token_arrays(docs))
-    d = D.dfm_trim(d, n_docs=docs.select(F.count(F.lit(1))), min_docfreq=0.05, docfreq_type="prop")
-    beta, _theta = P.seeded_lda(d, SEED_TOPICS, k=4, iters=8)
+    beta, _theta = P.seeded_lda(_frequent_terms(docs), SEED_TOPICS, k=4, iters=8)
     top = P.top_terms(beta.select("topic", "term", "beta"), 5)
     names = beta.select("topic", F.col("label").alias("name")).distinct()
     return top.join(names, "topic").select("topic", "name", F.col("label").alias("terms"))

@@ -172,7 +172,8 @@ def label_attribute_means(spark, sf):
     return j.groupBy("lang", "attribute").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"))
 
 
-def _vader_sql() -> str:
+def _vader_words_sql() -> str:
+    """CTEs of the words' valences ``s`` of the documents ``d``."""
     from .sqlparts import WORD_SQL
     lex = ", ".join(f"('{k}', {float(v)})" for k, v in VALENCE.items())
     bst = ", ".join(f"('{k}', {float(v)})" for k, v in BOOSTERS.items())
@@ -197,7 +198,11 @@ s AS (SELECT t.doc_id, coalesce(lex.v, 0.0) AS v,
              coalesce(t.p1 IN ({negs}), false) OR coalesce(t.p2 IN ({negs}), false)
                OR coalesce(t.p3 IN ({negs}), false) AS neg
       FROM t JOIN d USING (doc_id) LEFT JOIN lex ON lex.term = t.t
-           LEFT JOIN bst b1 ON b1.term = t.p1 LEFT JOIN bst b2 ON b2.term = t.p2 LEFT JOIN bst b3 ON b3.term = t.p3),
+           LEFT JOIN bst b1 ON b1.term = t.p1 LEFT JOIN bst b2 ON b2.term = t.p2 LEFT JOIN bst b3 ON b3.term = t.p3)"""
+
+
+def _vader_sql() -> str:
+    return f"""{_vader_words_sql()},
 sc AS (SELECT doc_id, sum(CASE WHEN v = 0 THEN 0.0 WHEN neg THEN (v + caps + boost) * ({L.N_SCALAR})
                                ELSE v + caps + boost END) AS total FROM s GROUP BY doc_id),
 c AS (SELECT d.doc_id, d.lang, d.quality,
@@ -207,6 +212,23 @@ SELECT lang, count(*) AS n, round(avg(CASE WHEN (CASE WHEN compound > 0 THEN 1 E
        round(avg(compound), 6) AS mean_compound FROM p GROUP BY lang"""
 
 
+def _vader_scored_sql() -> str:
+    """All four scores by document, with the rules for "but" and question marks."""
+    return f"""{_vader_words_sql().replace("SELECT t.doc_id, coalesce(lex.v", "SELECT t.doc_id, t.pos, t.t AS word, coalesce(lex.v")},
+bt AS (SELECT doc_id, min(pos) AS but_at FROM s WHERE word = 'but' GROUP BY doc_id),
+x AS (SELECT s.doc_id, CASE WHEN v = 0 THEN 0.0 WHEN neg THEN (v + caps + boost) * ({L.N_SCALAR}) ELSE v + caps + boost END
+             * CASE WHEN but_at IS NULL OR pos = but_at THEN 1.0 WHEN pos < but_at THEN {L.BUT_BEFORE} ELSE {L.BUT_AFTER} END AS v FROM s LEFT JOIN bt USING (doc_id)),
+sc AS (SELECT doc_id, sum(v) AS total, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0.0 END) AS p, abs(sum(CASE WHEN v < 0 THEN v - 1 ELSE 0.0 END)) AS n,
+              count(*) FILTER (WHERE v = 0)::DOUBLE AS u FROM x GROUP BY doc_id),
+q AS (SELECT doc_id, len(regexp_extract_all(text, '[?]')) AS q FROM d),
+c AS (SELECT d.doc_id, coalesce(total, 0.0) AS t, coalesce(p, 0.0) AS p, coalesce(n, 0.0) AS n, coalesce(u, 0.0) AS u,
+             excl * {L.EXCL_INCR} + CASE WHEN q.q < 2 THEN 0.0 WHEN q.q <= 3 THEN q.q * {L.QUEST_INCR} ELSE {L.QUEST_MAX} END AS mark
+      FROM d JOIN q USING (doc_id) LEFT JOIN sc USING (doc_id)),
+e AS (SELECT doc_id, t + sign(t) * mark AS t, p + CASE WHEN p > n THEN mark ELSE 0.0 END AS p, n + CASE WHEN n > p THEN mark ELSE 0.0 END AS n, u FROM c)
+SELECT doc_id, round(t / sqrt(t * t + {L.ALPHA}), 6) AS compound, CASE WHEN p + n + u > 0 THEN round(p / (p + n + u), 6) END AS pos,
+  CASE WHEN p + n + u > 0 THEN round(u / (p + n + u), 6) END AS neu, CASE WHEN p + n + u > 0 THEN round(n / (p + n + u), 6) END AS neg FROM e"""
+
+
 @register("vader_quality_accuracy", _vader_sql())
 def vader_quality_accuracy(spark, sf):
     """M9 + M10: VADER-style compound per labelled document, class = compound > 0,

@@ -97,6 +97,16 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def save_model(model, path: str) -> None:
+    """A5: keep a fitted Spark ML model (or pipeline model)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str, kind: type):
+    """A5: a model saved by :func:`save_model`; kind: its class, e.g. ``LDAModel``'s subclass or ``PipelineModel``."""
+    return kind.load(path)
+
+
 def with_row_id(df: DataFrame, order_by: list[str | Column] | None = None,
                 name: str = "row_id") -> DataFrame:
     """Attach a row id.
