@@ -50,6 +50,8 @@ BLOCKS = 6
 PIVOTS = 32
 #: Fingerprints of one cell in one task.
 CELL = 16384
+#: Rows that are named to be dropped or merged in a broadcast (24 bytes each).
+NAMED = 200_000
 #: Fingerprints compared with as many others at once; shingles hashed at once.
 TILE, SLICE = 1024, 1 << 16
 
@@ -81,14 +83,15 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 def with_fingerprint(docs: DataFrame, text: str, name: str, shingle: int, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the fingerprint as a signed long."""
-    source = docs.select(*[F.col(f"`{c}`") for c in (keep or docs.columns)], F.col(f"`{text}`").alias("_text"))
+    whole, = fresh(docs, "_text")
+    source = docs.select(*[F.col(f"`{c}`") for c in (keep or docs.columns)], F.col(f"`{text}`").alias(whole))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in texts(b.column(b.num_columns - 1))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp.view(np.int64))], names=[*b.schema.names[:-1], name])
 
-    return with_arrow(source, add, ddl(source.drop("_text"), f"`{name}` bigint"))
+    return with_arrow(source, add, ddl(source.drop(whole), f"`{name}` bigint"))
 
 
 def pivot_table(fp: np.ndarray) -> np.ndarray:
@@ -216,13 +219,27 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shi
     # an id may occur in several groups, a null id in any number: a survivor is
     # known by its id and text, which one group only can have
     of = _roots(prints, F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")))
-    chosen = (of.groupBy("root").agg(F.min("low").alias("low"))
-              .select(F.col("low.id").alias(key), F.col("low.hash").alias(h)))
+    chosen = stored(of.groupBy("root").agg(F.min("low").alias("low"))
+                    .select(F.col("low.id").alias(key), F.col("low.hash").alias(h)), "simhash-chosen")
+    # nearly all rows stay, so the others are named, and the keys with several rows
+    rows = prints.select(F.col("id").alias(key), F.col("hash").alias(h)).groupBy(key, h).agg(F.count(F.lit(1)).alias("n"))
+    rows = stored(rows.join(chosen.withColumn("stays", F.lit(True)).withColumnRenamed(key, "own").withColumnRenamed(h, "text_hash"),
+                            F.col(key).eqNullSafe(F.col("own")) & (F.col(h) == F.col("text_hash")), "left")
+                  .where("stays is null or n > 1").select(key, h, F.coalesce("stays", F.lit(False)).alias("stays")), "simhash-changed")
+    named = F.broadcast(rows) if rows.count() <= NAMED else rows.hint("merge")
+    own, text_hash, stays = fresh(docs.select("*", F.lit(0).alias(key), F.lit(0).alias(h), F.lit(0).alias(row)), "own", "text_hash", "stays")
+    named = named.toDF(own, text_hash, stays)
     hit = docs.withColumn(h, F.xxhash64(F.col(f"`{text}`"))).withColumn(key, F.col(f"`{id_col}`"))
-    hit = hit.join(chosen, (hit[h] == chosen[h]) & hit[key].eqNullSafe(chosen[key]), "left_semi")
-    # rows of a key are together after the join
-    first = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    return hit.groupBy(h, key).agg(first.alias(row)).select(*[F.col(f"{row}.`{c}`") for c in docs.columns])
+    hit = hit.join(named, (F.col(h) == F.col(text_hash)) & F.col(key).eqNullSafe(F.col(own)), "left")
+    plain = [F.col(f"`{c}`") for c in docs.columns]
+    several = hit.where(F.col(stays)).groupBy(h, key).agg(F.min_by(F.struct(*plain), F.struct(*_ordered(docs))).alias(row))
+    return hit.where(F.col(stays).isNull()).select(*plain).unionByName(several.select(*[F.col(f"{row}.`{c}`") for c in docs.columns]))
+
+
+def _ordered(docs: DataFrame) -> list[Column]:
+    """The columns as values that have an order (maps as JSON)."""
+    return [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() or f.dataType.simpleString() == "variant"
+            else F.col(f"`{f.name}`") for f in docs.schema.fields]
 
 
 def op1_simhash(spark, sf_dir):
