@@ -15,8 +15,9 @@ prefix ends is found without sorting a leaf in one task: token sums by the
 first hex digits of the order (combined before the shuffle) give the bucket in
 which the budget ends, and only that bucket is sorted.
 
-Texts are not moved: the cut of each leaf (one short row) is joined to the
-documents, and each document knows by its own hash which epochs take it.
+Texts are not moved: the cut of each leaf (one short row) is stored, counted
+and, up to ``LEAVES`` rows, broadcast to the documents, and each document knows by its own hash which
+epochs take it. With more leaves than that the documents are joined by leaf.
 
 Null level values form a leaf of their own (``null_name``); a null or
 empty text has no tokens and is taken by whole epochs and by every prefix that
@@ -47,6 +48,14 @@ MAX_EPOCHS = 4
 SEED = 20240601
 #: Budget in hundredths of the tokens there are.
 SHARE = 200
+#: Leaves whose cuts are broadcast (a row of under 200 bytes each).
+LEAVES = 50_000
+
+
+def _bounded(leaves: DataFrame, label: str) -> DataFrame:
+    """A row per leaf, stored; marked for a broadcast if there are few."""
+    leaves = stored(leaves, label)
+    return F.broadcast(leaves) if leaves.count() <= LEAVES else leaves.hint("merge")
 
 
 def tokens(text: Column) -> Column:
@@ -114,14 +123,14 @@ def cuts(rows: DataFrame, levels: list[str], weights: dict, share: int, max_epoc
               .withColumn("full", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0))
               .withColumn("rest", F.col("budget") - F.col("full") * F.col("tokens")))
     shares = stored(shares.select(*levels, "tokens", "budget", "full", "rest"), "mix-shares")
-    ordered = (rows.join(shares.where("rest > 0").select(*levels, "full", "rest"), levels)
+    ordered = (rows.join(_bounded(shares.where("rest > 0").select(*levels, "full", "rest"), "mix-open"), levels)
                .withColumn("o", _order(seed, F.col("full"), F.col("id"))))
     sums = (ordered.groupBy(*levels, "rest", F.left("o", F.lit(DIGITS)).alias("bucket")).agg(F.sum("n").alias("n")))
     upto = Window.partitionBy(*levels).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
     edge = sums.where("before <= rest and before + n > rest").select(
         *levels, F.col("bucket").alias("edge"), F.col("rest") - F.col("before"))
-    edge = edge.toDF(*levels, "edge", "left_over")
+    edge = _bounded(edge.toDF(*levels, "edge", "left_over"), "mix-edge")
     within = (ordered.join(edge, levels).where(F.left("o", F.lit(DIGITS)) == F.col("edge"))
               .groupBy(*levels, "o").agg(F.sum("n").alias("n"), F.first("left_over").alias("left_over")))
     run = Window.partitionBy(*levels).orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -147,8 +156,8 @@ def mix(docs: DataFrame, levels: dict[str, str] | None = None, weights: dict | N
     rows = docs.select(*cols, F.col(f"`{id_col}`").alias("id"), tokens(F.col(f"`{text}`")).alias("n"))
     leaf = cuts(rows, names, own, share, max_epochs, seed)
     h = fresh(docs, *names, "mix_epoch", "mix_tokens", "mix_full", "mix_last")
-    leaf = leaf.select(*[F.col(n).alias(x) for n, x in zip(names, h, strict=False)],
-                       F.col("full").alias(h[-2]), F.col("last").alias(h[-1]))
+    leaf = _bounded(leaf.select(*[F.col(n).alias(x) for n, x in zip(names, h, strict=False)],
+                                F.col("full").alias(h[-2]), F.col("last").alias(h[-1])), "mix-cuts")
     epoch, n, full, last = h[-4:]
     out = (docs.select("*", *[c.alias(x) for c, x in zip(cols, h, strict=False)], tokens(F.col(f"`{text}`")).alias(n))
            .join(leaf, h[:len(names)])
