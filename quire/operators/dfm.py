@@ -28,19 +28,61 @@ def _scalar(x) -> Column:
     return F.lit(x)
 
 
-def dfm_from_arrays(arrays: DataFrame, keys: Iterable[str] = ("doc_id",), col: str = "toks") -> DataFrame:
+def dfm_from_arrays(arrays: DataFrame, keys: Iterable[str] = ("doc_id",), col: str = "toks", deal: bool = True) -> DataFrame:
     """J1 from token arrays: explode, then count per ``(doc, term)``.
 
-    Arrays are dealt by document first: counting then needs no exchange of its
-    own (about the same bytes move, but as arrays instead of one row per term),
-    nor do sums and joins by document on the result.
+    deal: arrays are dealt by document first; counting then needs no exchange
+    of its own (about the same bytes move, but as arrays instead of one row per
+    term), nor do sums and joins by document on the result. False where the texts were dealt
+    already (:func:`quire.sources.tables.deal`).
     """
     keys = list(keys)
     dealt = arrays.select(*keys, col)
-    dealt = dealt.repartition(*keys) if keys else dealt
+    dealt = dealt.repartition(*keys) if keys and deal else dealt
     return dfm(dealt.select(*keys, F.explode(col).alias("term")), keys)
 
 
+def docfreq_from_arrays(arrays: DataFrame, col: str = "toks") -> DataFrame:
+    """Document frequency of each term, from the distinct terms of each array: no dfm is made."""
+    return arrays.select(F.explode(F.array_distinct(col)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+#: Kept terms up to which arrays are trimmed in their rows.
+MAX_KEPT = 5000
+
+
+def trim_arrays(arrays: DataFrame, n_docs, min_share: float, max_share: float = 1.0, col: str = "toks",
+                max_kept: int = MAX_KEPT) -> tuple[DataFrame | None, DataFrame]:
+    """J4 by share of documents, on arrays: (arrays of kept terms only, kept
+    (term, df)). Terms in at least a share p of the documents are at most the mean number of a document's types / p,
+    whatever the corpus, so they are listed (a hashed set, no join); beyond
+    ``max_kept`` the first is None and the dfm has to be trimmed by a join."""
+    from ..session import cut_lineage
+    share = F.col("df") / _scalar(n_docs)
+    kept = cut_lineage(docfreq_from_arrays(arrays, col).where((share >= F.lit(min_share)) & (share <= F.lit(max_share))), "kept-terms")
+    words = [r[0] for r in kept.select("term").limit(max_kept + 1).collect()]
+    if len(words) > max_kept:
+        return None, kept
+    if not words:
+        return arrays.withColumn(col, F.slice(col, 1, 0)), kept
+    # as one SQL text: a column per word would be a call to the JVM each
+    quoted = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+    return arrays.withColumn(col, F.expr(f"filter(`{col}`, x -> x IN ({quoted}))")), kept
+
+
+def tfidf_from_arrays(arrays: DataFrame, n_docs, stats: DataFrame | None = None, keys: Iterable[str] = ("doc_id",), col: str = "toks") -> DataFrame:
+    """J9 (shares of the document's length, log10 of N / df) from token arrays
+    that are dealt by document: the length is the array's size, carried in the row, so no total is aggregated or joined."""
+    keys = list(keys)
+    stats = stats if stats is not None else docfreq_from_arrays(arrays, col)
+    # one projection computes the array, the next one reads it
+    from .tokens import pin
+    rows = pin(arrays.select(*keys, col), col).select(*keys, F.size(col).alias("_len"), F.explode(col).alias("term"))
+    d = rows.groupBy(*keys, "term", "_len").agg(F.count(F.lit(1)).alias("n"))
+    idf = stats.select("term", F.log10(_scalar(n_docs) / F.col("df")).alias("_idf"))
+    return d.join(idf, "term").select(*keys, "term", "n", (F.col("n") / F.col("_len") * F.col("_idf")).alias("w"))
+
+
 def dfm(toks: DataFrame, keys: Iterable[str] = ("doc_id",), term: str = "term") -> DataFrame:
     """J1 from long tokens: ``groupBy(doc, term).count()`` (partial + final aggregate)."""
     keys = list(keys)

@@ -280,18 +280,29 @@ def collocations(arrays: DataFrame, col: str = "toks", min_count: int = 2,
     table of first/second word, each cell + ``smoothing``), its z statistic and
     PMI.
 
-    Pairs are formed inside each document's array (no shuffle); pair counts
-    and the two marginals are aggregates, the total is a scalar subquery.
+    Pairs are formed inside each document's array (no shuffle). A word's
+    margins are its counts but for texts' last (first) tokens, so neither the margins nor
+    the total need the pairs. Pairs are counted by 64-bit hashes of their words where
+    no two words share one (checked), else by the words, in one aggregate
+    that is not stored; kept pairs get their words and margins by a join each.
     """
-    pairs = pin(arrays, col).select(F.explode(ngram_array(col, 2, "\u001f")).alias("_g"))
-    pairs = pairs.select(F.split("_g", "\u001f").alias("_p"))
-    pairs = pairs.select(F.col("_p")[0].alias("w1"), F.col("_p")[1].alias("w2"))
     from ..session import cut_lineage
-    counts = cut_lineage(pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n11")), "bigram-counts")
-    n_all = counts.select(F.sum("n11")).scalar()
-    first = counts.groupBy("w1").agg(F.sum("n11").alias("n1_"))
-    second = counts.groupBy("w2").agg(F.sum("n11").alias("n_1"))
-    t = counts.filter(F.col("n11") >= min_count).join(first, "w1").join(second, "w2")
+    arrays = pin(arrays.select(col), col)
+    k = F.size(col)
+    told = arrays.select(F.posexplode(col).alias("_i", "term"), k.alias("_k"))
+    margins = cut_lineage(told.groupBy("term").agg(
+        F.sum(F.when(F.col("_i") < F.col("_k") - 1, 1).otherwise(0)).alias("n1_"),
+        F.sum(F.when(F.col("_i") > 0, 1).otherwise(0)).alias("n_1")).withColumn("h", F.xxhash64("term")), "word-margins")
+    n_words, n_hashes, n_all = margins.agg(F.count(F.lit(1)), F.count_distinct("h"), F.sum("n1_")).first()
+    key = (lambda x: F.xxhash64(x)) if n_words == n_hashes else (lambda x: x)
+    coded = pin(arrays.select(F.transform(col, key).alias("_h")), "_h")
+    last = F.greatest(F.size("_h") - 1, F.lit(0))
+    pairs = coded.select(F.explode(F.arrays_zip(F.slice("_h", F.lit(1), last).alias("a"), F.slice("_h", F.lit(2), last).alias("b"))).alias("_p"))
+    counts = pairs.groupBy(F.col("_p.a").alias("_a"), F.col("_p.b").alias("_b")).agg(F.count(F.lit(1)).alias("n11")).where(F.col("n11") >= min_count)
+    by = "h" if n_words == n_hashes else "term"
+    t = (counts.join(margins.select(F.col(by).alias("_a"), F.col("term").alias("w1"), "n1_"), "_a")
+         .join(margins.select(F.col(by).alias("_b"), F.col("term").alias("w2"), "n_1"), "_b"))
+    n_all = F.lit(int(n_all or 0))
     s = F.lit(float(smoothing))
     a = F.col("n11") + s
     b = F.col("n1_") - F.col("n11") + s

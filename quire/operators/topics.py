@@ -294,13 +294,17 @@ def seeded_lda(d: DataFrame, seeds: dict, k: int | None = None, alpha: float = 0
         for js, cs in zip(docs["js"], docs["cs"], strict=True):
             at = np.searchsorted(columns, js)
             out[at] += _variational(b[at].T, np.asarray(cs, float), alpha, inner)[1].T
-        return pd.DataFrame({"kind": "word", "j": columns.astype("int32"), "vec": list(out)})
+        words = pd.DataFrame({"kind": "word", "j": columns.astype("int32"), "vec": list(out)})
+        return pd.concat([words, pd.DataFrame({"kind": ["size"], "j": [int(docs["block"].iloc[0])], "vec": [out.sum(axis=0)]})], ignore_index=True)
 
+    given = sizes(prior)
     for _ in range(iters if blocks.n_columns else 0):
-        new = summed(blocks.solve(beta, expected, _PART), blocks.size)
-        beta = cut_lineage(new.join(prior.withColumnRenamed("vec", "p"), "j").select(
-            "j", F.zip_with("vec", "p", lambda x, y: x + y).alias("vec")), "slda-beta")
-        totals = sizes(beta)
+        parts = cut_lineage(blocks.solve(beta, expected, _PART), "slda-parts")
+        new = summed(parts.where("kind = 'word'"), blocks.size)
+        # a projection of stored tables, read by the next round only
+        beta = new.join(prior.withColumnRenamed("vec", "p"), "j").select("j", F.zip_with("vec", "p", lambda x, y: x + y).alias("vec"))
+        totals = given + total(parts.where("kind = 'size'"), K)
+    beta = cut_lineage(beta, "slda-beta")
 
     def shares(docs: pd.DataFrame, params: pd.DataFrame) -> pd.DataFrame:
         if docs.empty:

@@ -9,7 +9,7 @@ from ..operators import relational as R
 from ..operators import textstats as S
 from ..operators import tokens as T
 from ..session import cut_lineage
-from ..sources.tables import table
+from ..sources.tables import deal, documents, table
 from .registry import register
 from .sqlparts import STOP_EN_SQL, WORD_SQL, SENT_SQL, tokens_cte
 
@@ -17,7 +17,7 @@ _VOW = S.VOWELS
 
 
 def _docs(spark, sf, *cols):
-    return table(spark, sf, "documents").select(*cols)
+    return documents(spark, sf).select(*cols)
 
 
 def _r6(*names):
@@ -134,13 +134,16 @@ sim AS (SELECT n.doc_id, coalesce(dots.dot, 0) / (n.nrm * (SELECT nrm FROM norms
 
 
 def _en_tfidf(spark, sf):
-    docs = _docs(spark, sf, "doc_id", "lang", "source", "text").filter(F.col("lang") == "en")
-    arr = T.filter_array(T.token_arrays(docs), drop=T.STOPWORDS_EN)
-    d = cut_lineage(D.dfm_from_arrays(arr), "dfm-en")
+    docs = table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "source", "text")
+    arr = T.filter_array(T.token_arrays(deal(docs, "doc_id")), drop=T.STOPWORDS_EN)
     n_docs = docs.select(F.count(F.lit(1)))
-    d, kept = D.dfm_trim_stats(d, n_docs, min_docfreq=0.05, max_docfreq=0.95, docfreq_type="prop")
+    trimmed, kept = D.trim_arrays(arr, n_docs, 0.05, 0.95)
+    if trimmed is None:
+        w = D.dfm_tfidf(D.dfm_match(D.dfm_from_arrays(arr, deal=False), kept), n_docs=n_docs, stats=kept)
+    else:
+        w = D.tfidf_from_arrays(trimmed, n_docs, kept)
     # the weighted table feeds norms, query vectors and dot products
-    return docs, cut_lineage(D.dfm_tfidf(d, n_docs=n_docs, stats=kept), "tfidf-en")
+    return docs, cut_lineage(w, "tfidf-en")
 
 
 def _first_en(docs):
@@ -187,9 +190,9 @@ SELECT p.sa AS source_a, p.sb AS source_b,
 FROM pairs p JOIN tot ta ON ta.source = p.sa JOIN tot tb ON tb.source = p.sb
 LEFT JOIN sh ON sh.sa = p.sa AND sh.sb = p.sb""")
 def source_distances(spark, sf):
-    docs = _docs(spark, sf, "doc_id", "source", "text")
-    d = D.dfm_from_arrays(T.token_arrays(docs))
-    g = D.dfm_group(d, docs, "source")
+    arrays = T.token_arrays(_docs(spark, sf, "doc_id", "source", "text"), keys=["source"])
+    # counted by source at once: combined in each task, no document is counted by itself
+    g = D.dfm(arrays.select("source", F.explode("toks").alias("term")), ["source"])
     out = S.group_distances(g, "source", value="n")
     return out.select("source_a", "source_b", *_r6("cosine", "euclidean", "manhattan", "canberra", "jaccard"),
                       F.round("minkowski", 4).alias("minkowski"))

@@ -15,7 +15,7 @@ from ..operators import topicquality as TQ
 from ..operators import tokens as T
 from ..operators import topics as P
 from ..session import cut_lineage
-from ..sources.tables import table
+from ..sources.tables import documents, table
 from .registry import register
 from .sqlparts import STOP_EN_SQL, tokens_cte
 
@@ -30,8 +30,7 @@ def _vecs(spark, sf):
 
 
 def _en_arrays(spark, sf):
-    docs = table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
-    return T.token_arrays(docs)
+    return T.token_arrays(documents(spark, sf).filter(F.col("lang") == "en").select("doc_id", "text"))
 
 
 _DVEC = "CAST(embedding AS DOUBLE[])"
@@ -156,7 +155,7 @@ def fcm_top_en(spark, sf):
 
 # --- K11 word2vec neighbours (model-based: row check only) ---------------------------------------------------------------
 def _all_arrays(spark, sf, *more):
-    return T.token_arrays(table(spark, sf, "documents").select("doc_id", "text", *more), keys=["doc_id", *more])
+    return T.token_arrays(documents(spark, sf).select("doc_id", "text", *more), keys=["doc_id", *more])
 
 
 @register("word2vec_neighbours")

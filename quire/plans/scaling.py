@@ -8,7 +8,7 @@ from ..operators import dfm as D
 from ..operators import scaling as Q
 from ..operators import tokens as T
 from ..session import cut_lineage
-from ..sources.tables import table
+from ..sources.tables import deal, table
 from .registry import register
 from .sqlparts import STOP_EN_SQL, tokens_cte
 
@@ -18,8 +18,8 @@ REF_SCORES = {"src0": -1.0, "src1": 1.0}
 
 def _en(spark, sf):
     docs = table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "source", "text")
-    arr = T.filter_array(T.token_arrays(docs), drop=T.STOPWORDS_EN)
-    return docs, cut_lineage(D.dfm_from_arrays(arr), "dfm-en")
+    arr = T.filter_array(T.token_arrays(deal(docs, "doc_id")), drop=T.STOPWORDS_EN)
+    return docs, cut_lineage(D.dfm_from_arrays(arr, deal=False), "dfm-en")
 
 
 def _ref(docs):

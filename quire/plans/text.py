@@ -9,7 +9,7 @@ from ..operators import corpus as C
 from ..operators import dfm as D
 from ..operators import tokens as T
 from ..session import cut_lineage
-from ..sources.tables import table
+from ..sources.tables import deal, documents, table
 from .registry import register
 from .sqlparts import STOP_EN_SQL, TOKEN_SQL, WORD_SQL, SENT_SQL, tokens_cte, lit_list
 
@@ -38,15 +38,18 @@ SELECT source, term, tfidf, rank FROM r WHERE rank <= 10
 
 
 def top_terms_by_source(spark, sf_dir, k: int = 10):
-    docs = table(spark, sf_dir, "documents").filter(F.col("lang") == "en").select("doc_id", "source", "text")
-    arrays = T.token_arrays(docs, keys=["doc_id"])
-    arrays = T.filter_array(arrays, drop=T.STOPWORDS_EN)
-    # the dfm is read three times (trim stats, weights, grouping): tokenise once
-    d = cut_lineage(D.dfm_from_arrays(arrays), "dfm-en")
-    n_docs = docs.select(F.count(F.lit(1)))
-    d, kept = D.dfm_trim_stats(d, n_docs, min_docfreq=0.05, max_docfreq=0.95, docfreq_type="prop")
-    w = D.dfm_tfidf(d, n_docs=n_docs, stats=kept)
-    g = D.dfm_group(w, docs, "source", value="w")
+    docs = documents(spark, sf_dir).filter(F.col("lang") == "en").select("doc_id", "source", "text")
+    arrays = T.filter_array(T.token_arrays(docs, keys=["doc_id", "source"]), drop=T.STOPWORDS_EN)
+    n_docs = table(spark, sf_dir, "documents").filter(F.col("lang") == "en").select(F.count(F.lit(1)))
+    trimmed, kept = D.trim_arrays(arrays, n_docs, 0.05, 0.95)
+    idf = kept.select("term", F.log10(n_docs.scalar() / F.col("df")).alias("idf"))
+    if trimmed is None:
+        d = D.dfm_match(D.dfm_from_arrays(arrays), kept)
+        g = D.dfm_group(D.dfm_tfidf(d, n_docs=n_docs, stats=kept), docs, "source", value="w")
+    else:
+        # a source's weight of a term is its idf times the sum of 1 / length over its tokens
+        rows = T.pin(trimmed.select("source", "toks"), "toks").select("source", (1 / F.size("toks")).alias("tf"), F.explode("toks").alias("term"))
+        g = rows.groupBy("source", "term").agg(F.sum("tf").alias("tf")).join(idf, "term").select("source", "term", (F.col("tf") * F.col("idf")).alias("w"))
     ranked = g.withColumn("rank", F.rank().over(
         Window.partitionBy("source").orderBy(F.round("w", 9).desc())))
     return ranked.filter(F.col("rank") <= k).select("source", "term", _r(F.col("w")).alias("tfidf"), "rank")
@@ -56,7 +59,7 @@ register("top_terms_by_source", TOP_TERMS_SQL)(top_terms_by_source)
 
 
 def _docs(spark, sf, *cols):
-    d = table(spark, sf, "documents")
+    d = documents(spark, sf)
     return d.select(*cols) if cols else d
 
 
@@ -229,9 +232,8 @@ SELECT doc_id, term, round(w, 6) AS tfidf, rank FROM (
 WHERE rank <= 3""")
 def doc_top_tfidf(spark, sf):
     from ..operators import relational as R
-    docs = _docs(spark, sf, "doc_id", "text")
-    d = cut_lineage(D.dfm_from_arrays(T.token_arrays(docs)), "dfm-all")
-    w = D.dfm_tfidf(d, n_docs=docs.select(F.count(F.lit(1))))
+    arrays = T.token_arrays(deal(table(spark, sf, "documents").select("doc_id", "text"), "doc_id"))
+    w = D.tfidf_from_arrays(arrays, table(spark, sf, "documents").select(F.count(F.lit(1))))
     top = R.top_n(w, "doc_id", F.round("w", 9), 3)
     return top.select("doc_id", "term", F.round("w", 6).alias("tfidf"), "rank")
 

@@ -17,3 +17,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [table(spark, sf_dir, n) for n in names]
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt over the session's slots, by ``keys`` where given, if its scan has
+    fewer partitions than there are slots: a small file is one row group and so one
+    task, however many slots wait. A larger table has partitions enough and is left
+    where it is."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if slots < 2 or df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys)
+
+
+def deal(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys``, before what is heavy and grows: counts, sums
+    and joins by these keys then need no exchange of their own, and texts are smaller than
+    their tokens."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots, *keys) if df.rdd.getNumPartitions() < slots else df.repartition(*keys)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents``, on all slots (see :func:`spread`)."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
