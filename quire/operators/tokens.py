@@ -315,21 +315,28 @@ def collocations(arrays: DataFrame, col: str = "toks", min_count: int = 2,
                     lam.alias("lambda"), (lam / se).alias("z"), pmi.alias("pmi"))
 
 
-def _stem_series(s: pd.Series) -> pd.Series:
+def _stemmer(lang: str):
+    from ..functions.snowball import STEMMERS
     from ..functions.stemmer import porter
-    return s.map(porter)
+    if lang != "en" and lang not in STEMMERS:
+        raise ValueError(f"no stemmer for {lang!r}; there are en, {', '.join(STEMMERS)}")
+    return porter if lang == "en" else STEMMERS[lang]
 
 
-def stem_map(terms: DataFrame, term: str = "term") -> DataFrame:
-    """``(term, stem)`` for the distinct terms of ``terms`` (Porter,
-    English), computed once per vocabulary entry in Arrow batches."""
-    stem = F.pandas_udf(_stem_series, "string")
+def stem_map(terms: DataFrame, term: str = "term", lang: str = "en") -> DataFrame:
+    """``(term, stem)`` for the distinct terms of ``terms``, by the rules of
+    a language (en, de, es, fr, pt), computed once per vocabulary entry in Arrow batches."""
+    rules = _stemmer(lang)
+
+    def stems(s: pd.Series) -> pd.Series:
+        return s.map(rules)
+
     v = terms.select(term).distinct()
-    return v.select(term, stem(F.col(term)).alias("stem"))
+    return v.select(term, F.pandas_udf(stems, "string")(F.col(term)).alias("stem"))
 
 
-def tokens_wordstem(toks: DataFrame, term: str = "term") -> DataFrame:
+def tokens_wordstem(toks: DataFrame, term: str = "term", lang: str = "en") -> DataFrame:
     """Replace each token by its stem (positions kept). The stem map is
     built on the vocabulary and joined back (AQE broadcasts it when small)."""
-    m = stem_map(toks, term)
+    m = stem_map(toks, term, lang)
     return toks.join(m, term).withColumn(term, F.col("stem")).drop("stem")
