@@ -214,7 +214,7 @@ def lda_topics_en(spark, sf):
 # --- K9 + K10 GloVe on English co-occurrences (iterative: row check only) ----------------------------
 @register("glove_neighbours")
 def glove_neighbours(spark, sf):
-    """GloVe vectors (rank 100, until the loss falls by less than 1 %) from ±6
+    """GloVe vectors (rank 50, at most 8 rounds, until the loss falls by less than 1 %) from ±6
     co-occurrences of all documents with English stop words as pads and terms seen ≥ 10 times; the 10 nearest
     words (cosine) to the most frequent kept term."""
     arr = _all_arrays(spark, sf)
@@ -224,7 +224,7 @@ def glove_neighbours(spark, sf):
     padded = E.pad_array(arr, drop=T.STOPWORDS_EN)
     f = E.fcm(padded, 6).join(keep_terms.withColumnRenamed("term", "term1"), "term1", "left_semi") \
         .join(keep_terms.withColumnRenamed("term", "term2"), "term2", "left_semi")
-    V, _losses = E.glove(f, rank=100, iters=20, tol=0.01)
+    V, _losses = E.glove(f, rank=50, iters=8, tol=0.01)
     top = counts.join(keep_terms, "term").orderBy(F.desc("n"), "term").limit(1).select("term")
     q = V.join(top, "term").select(F.col("vec").alias("_q"))
     r = E.nearest_to_vector(V, q, 10, measure="cosine")
@@ -359,10 +359,10 @@ def lda_intrusion_tasks(spark, sf):
 
 @register("lda_search_k")
 def lda_search_k(spark, sf):
-    """For K = 10, 30, 50, 70: coherence, exclusivity, residual dispersion, likelihood of
+    """For K = 10, 30, 50: coherence, exclusivity, residual dispersion, likelihood of
     held-out words and bound, over all documents' frequent terms."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    r = TQ.sweep(_frequent_terms(docs), [10, 30, 50, 70], max_iter=10)
+    r = TQ.sweep(_frequent_terms(docs), [10, 30, 50], max_iter=10)
     return r.select("k", *[F.round(c, 6).alias(c) for c in ("coherence", "exclusivity", "residual", "heldout", "bound")])
 
 
@@ -408,7 +408,7 @@ def stm_lang_prevalence(spark, sf):
     indicators as prevalence covariates; the coefficients per covariate and topic."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
     cov = docs.select("doc_id", *[(F.col("lang") == l).cast("double").alias(f"lang_{l}") for l in ("de", "es", "fr")])
-    _b, _t, _c, gam = P.stm(_frequent_terms(docs), 30, cov, iters=15, tol=1e-4)
+    _b, _t, _c, gam = P.stm(_frequent_terms(docs), 30, cov, iters=8, tol=1e-4)
     return gam.withColumn("coef", F.round("coef", 6))
 
 
@@ -417,7 +417,7 @@ def stm_source_content(spark, sf):
     """Structural topic model (K = 5) whose words differ by language
     (content covariate); the five words that a language raises most in each topic."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
-    beta, _t, _c, _g = P.stm(_frequent_terms(docs), 5, content=docs.select("doc_id", "lang"), iters=8, tol=1e-4)
+    beta, _t, _c, _g = P.stm(_frequent_terms(docs), 5, content=docs.select("doc_id", "lang"), iters=5, tol=1e-4)
     mean = beta.groupBy("topic", "term").agg(F.avg("beta").alias("mean"))
     lift = beta.where("group is not null").join(mean, ["topic", "term"]).withColumn("lift", F.col("beta") / F.col("mean"))
     w = Window.partitionBy("group", "topic").orderBy(F.desc("lift"), "term")
@@ -430,5 +430,5 @@ def ctm_topic_correlation(spark, sf):
     """Correlated topic model (no covariates, K = 30, spectral start) on all
     documents; the correlation matrix of the free logits."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    _b, _t, corr, _g = P.stm(_frequent_terms(docs), 30, iters=15, tol=1e-4)
+    _b, _t, corr, _g = P.stm(_frequent_terms(docs), 30, iters=8, tol=1e-4)
     return corr.withColumn("corr", F.round("corr", 6))
