@@ -481,6 +481,28 @@ def test_quality_keeps_clean_and_rejects_junk(spark, edge, empty):
     assert kneser_ney.keep_good(spark, empty, labels).count() == 0
 
 
+def test_each_language_has_its_own_limit(spark):
+    """A language whose trusted texts are all alike is judged by their narrow spread, though another's is wide."""
+    r = random.Random(5)
+    letters = lambda pool, n: " ".join("".join(r.choice(pool) for _ in range(r.randrange(3, 7))) for _ in range(n))
+    narrow = [(i, " ".join(r.choice(["salo", "mira", "tole", "rane"]) for _ in range(80)), "aa") for i in range(1200)]
+    wide = [(5000 + i, letters("abcdefghij"[:r.randrange(2, 10)], 80), "bb") for i in range(1200)]
+    few = [(9000 + i, d[1], g) for i, (d, g) in enumerate((d, g) for d in [*narrow[:3], *wide[:3]] for g in ("cc", None))]
+    wrong = [(7000 + i, letters("salomirtne", 80), "aa") for i in range(20)]  # wrong words of the same letters
+    docs = spark.createDataFrame([(*d[:2], d[2], "s", 1) for d in narrow + wide + few + wrong], SCHEMA)
+    labels = spark.createDataFrame([(d[0], 1, 0) for d in narrow + wide + few[:6]], "doc_id long, quality int, toxic int")
+    scored, (limits, every), _ = kneser_ney.fit(spark, docs, labels)
+    of = {x.lang: x for x in limits.collect()}
+    assert {"aa", "bb"} <= set(of) and of["aa"].limit < of["bb"].limit
+    assert all(of[g].limit == every["limit"] for g in of if g not in ("aa", "bb"))  # too few for a quantile of their own
+    verdict = {x.id: x.kept for x in kneser_ney.judged(scored, (limits, every), "lang", "bits", "n").collect()}
+    assert len(verdict) == len(narrow) + len(wide) + len(few) + len(wrong)
+    assert not any(verdict[d[0]] for d in wrong)
+    assert sum(verdict[d[0]] for d in narrow) >= 1190 and sum(verdict[d[0]] for d in wide) >= 1190
+    unknown = spark.createDataFrame([(1, narrow[0][1], "zz")], "id long, text string, lang string")  # a language without labels
+    assert kneser_ney.judged(unknown.selectExpr("id", "lang", "300D bits", "300L n"), (limits, every), "lang", "bits", "n").count() == 1
+
+
 # ---- 8 rules -----------------------------------------------------------------------------------
 
 def brute_counts(text):

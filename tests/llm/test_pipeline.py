@@ -60,34 +60,38 @@ def dense_model(texts):
 
 def test_quality_stage(spark, stages):
     docs, kept = rows(stages[0][0]), rows(stages[0][1])
-    ids = kneser_ney.trusted_ids(table(spark, SF_SMALL, "labels")).collect()
+    ids = kneser_ney.trusted_ids(stages[0][0], table(spark, SF_SMALL, "labels")).collect()
     good = {r.doc_id for r in table(spark, SF_SMALL, "labels").collect() if r.quality == 1 and not r.toxic}
-    assert {r.id for r in ids} == good
+    assert sorted(r.id for r in ids) == sorted(good & {d[0] for d in docs})
     held = {r.id for r in ids if r.held}
-    trusted, known = [d for d in docs if d[0] in good - held], [d for d in docs if d[0] in held]
-    bits = dense_model([d[1] for d in trusted]).astype(np.float32)
+    assert {d[2] for d in docs if d[0] in held} == {d[2] for d in docs if d[0] in good}  # some of every language
+    trusted, known = [d for d in docs if d[0] in good - held], [d for d in docs if d[0] in held and d[1]]
+    bits = dense_model([d[1] for d in trusted if d[1]]).astype(np.float32)
 
     def cost(t):
         s = kneser_ney.S
         x = np.concatenate([[0, 0, 0], kneser_ney.CLASSES[np.frombuffer(t.encode(), np.uint8)]])
         return float(bits[((x[:-3] * s + x[1:-2]) * s + x[2:-1]) * s + x[3:]].sum(dtype=np.float64)), len(x) - 3
 
-    costs = {d[0]: cost(d[1]) for d in docs}
-    langs = {d[2] for d in known}
+    costs = {d[0]: cost(d[1] or "") for d in docs}
+    by_lang = {g: [d for d in known if d[2] == g] for g in {d[2] for d in known}}
 
     def mean(own):
         return sum(costs[d[0]][0] for d in own) / sum(costs[d[0]][1] for d in own)
 
-    centre = {g: mean([d for d in known if d[2] == g]) for g in langs}
-    above = {d[0]: (costs[d[0]][0] - costs[d[0]][1] * centre.get(d[2], mean(known))) / (costs[d[0]][1] + 100) for d in docs}
+    centre = {g: mean(own) for g, own in by_lang.items()}
+
+    def score(d):
+        b, n = costs[d[0]]
+        return (b - n * centre.get(d[2], mean(known))) / ((n + 100) * (1 + n / 2000)) ** 0.5
 
     def quantile(own):
-        own = sorted(above[d[0]] for d in own)
-        return own[int(np.ceil(0.998 * len(own))) - 1]
+        own = sorted(score(d) for d in own)
+        return own[int(np.ceil(0.999 * len(own))) - 1]
 
-    limit = {g: max(quantile(known), quantile([d for d in known if d[2] == g])) for g in langs}
-    room = {d[0]: 1.5 * limit.get(d[2], quantile(known)) - above[d[0]] for d in docs}
-    surely, maybe = ({d for d in docs if room[d[0]] >= slack} for slack in (0.002, -0.002))
+    limit = {g: quantile(own if len(own) >= 200 else known) for g, own in by_lang.items()}
+    room = {d[0]: limit.get(d[2], quantile(known)) - score(d) for d in docs}
+    surely, maybe = ({d for d in docs if d[1] and room[d[0]] >= slack} for slack in (0.01, -0.01))
     assert surely <= set(kept) <= maybe and len(surely) > len(docs) / 2
 
 
