@@ -55,3 +55,36 @@ def test_stm_prevalence_covariate(spark):
     assert abs(coef[("g", 0)]) > 1.0
     sums = theta.groupBy("doc_id").sum("gamma").collect()
     assert all(abs(r[1] - 1) < 1e-9 for r in sums)
+
+
+def test_lda_reads_its_vectors_once(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import functions as F
+    from quire.operators import topics as P
+    made = spark.sparkContext.accumulator(0)
+
+    def vector(i):
+        made.add(1)
+        return Vectors.dense([1.0 + i % 3, 2.0, float(i % 2), 1.0])
+
+    counts = spark.range(40).select(F.udf(vector, VectorUDT()).asNondeterministic()("id").alias("features"))
+    P.lda(counts, 2, max_iter=6)
+    assert made.value == 40
+
+
+def test_seeded_documents_of_a_batch_are_fitted_as_by_themselves():
+    import numpy as np
+    import pandas as pd
+    from quire.operators import topics as P
+    rng = np.random.default_rng(2)
+    b = rng.random((9, 3)) + 0.1
+    js = [np.sort(rng.choice(9, n, replace=False)) for n in (9, 2, 5, 2)]
+    docs = pd.DataFrame({"js": js, "cs": [rng.integers(1, 5, len(j)) for j in js]})
+    done = 0
+    for rows, held, _, c, own in P._padded(docs, np.arange(9), b):
+        gamma, expected = P._variational(own, c, 0.1, 20)
+        for i, r in enumerate(rows):
+            g1, e1 = P._variational(b[js[r]][None], docs["cs"][r][None].astype(float), 0.1, 20)
+            assert np.allclose(gamma[i], g1[0]) and np.allclose(expected[i][held[i]], e1[0])
+            done += 1
+    assert done == 4
