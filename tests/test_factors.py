@@ -101,3 +101,46 @@ def test_procrustes_turns_one_space_onto_the_other(spark):
     frame = lambda m: spark.createDataFrame([(f"w{i}", [float(v) for v in r]) for i, r in enumerate(m)], "term string, vec array<double>")
     back = {r.term: r.vec for r in E.procrustes_align(frame(x), frame(x @ q)).collect()}
     assert np.array([back[f"w{i}"] for i in range(15)]) == pytest.approx(x)
+
+
+def test_skipgram_blocks_do_not_multiply_with_the_texts(spark, monkeypatch):
+    """A block trains on its texts a part at a time; it isn't cut in more blocks, each of which would be sent the vectors."""
+    rng = np.random.default_rng(4)
+    rows = [([f"w{int(t)}" for t in rng.integers(0, 8, 12)] + [f"u{i}"],) for i in range(150)]
+    arr = spark.createDataFrame(rows, "toks array<string>")
+    stored, blocks = SG.cut_lineage, {}
+
+    def watched(table, label="t"):
+        out = stored(table, label)
+        if label == "sg-rows":
+            blocks["n"] = out.select("block").distinct().count()
+        return out
+
+    monkeypatch.setattr(SG, "cut_lineage", watched)
+    monkeypatch.setattr(SG, "WORDS", 300)
+    V, losses = SG.skipgram(arr, size=8, window=3, min_count=10, epochs=3)
+    assert blocks["n"] == 1 and V.count() == 8 and losses[-1] < losses[0]
+    monkeypatch.setattr(SG, "BLOCK", 500)
+    V, losses = SG.skipgram(arr, size=8, window=3, min_count=10, epochs=2, syncs=2)
+    assert blocks["n"] > 1 and V.count() == 8 and len(losses) == 4
+
+
+def test_svd_keeps_no_table_of_earlier_rounds(spark, tmp_path, monkeypatch):
+    from quire.operators import factors as FC
+    stored, tables = FC.cut_lineage, []
+
+    def watched(table, label="t"):
+        out = stored(table, label)
+        tables.append((label, out.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]))
+        return out
+
+    monkeypatch.setattr(FC, "cut_lineage", watched)
+    monkeypatch.setattr(FC, "SLICE", 3)
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(12, 12))
+    cells = spark.createDataFrame([(f"t{i:02d}", f"t{j:02d}", float(m[i, j])) for i in range(12) for j in range(12)], "term1 string, term2 string, value double")
+    V, s = FC.truncated_svd(cells, 3)
+    assert s == pytest.approx(np.linalg.svd(m)[1][:3], rel=1e-6) and V.count() == 12
+    import os
+    left = [label for label, path in tables if label in ("svd-x", "svd-q", "svd-y", "svd-b") and os.path.isdir(path)]
+    assert left == []
