@@ -4,7 +4,10 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
+
 from quire.operators import topicquality as TQ
+from quire.sources.tables import deal, stored_bytes
 
 
 def plan(df):
@@ -24,3 +27,15 @@ def test_documents_topics_are_never_broadcast(spark, tmp_path, small):
     assert "BroadcastHashJoin [doc_id" not in plan(rows) and "SortMergeJoin [doc_id" in plan(rows)
     assert {(r.term, round(r.q, 9)) for r in rows.collect()} == {("a", 0.425), ("b", 0.575)}
     assert TQ.residual_dispersion(beta, theta, d).first().residual is not None
+
+
+def test_parts_grow_with_the_files_not_in_size(spark, tmp_path):
+    spark.range(4000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text")).write.parquet(f"{tmp_path}/d")
+    df = spark.read.parquet(f"{tmp_path}/d")
+    size = stored_bytes(df)
+    assert size > 100_000
+    dealt = deal(df, "doc_id", part=size // 40)
+    assert dealt.rdd.getNumPartitions() >= 40 and dealt.count() == 4000
+    slots = spark.sparkContext.defaultParallelism
+    assert deal(df, "doc_id").rdd.getNumPartitions() == slots
+    assert deal(spark.range(3).select("id"), "id").rdd.getNumPartitions() == slots  # no files
