@@ -4,6 +4,10 @@ of a word in the language's tokens, gamma the mean of its words' topic shares.""
 
 from __future__ import annotations
 
+from functools import cached_property, reduce
+from operator import add
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import dfm as D
@@ -11,7 +15,7 @@ from ..operators import tokens as T
 from ..operators import topicquality as TQ
 from ..operators import topics as P
 from ..session import cut_lineage
-from ..sources.tables import table
+from ..sources.tables import deal, table
 from .registry import register
 from .sqlparts import tokens_cte
 
@@ -32,24 +36,50 @@ rel AS (SELECT topic, term, beta / sum(beta) OVER (PARTITION BY term) AS r FROM
 gamma AS (SELECT doc_id, topic, round(sum(n * r) / sum(n), 9) AS gamma FROM dfm JOIN rel USING (term) GROUP BY doc_id, topic)"""
 
 
-def _model(spark, sf):
-    """(dfm, beta, gamma), each stored."""
-    docs = table(spark, sf, "documents").where(F.col("lang").isin(LANGS)).select("doc_id", "lang", "text")
-    d = cut_lineage(D.dfm_from_arrays(T.token_arrays(docs)), "ft-all")
-    d = cut_lineage(D.dfm_trim(d, min_docfreq=MIN_DOCS), "ft-dfm")
-    terms = d.select("term").distinct()
-    number = F.array_position(F.array(*[F.lit(v) for v in LANGS]), F.col("lang")).cast("int") - 1
-    cnt = d.join(docs.select("doc_id", number.alias("topic")), "doc_id").groupBy("topic", "term").agg(F.sum("n").alias("c"))
-    topics = spark.range(len(LANGS)).select(F.col("id").cast("int").alias("topic"))
-    size = topics.join(cnt.groupBy("topic").agg(F.sum("c").alias("s")), "topic", "left").select(
-        "topic", (F.coalesce("s", F.lit(0)) + 0.1 * terms.select(F.count(F.lit(1))).scalar()).alias("size"))
-    grid = terms.withColumn("topic", F.explode(F.sequence(F.lit(0), F.lit(len(LANGS) - 1))))
-    beta = cut_lineage(grid.join(cnt, ["topic", "term"], "left").join(F.broadcast(size), "topic").select(
-        "topic", "term", ((F.coalesce("c", F.lit(0)) + 0.1) / F.col("size")).alias("beta")), "ft-beta")
-    total = beta.groupBy("term").agg(F.sum("beta").alias("t"))
-    rel = beta.join(total, "term").select("topic", "term", (F.col("beta") / F.col("t")).alias("r"))
-    gamma = d.join(rel, "term").groupBy("doc_id", "topic").agg(F.round(F.sum(F.col("n") * F.col("r")) / F.sum("n"), 9).alias("gamma"))
-    return d, beta, cut_lineage(gamma, "ft-gamma")
+class Model:
+    """Of the documents' languages: ``cells`` (the dfm), ``totals`` (term, n), ``beta``, the trimmed
+    dfm ``d`` and ``gamma``, which are made when they are asked for.
+
+    Texts are dealt by document once. A cell carries how often its document's id stands under
+    each language (``times``; never for a null id), so that one aggregate by term gives document frequencies, totals
+    and the languages' counts. Topics stay side by side in a row until the end, so a cell moves once for beta, once more for gamma."""
+
+    def __init__(self, spark, sf):
+        docs = table(spark, sf, "documents").where(F.col("lang").isin(LANGS)).select("doc_id", "lang", "text")
+        same = Window.partitionBy("doc_id")
+        times = F.array(*[F.count(F.when((F.col("lang") == v) & F.col("doc_id").isNotNull(), 1)).over(same).cast("int") for v in LANGS])
+        rows = deal(docs, "doc_id").select("doc_id", times.alias("times"), "text")
+        keys = ["doc_id", "times"]
+        self.cells = cut_lineage(D.dfm_from_arrays(T.token_arrays(rows, keys=keys), keys, deal=False), "ft-all")
+        stats = cut_lineage(self.cells.groupBy("term").agg(
+            F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"),
+            *[F.sum(F.col("n") * F.col("times")[i]).alias(f"c{i}") for i in range(len(LANGS))]), "ft-terms")
+        trimmed, kept = D.dfm_trim_stats(self.cells, None, min_docfreq=MIN_DOCS, stats=stats)
+        self._trimmed = trimmed.select("doc_id", "term", "n")
+        self.totals = kept.select("term", F.col("tf").alias("n"))
+        n_terms, *counts = kept.agg(F.count(F.lit(1)), *[F.sum(f"c{i}") for i in range(len(LANGS))]).first()
+        self._share = kept.select("term", *[((F.col(f"c{i}") + 0.1) / F.lit((c or 0) + 0.1 * n_terms)).alias(f"b{i}") for i, c in enumerate(counts)])
+
+    @cached_property
+    def beta(self):
+        """(topic, term, beta), stored."""
+        by = F.posexplode(F.array(*[f"b{i}" for i in range(len(LANGS))])).alias("topic", "beta")
+        return cut_lineage(self._share.select("term", by).select("topic", "term", "beta"), "ft-beta")
+
+    @cached_property
+    def d(self):
+        """(doc_id, term, n) of the terms that are kept, stored."""
+        return cut_lineage(self._trimmed, "ft-dfm")
+
+    @cached_property
+    def gamma(self):
+        """(doc_id, topic, gamma), stored."""
+        topics = range(len(LANGS))
+        every = reduce(add, [F.col(f"b{i}") for i in topics])
+        rel = self._share.select("term", *[(F.col(f"b{i}") / every).alias(f"r{i}") for i in topics])
+        sums = self._trimmed.join(rel, "term").groupBy("doc_id").agg(F.sum("n").alias("s"), *[F.sum(F.col("n") * F.col(f"r{i}")).alias(f"s{i}") for i in topics])
+        shares = F.array(*[F.round(F.col(f"s{i}") / F.col("s"), 9) for i in topics])
+        return cut_lineage(sums.select("doc_id", F.posexplode(shares).alias("topic", "gamma")), "ft-gamma")
 
 
 @register("fixed_topic_words", f"""WITH {MODEL_SQL},
@@ -57,7 +87,7 @@ r AS (SELECT topic, term, rank() OVER (PARTITION BY topic ORDER BY beta DESC) AS
 SELECT topic, string_agg(term, ', ' ORDER BY rank, term) AS label FROM r WHERE rank <= 10 GROUP BY topic""")
 def fixed_topic_words(spark, sf):
     """Ten top words of each topic."""
-    return P.top_terms(_model(spark, sf)[1], 10)
+    return P.top_terms(Model(spark, sf).beta, 10)
 
 
 @register("fixed_main_topics", f"""WITH {MODEL_SQL},
@@ -65,7 +95,7 @@ m AS (SELECT doc_id, arg_min(topic, (-gamma, topic)) AS topic, max(gamma) AS gam
 SELECT doc_id, topic, gamma FROM m""")
 def fixed_main_topics(spark, sf):
     """The most probable topic of each document."""
-    return P.main_topic(_model(spark, sf)[2])
+    return P.main_topic(Model(spark, sf).gamma)
 
 
 @register("fixed_top_docs", f"""WITH {MODEL_SQL},
@@ -73,7 +103,7 @@ r AS (SELECT doc_id, topic, gamma, rank() OVER (PARTITION BY topic ORDER BY gamm
 SELECT * FROM r WHERE rank <= 5""")
 def fixed_top_docs(spark, sf):
     """The documents most typical of each topic, ties kept."""
-    return P.top_docs(_model(spark, sf)[2], 5).select("doc_id", "topic", "gamma", "rank")
+    return P.top_docs(Model(spark, sf).gamma, 5).select("doc_id", "topic", "gamma", "rank")
 
 
 @register("fixed_topic_prevalence", f"""WITH {MODEL_SQL},
@@ -82,8 +112,8 @@ l AS (SELECT topic, string_agg(term, ', ' ORDER BY rank, term) AS label FROM r W
 SELECT topic, round(avg(gamma), 6) AS prevalence, any_value(label) AS label FROM gamma LEFT JOIN l USING (topic) GROUP BY topic""")
 def fixed_topic_prevalence(spark, sf):
     """Mean share of each topic, with its label."""
-    _, beta, gamma = _model(spark, sf)
-    return P.topic_prevalence(gamma, P.top_terms(beta, 3)).select("topic", F.round("prevalence", 6).alias("prevalence"), "label")
+    m = Model(spark, sf)
+    return P.topic_prevalence(m.gamma, P.top_terms(m.beta, 3)).select("topic", F.round("prevalence", 6).alias("prevalence"), "label")
 
 
 def _rank_share_sql(value: str, group: str = "topic") -> str:
@@ -102,8 +132,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY topic, measure ORDER BY v DESC,
 SELECT topic, measure, string_agg(term, ', ' ORDER BY rank) AS label FROM r WHERE rank <= 7 GROUP BY ALL""")
 def fixed_topic_labels(spark, sf):
     """P10: labels by probability, lift, FREX and score."""
-    d, beta, _ = _model(spark, sf)
-    return P.label_topics(beta, d.groupBy("term").agg(F.sum("n").alias("n")), n=7).select("topic", "measure", "label")
+    m = Model(spark, sf)
+    return P.label_topics(m.beta, m.totals, n=7).select("topic", "measure", "label")
 
 
 @register("fixed_topic_correlation", f"""WITH {MODEL_SQL}
@@ -111,7 +141,7 @@ SELECT a.topic AS topic_a, b.topic AS topic_b, round(corr(a.gamma, b.gamma), 6)
 FROM gamma a JOIN gamma b USING (doc_id) GROUP BY 1, 2""")
 def fixed_topic_correlation(spark, sf):
     """Correlation of topic shares over documents."""
-    return P.topic_corr(_model(spark, sf)[2]).withColumn("corr", F.round("corr", 6))
+    return P.topic_corr(Model(spark, sf).gamma).withColumn("corr", F.round("corr", 6))
 
 
 @register("fixed_word_intrusion", f"""WITH {MODEL_SQL},
@@ -123,7 +153,7 @@ i AS (SELECT topic, arg_min(term, md5(concat_ws(':', '42', topic::VARCHAR, term)
 SELECT topic, string_agg(term, ', ' ORDER BY term) AS words, any_value(intruder) AS intruder FROM top LEFT JOIN i USING (topic) GROUP BY topic""")
 def fixed_word_intrusion(spark, sf):
     """Five top words and an intruder for each topic."""
-    t = P.intrusion_tasks(_model(spark, sf)[1], n=5, seed=42)
+    t = P.intrusion_tasks(Model(spark, sf).beta, n=5, seed=42)
     return t.select("topic", F.array_join("words", ", ").alias("words"), "intruder")
 
 
@@ -133,7 +163,7 @@ i AS (SELECT doc_id, arg_min(topic, md5(concat_ws(':', '42', doc_id::VARCHAR, to
 SELECT doc_id, list(topic ORDER BY rank) AS topics, any_value(intruder) AS intruder FROM r LEFT JOIN i USING (doc_id) WHERE rank <= 1 GROUP BY doc_id""")
 def fixed_topic_intrusion(spark, sf):
     """Each document's top topic and one that doesn't belong."""
-    return TQ.topic_intrusion(_model(spark, sf)[2], n=1, seed=42)
+    return TQ.topic_intrusion(Model(spark, sf).gamma, n=1, seed=42)
 
 
 @register("fixed_topic_quality", f"""WITH {MODEL_SQL},
@@ -150,8 +180,9 @@ exc AS (SELECT topic, sum(frex) AS exclusivity FROM x JOIN top USING (topic, ter
 SELECT topic, round(coherence, 6) AS coherence, round(exclusivity, 6) AS exclusivity FROM coh JOIN exc USING (topic)""")
 def fixed_topic_quality(spark, sf):
     """Semantic coherence and exclusivity of each topic."""
-    d, beta, _ = _model(spark, sf)
-    q = TQ.semantic_coherence(beta, d).join(TQ.exclusivity(beta), "topic")
+    m = Model(spark, sf)
+    # only top words' cells count, and these words are all kept: no need to trim the others
+    q = TQ.semantic_coherence(m.beta, m.cells).join(TQ.exclusivity(m.beta), "topic")
     return q.select("topic", F.round("coherence", 6).alias("coherence"), F.round("exclusivity", 6).alias("exclusivity"))
 
 
@@ -170,7 +201,7 @@ FROM c, kv""")
 def fixed_heldout_and_residual(spark, sf):
     """Likelihood of words held out of a tenth of the documents, and the
     dispersion of what is left."""
-    d, beta, gamma = _model(spark, sf)
-    fit, held = (cut_lineage(x, "ft-split") for x in TQ.split_words(d))
-    row = TQ.heldout_likelihood(beta, gamma, held).join(TQ.residual_dispersion(beta, gamma, fit))
+    m = Model(spark, sf)
+    fit, held = (cut_lineage(x, "ft-split") for x in TQ.split_words(m.d))
+    row = TQ.heldout_likelihood(m.beta, m.gamma, held).join(TQ.residual_dispersion(m.beta, m.gamma, fit))
     return row.select(F.round("heldout", 6).alias("heldout"), F.round("residual", 6).alias("residual"))

@@ -1,5 +1,6 @@
 """What has to stay bounded while tables grow: broadcasts, parts, and work that nobody asked for."""
 
+import collections
 import contextlib
 import io
 
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import topicquality as TQ
+from quire.plans import fixedtopics
 from quire.sources.tables import deal, stored_bytes
 
 
@@ -39,3 +41,32 @@ def test_parts_grow_with_the_files_not_in_size(spark, tmp_path):
     slots = spark.sparkContext.defaultParallelism
     assert deal(df, "doc_id").rdd.getNumPartitions() == slots
     assert deal(spark.range(3).select("id"), "id").rdd.getNumPartitions() == slots  # no files
+
+
+def test_fixed_topics_count_by_hand_and_make_gamma_only_when_asked(spark, tmp_path):
+    docs = [(i, ("de", "en", "es", "fr")[i % 4], f"one two{i % 2} both") for i in range(24)]
+    docs += [(3, "fr", "one one both"), (3, "en", "both"), (None, "en", "one both"), (90, "xx", "one"), (91, "de", "rare")]
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    m = fixedtopics.Model(spark, str(tmp_path))
+    found = {(r.topic, r.term): r.beta for r in m.beta.collect()}
+    assert "gamma" not in vars(m) and "d" not in vars(m)
+    known = [x for x in docs if x[1] in fixedtopics.LANGS]
+    cells = collections.Counter((i, w) for i, _, t in known for w in t.split())
+    df = collections.Counter(w for _, w in cells)
+    kept = {w for w in df if df[w] >= 5}
+    counts = collections.Counter()
+    for i, lang, _ in known:  # a repeated id counts with each of its rows, a null id with none
+        for (j, w), n in cells.items():
+            if i is not None and i == j and w in kept:
+                counts[fixedtopics.LANGS.index(lang), w] += n
+    size = [sum(counts[k, w] for w in kept) + 0.1 * len(kept) for k in range(4)]
+    beta = {(k, w): (counts[k, w] + 0.1) / size[k] for k in range(4) for w in kept}
+    assert found == pytest.approx(beta)
+    total = {w: sum(beta[k, w] for k in range(4)) for w in kept}
+    own = {}
+    for (i, w), n in cells.items():
+        if w in kept:
+            own.setdefault(i, []).append((w, n))
+    gamma = {(i, k): sum(n * beta[k, w] / total[w] for w, n in ws) / sum(n for _, n in ws) for i, ws in own.items() for k in range(4)}
+    assert {(r.doc_id, r.topic): r.gamma for r in m.gamma.collect()} == pytest.approx(gamma, abs=1e-8)
+    assert {(r.doc_id, r.term): r.n for r in m.d.collect()} == {x: n for x, n in cells.items() if x[1] in kept}
