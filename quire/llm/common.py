@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,6 +24,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return cut_lineage(df, label)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Have Spark's cleaner delete the shuffles of finished jobs to which no plan refers any more."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def ready(spark: SparkSession) -> None:
     """Make this package importable in the Python workers."""
     ship_package(spark)

@@ -503,6 +503,62 @@ def test_each_language_has_its_own_limit(spark):
     assert kneser_ney.judged(unknown.selectExpr("id", "lang", "300D bits", "300L n"), (limits, every), "lang", "bits", "n").count() == 1
 
 
+def brute_bits(train, text, of, size, order):
+    """Bits of ``text`` by a textbook model over n-grams as tuples."""
+    line = lambda t: [int(of[10])] * (order - 1) + [int(of[b]) for b in t.encode()]
+    cut_up = lambda t: [tuple(x[i - order + 1:i + 1]) for x in [line(t)] for i in range(order - 1, len(x))]
+    levels = [collections.Counter(g for t in train for g in cut_up(t))]
+    for _ in range(order - 1):
+        levels.insert(0, collections.Counter(g[1:] for g in levels[0]))
+
+    def p(gram):
+        if not gram:
+            return 1 / size
+        c = levels[len(gram) - 1]
+        n = [sum(v == i for v in c.values()) for i in range(1, 5)]
+        y = n[0] / max(1, n[0] + 2 * n[1])
+        d = [min(max(i + 1 - (i + 2) * y * n[i + 1] / max(1, n[i]), 0.1), i + 0.9) for i in range(3)]
+        same = {g: v for g, v in c.items() if g[:-1] == gram[:-1]}
+        if not same:
+            return p(gram[1:])
+        seen = same[gram] - d[min(same[gram], 3) - 1] if gram in same else 0
+        return (seen + sum(d[min(v, 3) - 1] for v in same.values()) * p(gram[1:])) / sum(same.values())
+    return -sum(np.log2(p(g)) for g in cut_up(text))
+
+
+@pytest.mark.parametrize("symbols", [kneser_ney.BYTES, kneser_ney.LETTERS], ids=["bytes", "letters"])
+def test_texts_are_scored_by_joins_with_the_counts(spark, monkeypatch, symbols):
+    train = prose(11, 12)[:12] + ["", "Ab, cd! 17", "да нет да"]
+    texts = [train[0], "zq " + train[1][:40], "нет, ж\n", "", None, "Ab, cd! 93", "Ab, cd! 93"]
+    docs = spark.createDataFrame([(i % 6, t, {"k": 1}) for i, t in enumerate(texts)], "id long, text string, more map<string,int>")
+    model = kneser_ney.levels(kneser_ney.stored(kneser_ney.counts(
+        spark.createDataFrame([(t,) for t in train], "text string"), symbols=symbols), "kn"), symbols)
+
+    def never(*_):
+        raise AssertionError("no model goes to every task or to the driver")
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", never)
+    monkeypatch.setattr(kneser_ney.DataFrame, "toPandas", never)
+    monkeypatch.setattr(kneser_ney, "BLOCK", 50)  # several blocks
+    found = kneser_ney.with_bits(docs, model, "text", "bits", "n", symbols=symbols).collect()
+    assert sorted((r.id, r.text) for r in found if r.id) == sorted((i % 6, t) for i, t in enumerate(texts) if i % 6)
+    assert len(found) == len(texts) and all(r.more == {"k": 1} for r in found)
+    for r in found:
+        assert r.n == len((r.text or "").encode())
+        assert r.bits == pytest.approx(brute_bits(train, r.text or "", *symbols), rel=1e-4)
+
+
+def test_bytes_of_one_class_are_told_apart(spark):
+    """Letters of other scripts, capitals and marks that fall into one class of LETTERS."""
+    known, other = "жук НАД Abc; ", "иук УАД Xyz! "
+    letters = kneser_ney.CLASSES
+    assert (letters[list("Abc;".encode())] == letters[list("Zbc!".encode())]).all()
+    docs = spark.createDataFrame([(i, (known if i < 300 else other) * 5, "ru", "s", 1) for i in range(302)], SCHEMA)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    scored, limits, _ = kneser_ney.fit(spark, docs, labels)
+    kept = {r.id: r.kept for r in kneser_ney.judged(scored, limits, "lang", "bits", "n").collect()}
+    assert all(kept[i] for i in range(300)) and not kept[300] and not kept[301]
+
+
 # ---- 8 rules -----------------------------------------------------------------------------------
 
 def brute_counts(text):
