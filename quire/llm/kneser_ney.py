@@ -60,7 +60,7 @@ BROADCAST = 10_000
 #: Symbols scored or counted at once.
 CHUNK = 1 << 19
 #: Bytes of text in a block, about; n-grams that a task keeps before it merges them.
-BLOCK = 48_000_000
+BLOCK = 24_000_000
 HELD_BACK = 1 << 22
 
 
@@ -222,18 +222,23 @@ def _asked(dealt: DataFrame, symbols: Symbols) -> DataFrame:
 def with_bits(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]], text: str, total: str, n: str,
               keep: list[str] | None = None, symbols: Symbols = LETTERS) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the bits and the symbols of each text, by ``model`` (see :func:`levels`)."""
+    names = list(keep or docs.columns)
     whole, block = fresh(docs, "_text", "_block")
-    source = docs.select(*[F.col(f"`{c}`") for c in (keep or docs.columns)], F.col(f"`{text}`").alias(whole))
-    size = source.agg(F.sum(F.octet_length(whole))).first()[0] or 0
+    source = docs.select(*[F.col(f"`{c}`") for c in names])
+    if text in names:
+        whole = text  # a text goes to its block once
+    else:
+        source = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias(whole))
+    size = source.agg(F.sum(F.octet_length(F.col(f"`{whole}`")))).first()[0] or 0
     # rows, not ids, are hashed: null and repeated ids are spread as others
     row = F.xxhash64(*[F.col(f"`{c}`") for c, kind in source.dtypes if "map<" not in kind])
     dealt = source.withColumn(block, F.pmod(row, F.lit(max(1, -(-size // BLOCK)))))
-    asked = stored(_asked(dealt.select(whole, block).repartition(block), symbols), "kn-asked")
+    asked = stored(_asked(dealt.select(F.col(f"`{whole}`"), block).repartition(block), symbols), "kn-asked")
     drop_shuffles(docs.sparkSession)  # the texts were moved for this
     bits = probabilities(asked.select("g").distinct(), model, symbols).select("g", (-F.log2("p")).cast("float").alias("bits"))
     found = stored(asked.join(bits, "g").select(F.col("block").alias(block), "g", "bits"), "kn-found")
     forget(asked)
-    at, names = len(source.columns) - 1, [*source.columns[:-1], total, n]
+    at = source.columns.index(whole)
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
         table_of, worth = known.column("g").combine_chunks(), known.column("bits").to_numpy()
@@ -248,11 +253,11 @@ def with_bits(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]], text: s
                 sums.append(run[offsets[1:]] - run[offsets[:-1]])
                 sizes.append(np.diff(offsets))
         new = [np.concatenate([np.zeros(0, kind), *parts]).astype(kind) for parts, kind in ((sums, np.float64), (sizes, np.int64))]
-        return pa.Table.from_arrays([*texts.columns[:at], *map(pa.array, new)], names=names)
+        return pa.Table.from_arrays([*texts.columns[:len(names)], *map(pa.array, new)], names=[*names, total, n])
 
     ready(docs.sparkSession)
     return dealt.groupBy(block).cogroup(found.groupBy(block)).applyInArrow(
-        score, ddl(source.drop(whole), f"`{total}` double", f"`{n}` bigint"))
+        score, ddl(docs.select(*[F.col(f"`{c}`") for c in names]), f"`{total}` double", f"`{n}` bigint"))
 
 
 def _quantile(rows: DataFrame, by: list[str]) -> DataFrame:

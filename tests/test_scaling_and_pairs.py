@@ -98,3 +98,33 @@ def test_following_scale_recovers_order(spark):
     common = [i for i in range(len(theta)) if f"u{i}" in est]
     c = np.corrcoef([est[f"u{i}"] for i in common], theta[common])[0, 1]
     assert abs(c) > 0.7
+
+
+def test_co_occurrences_are_counted_before_they_are_shuffled(spark, monkeypatch):
+    import collections
+    import random
+    import pyarrow as pa
+    from quire.operators import embeddings as E
+    r = random.Random(4)
+    docs = [[r.choice(["a", "b", "é", "Z", None]) for _ in range(r.randrange(0, 40))] for _ in range(60)] + [None, [], ["a"], ["c", "c"]]
+    want = collections.Counter()
+    for d in docs:
+        for i, x in enumerate(d or []):
+            for y in (d or [])[i + 1:i + 7]:
+                if x is not None and y is not None:
+                    want[x, y] += 1
+                    want[y, x] += 1
+    df = spark.createDataFrame([(i % 3, d) for i, d in enumerate(docs)], "doc_id int, toks array<string>")
+    rows = E.fcm(df, 6).collect()
+    assert len(rows) == len(want) and {(x.term1, x.term2): x.n for x in rows} == want
+    monkeypatch.setattr(E, "SPAN", 7)
+    for kept in (1 << 22, 4):  # with few pairs kept, some are given twice, and the sums stay
+        monkeypatch.setattr(E, "PAIRS", kept)
+        batch = pa.RecordBatch.from_arrays([pa.array(docs, pa.list_(pa.string()))], names=["toks"])
+        found = [x for b in E._near([batch, batch.slice(5, 20)], 6) for x in b.to_pylist()]
+        half = collections.Counter()
+        for x in found:
+            half[tuple(sorted((x["x"], x["y"])))] += x["n"]
+        assert kept == 4 or len(found) == len(half)  # a row for each different pair, not for each time it is met
+        assert half["c", "c"] == 1 and half.total() == sum(want.values()) / 2 + sum(
+            1 for d in docs[5:25] for i, x in enumerate(d or []) for y in (d or [])[i + 1:i + 7] if x is not None and y is not None)
