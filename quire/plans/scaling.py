@@ -83,7 +83,7 @@ def wordfish_en(spark, sf):
     d = D.dfm_trim(d, n_docs=n_docs, min_docfreq=0.05, max_docfreq=0.95, docfreq_type="prop")
     anchors = docs.filter(F.col("source").isin("src0", "src1")).groupBy("source").agg(F.min("doc_id").alias("d"))
     a = {r["source"]: r["d"] for r in anchors.collect()}  # two ids
-    pos, _words = Q.wordfish(d, dir=(a["src0"], a["src1"]), max_iter=15)
+    pos, _words = Q.wordfish(d, dir=(a["src0"], a["src1"]))
     p = Q.wordfish_predict(pos)
     return p.join(docs.select("doc_id", "source"), "doc_id").select(
         "doc_id", "source", *[F.round(c, 6).alias(c) for c in ("fit", "se", "lwr", "upr")])
